@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def svm_pipeline(reg: float = 0.01, max_iter: int = 100, center: bool = False) -> Pipeline:
+def svm_pipeline(
+    reg: float = 0.01, max_iter: int = 100, tol: float = 1e-3, center: bool = False
+) -> Pipeline:
     """Scale, then a linear support-vector machine. Centring makes sparse vectors dense, so it is
     off unless asked for; the intercept absorbs the shift."""
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=center, withStd=True)
-    svm = LinearSVC(featuresCol="scaled", regParam=reg, maxIter=max_iter, standardization=False)
+    svm = LinearSVC(
+        featuresCol="scaled", regParam=reg, maxIter=max_iter, tol=tol, standardization=False
+    )
     return Pipeline(stages=[scaler, svm])
 
 

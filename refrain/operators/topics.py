@@ -44,13 +44,13 @@ def topic_model(
 def topic_terms(model: LDAModel, vocabulary: list[str], df: DataFrame) -> DataFrame:
     """Topic-term weights as rows ``(topic, term, beta)``; the betas of a topic sum to 1."""
     names = df.sparkSession.createDataFrame(list(enumerate(vocabulary)), "term_no int, term string")
-    described = model.describeTopics(len(vocabulary))
     total = F.aggregate("termWeights", F.lit(0.0), lambda acc, x: acc + x)
-    pairs = F.explode(F.arrays_zip("termIndices", "termWeights")).alias("_p")
-    long = described.select((F.col("topic") + 1).alias("topic"), total.alias("_total"), pairs)
-    long = long.select(
-        "topic", F.col("_p.termIndices").alias("term_no"), (F.col("_p.termWeights") / F.col("_total")).alias("beta")
-    )
+    pairs = F.transform(F.arrays_zip("termIndices", "termWeights"), lambda p: F.struct(
+        p["termIndices"].alias("term_no"), (p["termWeights"] / F.col("_total")).alias("beta")))
+    # The pairs are a column of their own first: explode would copy the arrays beside it into each row.
+    described = model.describeTopics(len(vocabulary)).withColumn("_total", total)
+    described = described.select((F.col("topic") + 1).alias("topic"), pairs.alias("_pairs"))
+    long = described.select("topic", F.inline("_pairs"))
     return long.join(names, "term_no").select("topic", "term", "beta")
 
 

@@ -178,7 +178,10 @@ def sql(body: str) -> str:
                 needed.add(name)
                 queue.append(VIEWS[name])
     ctes = [f"{name} as ({VIEWS[name]})" for name in VIEWS if name in needed]
-    return (f"with {', '.join(ctes)} " if ctes else "") + body
+    own = body.strip()
+    if own.startswith("with ") and ctes:
+        own = f", {own[5:]}"
+    return (f"with {', '.join(ctes)} " if ctes else "") + own
 
 
 def tf_idf(counts: str, group: str) -> str:
