@@ -10,6 +10,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.session import training_set
+
 
 def svm_pipeline(
     reg: float = 0.01, max_iter: int = 100, tol: float = 1e-3, center: bool = False
@@ -43,9 +45,9 @@ def repeated_cv(
 ) -> DataFrame:
     """Mean accuracy of a k-fold cross-validation per repeat: ``(repeat, accuracy)``.
 
-    The driver only starts the fits; each one runs on the executors over cached folds.
+    The driver only starts the fits; each one runs on the executors over one pinned table.
     """
-    df = df.cache()
+    df = training_set(df)
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
     rows = []
     for repeat in range(repeats):
@@ -58,7 +60,6 @@ def repeated_cv(
             parallelism=4,
         )
         rows.append((repeat + 1, float(validator.fit(df).avgMetrics[0])))
-    df.unpersist()
     return df.sparkSession.createDataFrame(rows, "repeat int, accuracy double")
 
 

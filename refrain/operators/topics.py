@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from refrain import fixed
 from refrain.operators.features import word_vectors
 from refrain.operators.ranking import topk
+from refrain.session import training_set
 
 
 def topic_model(
@@ -28,7 +29,7 @@ def topic_model(
     weight per topic and term; ``min_df`` bounds the vocabulary as in the features module.
     """
     vectors, vocabulary = word_vectors(df.filter(F.size(terms) > 0), terms, min_df=min_df)
-    vectors = vectors.cache()
+    vectors = training_set(vectors)
     lda = LDA(
         k=k,
         optimizer="online",

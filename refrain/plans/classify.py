@@ -11,15 +11,19 @@ from refrain.functions.text import tokens
 from refrain.operators.features import embedding_sum_feature, embedding_vectors, scalar_vectors, word_vectors
 from refrain.operators.models import confusion_matrix
 from refrain.operators.sampling import class_balance, mark_train
+from refrain.session import pin, training_set
 
 FEATURES = ("count", "binary", "embedding", "sumvec")
 
 
 def labelled_words(songs: DataFrame, flag: str, stop: list[str], seed: int, key: str = "lyrics_id") -> DataFrame:
-    """Balanced songs with their label and non-stop words: ``(key, label, words)``."""
+    """Balanced songs with their label and non-stop words: ``(key, label, words)``.
+
+    The sample is written once, since its vocabulary, vectors and split all read it again.
+    """
     balanced = class_balance(songs.select(key, flag, "lyrics"), flag, key, seed)
     words = F.filter(tokens(F.col("lyrics")), lambda w: ~w.isin(stop))
-    return balanced.select(key, "label", words.alias("words"))
+    return pin(balanced.select(key, "label", words.alias("words")))
 
 
 def with_features(
@@ -41,7 +45,7 @@ def predict_held_out(
     key: str = "lyrics_id",
 ) -> DataFrame:
     """Fit on an exact seeded share of the rows and predict the others."""
-    marked = mark_train(featured, key, frac, seed).cache()
+    marked = training_set(mark_train(featured, key, frac, seed))
     model = estimator.fit(marked.filter("is_train"))
     return model.transform(marked.filter("NOT is_train")).select(key, "label", "prediction")
 

@@ -45,3 +45,16 @@ def pin(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder so that later reads see one fixed set of rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+ROWS_PER_TASK = 2_000
+
+
+def training_set(df: DataFrame) -> DataFrame:
+    """Pin the input of an iterative fit, in no more partitions than its rows are worth.
+
+    Every pass starts one task per partition and ships the lineage, so both are kept short.
+    """
+    pinned = pin(df)
+    wanted = max(1, -(-pinned.count() // ROWS_PER_TASK))
+    return pinned.coalesce(wanted) if wanted < pinned.rdd.getNumPartitions() else pinned
