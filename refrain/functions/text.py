@@ -11,6 +11,7 @@ from refrain import fixed
 
 # A word is a run of letters and digits; apostrophes inside it belong to it.
 TOKEN = r"[\p{L}\p{N}]+(?:'[\p{L}\p{N}]+)*"
+WORD_CHAR = r"[\p{L}\p{N}]"
 NON_ALNUM = r"[^\p{L}\p{N}]+"
 
 

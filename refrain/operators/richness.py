@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain.functions.text import tokens
+from refrain.operators.words import compute_once
 
 
 def richness(words: Column) -> Column:
@@ -29,4 +30,4 @@ def song_richness(songs: DataFrame, stop: list[str], text: str = "lyrics") -> Da
     others = [c for c in songs.columns if c != text]
     kept = F.filter(tokens(F.col(text)), lambda w: ~w.isin(stop))
     words = songs.select(*others, kept.alias("_words"))
-    return words.select(*others, richness(F.col("_words")).alias("richness")).filter("richness IS NOT NULL")
+    return compute_once(words, richness(F.col("_words")), "richness").drop("_words").filter("richness IS NOT NULL")

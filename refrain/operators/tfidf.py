@@ -28,14 +28,15 @@ def tf_idf(
     are the group totals broadcast. The term table grows with the vocabulary and is always joined
     by a shuffle, in which adaptive execution splits the frequent terms.
     """
-    per_term = counts.groupBy(term).agg(F.count("*").alias("_df"))
+    # Counting by ``n`` keeps that column in every branch, so that all of them read one exchange.
+    per_term = counts.groupBy(term).agg(F.count_if(F.col(n) > 0).alias("_df"))
     if total is None:
         totals = counts.groupBy(group).agg(F.sum(n).alias("_total"))
         if max_groups is not None and max_groups <= MAX_SMALL_GROUPS:
             totals = F.broadcast(totals)
         counts, total = counts.join(totals, group), "_total"
         if n_groups is None:
-            n_groups = totals.agg(F.count("*")).scalar()
+            n_groups = totals.agg(F.count_if(F.col("_total") > 0)).scalar()
     elif n_groups is None:
         n_groups = counts.select(group).distinct().agg(F.count("*")).scalar()
     weighed = counts.join(per_term, term)

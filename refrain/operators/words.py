@@ -9,6 +9,15 @@ from refrain.functions.text import tokens
 from refrain.operators.sizing import broadcast_if_small
 
 
+def compute_once(df: DataFrame, expr: Column, out: str) -> DataFrame:
+    """Add a costly column that is computed exactly once per row.
+
+    The optimizer moves a filter on a plain computed column below it by computing the column again
+    for the filter; it cannot move one past a generator.
+    """
+    return df.select("*", F.explode_outer(F.array(expr)).alias(out))
+
+
 def unnest_tokens(
     df: DataFrame, out: str, col: str, keep_pos: bool = False, length: str | None = None
 ) -> DataFrame:
@@ -21,9 +30,15 @@ def unnest_tokens(
     if length:
         words = words.withColumn(length, F.size("_words"))
         others.append(length)
-    if keep_pos:
-        return words.select(*others, F.posexplode("_words").alias("pos", out))
-    return words.select(*others, F.explode("_words").alias(out))
+    # Outer, then filtered: for a plain explode the optimizer adds a filter on the array's size below,
+    # which would tokenise the text a second time.
+    place = [F.posexplode_outer("_words").alias("pos", out)] if keep_pos else [explode_words("_words", out)]
+    return words.select(*others, *place).filter(F.col(out).isNotNull())
+
+
+def explode_words(words: str | Column, out: str) -> Column:
+    """One row per word, and a null word for a text without any, which the caller filters out."""
+    return F.explode_outer(words).alias(out)
 
 
 def remove_stopwords(tok: DataFrame, stop: DataFrame | list[str], word: str = "word") -> DataFrame:
@@ -46,27 +61,25 @@ def word_freq(
     return counts.orderBy(F.desc(out), *(by or []), word).limit(top) if top else counts
 
 
-def counted(words: Column) -> Column:
-    """The distinct words of an array with their counts: ``array<struct<word, n>>``.
-
-    The array is sorted and cut where the word changes, so a text is counted inside its own row.
-    """
-    change = F.filter(
-        F.sequence(F.lit(0), F.size(words) - 1),
-        lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)),
-    )
-    ends = F.concat(F.slice(change, 2, F.size(words)), F.array(F.size(words)))
-    return F.zip_with(
-        change, ends, lambda a, b: F.struct(F.get(words, a).alias("word"), (b - a).cast("bigint").alias("n"))
-    )
-
-
 def document_counts(df: DataFrame, words: str, word: str = "word", out: str = "n") -> DataFrame:
     """Occurrences per document row and word, without a shuffle.
 
-    ``words`` is an array column; every row must be one whole document, under its own id. The other
+    ``words`` is an array column; every row must be one whole document, under its own id. The array
+    is sorted and cut where the word changes, so a text is counted inside its own row. The other
     columns stay beside each count.
     """
     others = [c for c in df.columns if c != words]
-    filled = df.select(*others, F.array_sort(words).alias("_sorted")).filter(F.size("_sorted") > 0)
-    return filled.select(*others, F.inline(counted(F.col("_sorted"))).alias(word, out))
+    ordered = df.select(*others, F.sort_array(words).alias("_sorted"))
+    changes = F.filter(
+        F.sequence(F.lit(0), F.size("_sorted") - 1),
+        lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", i - 1)),
+    )
+    cut = ordered.withColumn("_starts", changes)
+    ends = F.concat(F.slice("_starts", 2, F.size("_sorted") + 1), F.array(F.size("_sorted")))
+    runs = F.zip_with(
+        "_starts",
+        ends,
+        lambda a, b: F.struct(F.get("_sorted", a).alias(word), (b - a).cast("bigint").alias(out)),
+    )
+    counts = cut.select(*others, runs.alias("_runs")).select(*others, F.inline_outer("_runs"))
+    return counts.filter(F.col(word).isNotNull())

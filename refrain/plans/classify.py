@@ -11,6 +11,7 @@ from refrain.functions.text import tokens
 from refrain.operators.features import embedding_sum_feature, embedding_vectors, scalar_vectors, word_vectors
 from refrain.operators.models import confusion_matrix
 from refrain.operators.sampling import class_balance, mark_train
+from refrain.operators.words import explode_words
 from refrain.session import pin, training_set
 
 FEATURES = ("count", "binary", "embedding", "sumvec")
@@ -35,7 +36,7 @@ def with_features(
     if kind == "embedding":
         return embedding_vectors(labelled, "words", dictionary, min_df=min_df)
     if kind == "sumvec":
-        tok = labelled.select(key, "label", F.explode("words").alias("word"))
+        tok = labelled.select(key, "label", explode_words("words", "word"))
         return scalar_vectors(embedding_sum_feature(tok, dictionary, [key, "label"]), ["sum_vec"])
     raise ValueError(f"kind must be one of {FEATURES}, not {kind!r}")
 

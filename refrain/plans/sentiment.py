@@ -12,7 +12,7 @@ from refrain.operators.genre import genre_long
 from refrain.operators.ranking import display_order, mean_by, share_of
 from refrain.operators.sentiment import sentiment_relative, song_sentiment
 from refrain.operators.sizing import broadcast_if_small
-from refrain.operators.words import unnest_tokens, word_freq
+from refrain.operators.words import compute_once, explode_words, word_freq
 from refrain.session import pin
 
 
@@ -70,19 +70,23 @@ def rank_band(scored: DataFrame, low: int, high: int) -> DataFrame:
     return scored.filter(F.col("rank").between(low, high))
 
 
-def songs_with_score(songs: DataFrame, lexicon: DataFrame, max_words: int = 20_000) -> DataFrame:
-    """Songs with a lexicon word. A small lexicon is tested inside each song's row; a large one needs
-    a join of the words."""
+def words_with_score(
+    songs: DataFrame, lexicon: DataFrame, keep: list[str], key: str = "lyrics_id", max_words: int = 20_000
+) -> DataFrame:
+    """The words of the songs that hold a lexicon word: ``(keep, words)``, the words as an array.
+
+    A small lexicon is tested inside each song's row; a large one needs a join of the words.
+    """
+    words = compute_once(songs.select(key, *keep, "lyrics"), tokens(F.col("lyrics")), "words").drop("lyrics")
     if lexicon.limit(max_words + 1).count() <= max_words:
         known = lexicon.agg(F.collect_set("word")).scalar()
-        return songs.filter(F.arrays_overlap(tokens(F.col("lyrics")), known))
-    tok = unnest_tokens(songs.select("lyrics_id", "lyrics"), "word", "lyrics")
-    return songs.join(tok.join(lexicon, "word", "left_semi").select("lyrics_id"), "lyrics_id", "left_semi")
+        return words.filter(F.arrays_overlap("words", known)).drop(key)
+    hits = words.select(key, explode_words("words", "word")).join(lexicon, "word", "left_semi")
+    return words.join(hits.select(key), key, "left_semi").drop(key)
 
 
 def emotions_by_genre(songs: DataFrame, lexicon: DataFrame, emotions: DataFrame) -> DataFrame:
     """Emotion profile of each genre over the songs that have a sentiment."""
-    scored = songs_with_score(songs.select("lyrics_id", "lyrics", *fixed.GENRES), lexicon)
-    words = scored.select(*fixed.GENRES, tokens(F.col("lyrics")).alias("_words"))
-    tok = genre_long(words, fixed.GENRES, "genre").select("genre", F.explode("_words").alias("word"))
+    scored = words_with_score(songs, lexicon, fixed.GENRES)
+    tok = genre_long(scored, fixed.GENRES, "genre").select("genre", explode_words("words", "word"))
     return sentiment_relative(word_freq(tok, ["genre"]), emotions, "genre")

@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
-from refrain.functions.text import decade, tokens
+from refrain.functions.text import WORD_CHAR, decade, tokens
 from refrain.operators.genre import filter_flag, genre_long
 from refrain.operators.ranking import reverse_index, topk
 from refrain.operators.richness import song_richness
 from refrain.operators.sizing import broadcast_if_small, natural_join
 from refrain.operators.tfidf import tf_idf
-from refrain.operators.words import document_counts, drop_words, remove_stopwords, unnest_tokens, word_freq
+from refrain.operators.words import (
+    document_counts,
+    drop_words,
+    explode_words,
+    remove_stopwords,
+    unnest_tokens,
+    word_freq,
+)
 
 
 def top_words(songs: DataFrame, stop: list[str], k: int = 25) -> DataFrame:
@@ -54,7 +61,7 @@ def song_tf_idf(songs: DataFrame, key: str = "lyrics_id") -> DataFrame:
     shuffles are the term table and the join with it."""
     words = songs.select(key, tokens(F.col("lyrics")).alias("_words")).withColumn("_len", F.size("_words"))
     counts = document_counts(words, "_words")
-    n_songs = words.agg(F.count_if(F.col("_len") > 0)).scalar()
+    n_songs = songs.agg(F.count_if(F.col("lyrics").rlike(WORD_CHAR))).scalar()
     return tf_idf(counts, "word", key, "n", total="_len", n_groups=n_songs).drop("_len")
 
 
@@ -84,7 +91,7 @@ def tf_idf_by_decade(songs: DataFrame, k: int = 20) -> DataFrame:
 def tf_idf_by_genre(songs: DataFrame, flags: list[str], genres: list[str], k: int = 20) -> DataFrame:
     """The heaviest words of the chosen genres, weighed against all genres."""
     words = songs.select(*flags, tokens(F.col("lyrics")).alias("_words"))
-    tok = genre_long(words, flags).select("genre_tidy", F.explode("_words").alias("word"))
+    tok = genre_long(words, flags).select("genre_tidy", explode_words("_words", "word")).filter("word IS NOT NULL")
     top = _top_tf_idf(tok, "genre_tidy", k, max_groups=len(flags))
     return reverse_index(top.filter(F.col("genre_tidy").isin(genres)), ["genre_tidy"], "tf_idf", ["word"])
 

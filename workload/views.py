@@ -9,6 +9,7 @@ from refrain import fixed
 from refrain.functions.text import TOKEN, tokens
 from refrain.operators.features import embedding_dict
 from refrain.operators.genre import add_others, genre_flags
+from refrain.operators.words import explode_words
 from refrain.sources.tables import read_table, spread
 
 # The stop words of the test corpus and the genre given to each last digit of the id.
@@ -18,6 +19,8 @@ GENRE_OF_DIGIT = [
     "Alternative-indie-rock", "Extraction failed", "Punk-metal", "Novelty",
 ]
 CHART_SIZE = 100
+# A text up to the end of its third word.
+OPENING = r"^[^\p{L}\p{N}]*+(?:[\p{L}\p{N}]++(?:['’][\p{L}\p{N}]++)*+[^\p{L}\p{N}]*+){0,3}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +40,7 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (1 + F.floor(F.col("doc_id") / 50) % CHART_SIZE).cast("int").alias("rank"),
         F.col("source").alias("singer"),
         "lang",
-        F.array_join(F.slice(tokens(F.col("text")), 1, 3), " ").alias("song_name"),
+        F.array_join(F.slice(tokens(F.regexp_extract("text", OPENING, 0)), 1, 3), " ").alias("song_name"),
         F.col("text").alias("lyrics"),
         genre.alias("genre"),
     )
@@ -50,7 +53,7 @@ def flagged_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _benchmark_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = table(spark, sf_dir, "benchmark").select("text")
-    return text.select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
+    return text.select(explode_words(tokens(F.col("text")), "word")).distinct().filter("word IS NOT NULL")
 
 
 def lexicon_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,11 +81,11 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as annotated tokens, tagged by word length."""
     docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     sentences = docs.select(
-        "doc_id", F.posexplode(F.split(F.lower("text"), r"[.!?\n]+")).alias("sentence_id", "_s")
+        "doc_id", F.posexplode_outer(F.split(F.lower("text"), r"[.!?\n]+")).alias("sentence_id", "_s")
     )
     words = sentences.select(
-        "doc_id", "sentence_id", F.posexplode(tokens(F.col("_s"))).alias("token_id", "word")
-    )
+        "doc_id", "sentence_id", F.posexplode_outer(tokens(F.col("_s"))).alias("token_id", "word")
+    ).filter("word IS NOT NULL")
     kind = F.length("word") % 5
     return words.select(
         F.concat(F.lit("doc"), F.col("doc_id")).alias("doc_id"),
