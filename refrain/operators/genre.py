@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from refrain import fixed
 from refrain.functions.text import replace_chain
+from refrain.operators.sizing import join_totals
 
 
 def clean_genre(col: Column) -> Column:
@@ -75,7 +76,7 @@ def genre_fallback(
     cited = F.regexp_replace(F.col(raw), "(?s)^.*Wikipedia*|Cached.*$", "")
     looked_up = F.when(F.col("_read"), F.coalesce("_found", F.col(genre))).otherwise(fixed.PAGE_MISSING)
     # Settled rows take no part in the join, where they would all share one null key.
-    asked = df.filter(is_open).withColumn("_url", cited).join(found, "_url", "left")
+    asked = join_totals(df.filter(is_open).withColumn("_url", cited), found, ["_url"], "left")
     asked = asked.withColumn(genre, looked_up).select(*df.columns)
     return df.filter(~is_open).unionByName(asked)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from refrain.operators.sizing import join_totals
+
 
 def topk(
     df: DataFrame,
@@ -51,7 +53,7 @@ def share_of(df: DataFrame, value: str, within: list[str], out: str = "perc") ->
     """
     totals = df.groupBy(*within).agg(F.sum(value).alias("_total"))
     return (
-        df.join(totals, within)
+        join_totals(df, totals, within)
         .withColumn(out, F.col(value).cast("double") / F.col("_total").cast("double"))
         .drop("_total")
     )

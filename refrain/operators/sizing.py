@@ -23,3 +23,16 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     if not shared:
         raise ValueError("the two sides share no column")
     return left.join(right, shared, how)
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join rows with a table that was aggregated by the join keys.
+
+    Spark would keep the aggregate's partitioning for the join, and adaptive execution then cannot
+    split a frequent key. The keys are therefore joined as one computed string: the aggregate, one
+    row per key, is shuffled once more, and the rows of a frequent key spread over several tasks.
+    Keys must not be null.
+    """
+    key = F.concat_ws("\u0000", *[F.col(k).cast("string") for k in keys])
+    keyed = totals.withColumn("_key", key).drop(*keys)
+    return rows.withColumn("_key", key).join(keyed, "_key", how).drop("_key")

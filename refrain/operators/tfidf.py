@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from refrain.operators.sizing import join_totals
+
 MAX_SMALL_GROUPS = 10_000
 
 
@@ -33,13 +35,15 @@ def tf_idf(
     if total is None:
         totals = counts.groupBy(group).agg(F.sum(n).alias("_total"))
         if max_groups is not None and max_groups <= MAX_SMALL_GROUPS:
-            totals = F.broadcast(totals)
-        counts, total = counts.join(totals, group), "_total"
+            counts = counts.join(F.broadcast(totals), group)
+        else:
+            counts = join_totals(counts, totals, [group])
+        total = "_total"
         if n_groups is None:
             n_groups = totals.agg(F.count_if(F.col("_total") > 0)).scalar()
     elif n_groups is None:
         n_groups = counts.select(group).distinct().agg(F.count("*")).scalar()
-    weighed = counts.join(per_term, term)
+    weighed = join_totals(counts, per_term, [term])
     weighed = weighed.withColumn("tf", F.col(n).cast("double") / F.col(total).cast("double"))
     weighed = weighed.withColumn("idf", F.ln(n_groups.cast("double") / F.col("_df").cast("double")))
     return weighed.withColumn("tf_idf", F.col("tf") * F.col("idf")).drop("_df", "_total")
