@@ -33,6 +33,6 @@ def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str], how: str =
     row per key, is shuffled once more, and the rows of a frequent key spread over several tasks.
     Keys must not be null.
     """
-    key = F.concat_ws("\u0000", *[F.col(k).cast("string") for k in keys])
+    key = F.concat_ws("\u001f", *[F.col(k).cast("string") for k in keys])
     keyed = totals.withColumn("_key", key).drop(*keys)
     return rows.withColumn("_key", key).join(keyed, "_key", how).drop("_key")
