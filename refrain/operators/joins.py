@@ -15,8 +15,12 @@ SONG_KEY = ["rank", "year", "song_name", "singer"]
 
 
 def join_chart_lyrics(chart: DataFrame, lyrics: DataFrame) -> DataFrame:
-    """Chart rows with the lyrics found under the same title and artist."""
-    return chart.join(lyrics, ["song_name", "singer"])
+    """Chart rows with the lyrics found under the same title and artist.
+
+    A song that charted in two years was looked up twice; its equal lyrics rows are merged before
+    the join, where they would multiply.
+    """
+    return chart.join(lyrics.distinct(), ["song_name", "singer"])
 
 
 def join_genre(lyrics: DataFrame, genres: DataFrame) -> DataFrame:

@@ -65,5 +65,9 @@ def mean_by(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
 
 
 def display_order(df: DataFrame, measure: str, tie_break: list[str], out: str = "ord") -> DataFrame:
-    """Number the rows of a report by falling ``measure``, for use as a plotting order."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(F.desc(measure), *tie_break)))
+    """Number the rows of a report by falling ``measure``, for use as a plotting order.
+
+    A mean's last digits depend on the order of its sum, so values equal to nine digits are tied.
+    """
+    best_first = F.desc(F.round(measure, 9))
+    return df.withColumn(out, F.row_number().over(Window.orderBy(best_first, *tie_break)))

@@ -284,6 +284,15 @@ def test_join_genre_drops_rows_without_genre(spark):
     assert {r["rank"]: r["genre"] for r in joins.join_genre(lyrics, genres).collect()} == {0: "Pop", 2: "raw"}
 
 
+def test_lyrics_fill(spark):
+    key = "rank int, year int, song_name string, singer string"
+    chart = spark.createDataFrame([(1, 1970, "s", "a"), (2, 1971, "t", "a"), (3, 1972, "u", "b"), (4, 1973, "t", "a")], key)
+    stored = spark.createDataFrame([(1, 1970, "s", "a", "old")] * 2, key + ", lyrics string")
+    fetched = spark.createDataFrame([("t", "a", "new"), ("t", "a", "new"), ("s", "a", "other")], "song_name string, singer string, lyrics string")
+    got = sorted((r["rank"], r["lyrics"]) for r in joins.lyrics_fill(chart, stored, fetched).collect())
+    assert got == [(1, "old"), (2, "new"), (4, "new")]
+
+
 def test_document_terms(spark):
     rows = [(i, "common rare%d word" % i if i else "common") for i in range(10)]
     df = spark.createDataFrame(rows, "id int, t string")

@@ -11,7 +11,7 @@ ORACLE = contract.oracle_sql()
 QUERIES = contract.queries()
 # Keys of the inventory that have no SQL twin.
 ROWS_ONLY = {
-    "html_text", "stem_tokens", "svm_count", "svm_binary", "svm_embedding", "svm_sumvec", "logit_count",
+    "stem_tokens", "svm_count", "svm_binary", "svm_embedding", "svm_sumvec", "logit_count",
     "repeated_cv", "lda_topics", "lda_topics_subset", "lda_beta", "lda_gamma",
 }
 

@@ -49,6 +49,9 @@ def _artist(col: str) -> str:
     return f"translate(case {branches} else lower({col}) end, {_q(fixed.ARTIST_STRIP)}, '')"
 
 
+# The escapes of the test pages.
+ENTITIES = [("&quot;?", '"'), ("&#x27;?", "'"), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&")]
+
 DECADE = (
     "case "
     + " ".join(f"when year between {a} and {b} then '{n}'" for n, a, b in fixed.DECADES)
@@ -262,6 +265,9 @@ ORACLE_BODIES = {
                cast(row_number() over (partition by year, lyrics_id // 5000 order by lyrics_id) as int) as row_no,
                concat(rank, '|"', song_name, '"|', singer) as cells
         from chart_raw""",
+    "html_text": f"""
+        select page_id, cast(1 as int) as pos,
+               {_chain("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)", ENTITIES)} as text from pages""",
     "clean_scraped": """
         select doc_id, regexp_replace(translate(text, chr(10) || chr(13) || '"', ' '), '^\\s+|\\s+$', '', 'g') as cleaned
         from documents""",
@@ -330,8 +336,8 @@ ORACLE_BODIES = {
         select *, case when {' + '.join(fixed.GENRES)} <= 0 then 1 else 0 end as others
         from (select lyrics_id, genre, {', '.join(_flag(*r) for r in fixed.GENRE_RULES)} from {CLEAN_EXTRACT})""",
     "join_chart_lyrics": """
-        select a.rank, a.song_name, a.singer, a.year, md5(b.lyrics) as lyrics
-        from songs a join songs b on a.song_name = b.song_name and a.singer = b.singer""",
+        select rank, song_name, singer, year, found as lyrics
+        from songs join (select distinct song_name, singer, md5(lyrics) as found from songs) using (song_name, singer)""",
     "join_genre": """
         select a.rank, a.year, a.song_name, a.singer, md5(a.lyrics) as lyrics, concat('raw ', b.genre) as genre_raw,
                case when b.genre = 'Extraction failed' then concat('raw ', b.genre) else b.genre end as genre
@@ -344,8 +350,9 @@ ORACLE_BODIES = {
         with stored as (select distinct rank, song_name, singer, year, md5(lyrics) as lyrics
                         from songs where lyrics_id % 4 <> 0)
         select * from stored union all
-        select a.rank, a.song_name, a.singer, a.year, md5(b.lyrics)
-        from songs a join songs b on a.song_name = b.song_name and a.singer = b.singer and b.lyrics_id % 8 = 0
+        select a.rank, a.song_name, a.singer, a.year, b.found
+        from songs a join (select distinct song_name, singer, md5(lyrics) as found from songs where lyrics_id % 8 = 0) b
+          on a.song_name = b.song_name and a.singer = b.singer
         where not exists (select 1 from stored s where a.rank = s.rank and a.year = s.year
                           and a.song_name = s.song_name and a.singer = s.singer)""",
     "tokenize": """
@@ -409,7 +416,7 @@ ORACLE_BODIES = {
     "mean_sentiment_by_year": MEAN.format(g="year"),
     "mean_sentiment_by_decade": MEAN.format(g="decade"),
     "mean_sentiment_by_genre": """
-        select genre_tidy, round(m, 9) as mean_sent, cast(row_number() over (order by m desc, genre_tidy) as int) as ord
+        select genre_tidy, round(m, 9) as mean_sent, cast(row_number() over (order by round(m, 9) desc, genre_tidy) as int) as ord
         from (select genre_tidy, avg(ave_sentiment) as m from tidy group by 1)""",
     "genre_tidy": """
         select lyrics_id, sentiment, cast(lyrics_length as int) as lyrics_length,
