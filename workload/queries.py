@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from refrain import fixed
 from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url
-from refrain.functions.text import clean_scraped, dash_key, decade, normalise, tokens
+from refrain.functions.text import clean_scraped, dash_key, decade, normalise
 from refrain.operators import annotate, distribution, documents, features, joins, models, ranking, richness
 from refrain.operators import sampling, sentiment, topics, words
 from refrain.operators.genre import clean_genre, extract_genre, extraction_report, genre_fallback, genre_long
