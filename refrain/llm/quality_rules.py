@@ -54,9 +54,13 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that the text holds twice or more."""
+    """Words inside three-word windows that the text holds twice or more.
 
-    def of_sorted(windows: Column) -> Column:
+    The sorted hashes tell which windows repeat. If these are few, windows that are none of them leave first;
+    the rest is sorted with its positions and each window compared with its neighbours.
+    """
+
+    def at_positions(windows: Column) -> Column:
         def repeated(x: Column, k: Column) -> Column:
             before = F.when(k > 0, F.get(windows, k - 1)["h"])
             after = F.get(windows, k + 1)["h"]
@@ -67,19 +71,25 @@ def _repeat_words(words: Column) -> Column:
         step = lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"))
         return F.aggregate(at, zero, step, lambda a: a["n"])
 
+    def of_hashes(hashes: Column) -> Column:
+        def of_twice(twice: Column) -> Column:
+            few = F.size(twice) <= 16
+            pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+            left = F.filter(pairs, lambda x: ~few | F.array_contains(twice, x["h"]))
+            return F.when(F.size(twice) == 0, F.lit(0).cast("long")).otherwise(_let(F.sort_array(left), at_positions))
+
+        same = lambda ordered: F.filter(ordered, lambda h, k: (k > 0) & (F.get(ordered, k - 1) == h))
+        return _let(_let(F.sort_array(hashes), same), of_twice)
+
     starts = F.sequence(F.lit(0), F.size(words) - 3)
-    hashed = F.transform(
-        starts,
-        lambda i: F.struct(
-            F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")
-        ),
-    )
-    return F.when(F.size(words) >= 4, _let(F.sort_array(hashed), of_sorted)).otherwise(F.lit(0).cast("long"))
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
+    return F.when(F.size(words) >= 4, _let(hashes, of_hashes)).otherwise(F.lit(0).cast("long"))
 
 
 def _of_words(words: Column) -> Column:
     return F.struct(
         F.size(words).cast("long").alias("n_words"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         _repeat_words(words).alias("n_repeat_words"),
         F.size(F.filter(words, lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
     )
@@ -98,16 +108,15 @@ def text_counts(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc
     trimmed = F.btrim(body, F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \t-\r]+"))
     with_word = F.filter(F.split(body, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    without = lambda chars: F.length(body) - F.length(F.translate(body, chars, ""))
+    without = lambda chars: F.length(body) - F.length(F.regexp_replace(body, chars, ""))
     counted = docs.select(
         *keep,
         _let(words, _of_words).alias("_words"),
         _let(with_word, _of_lines).alias("_lines"),
-        F.length(F.translate(body, SPACES, "")).cast("long").alias("word_chars"),
-        without(SYMBOLS).cast("long").alias("n_symbols"),
+        without(f"[{SYMBOLS}]").cast("long").alias("n_symbols"),
         without("!").cast("long").alias("n_marks"),
     )
-    return counted.select(*keep, "_words.*", "_lines.*", "word_chars", "n_symbols", "n_marks")
+    return counted.select(*keep, "_words.*", "_lines.*", "n_symbols", "n_marks")
 
 
 def compiled(thresholds: Sequence[Threshold]) -> Column:
