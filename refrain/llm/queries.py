@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import quality_rules, url_filters, warc
+from refrain.llm import mixing, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,13 @@ def op3_warc(spark, d):
     )
 
 
+@query
+def op5_mixing(spark, d):
+    """Words that the mix takes of every document."""
+    mixed = mixing.mix(table(spark, d, "documents"), keep=["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
 @query
 def op6_quality_rules(spark, d):
     """Counts, base failures and verdict of every document."""

@@ -16,13 +16,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: computed once, lost executors lose nothing."""
+    """``df`` written as Parquet to the shared folder and read again.
+
+    It is computed once, cuts the lineage, survives lost executors, and its size is known to the optimizer.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def pinned(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint, for small tables of iterative work."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
