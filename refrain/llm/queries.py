@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import mixing, quality_rules, url_filters, warc
+from refrain.llm import mixing, packing, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +19,15 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary() -> str:
+    """Where the public tokenizer files lie on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -56,3 +65,9 @@ def op5_mixing(spark, d):
 def op6_quality_rules(spark, d):
     """Counts, base failures and verdict of every document."""
     return quality_rules.apply_rules(table(spark, d, "documents"))
+
+
+@query
+def op10_packing(spark, d):
+    """Every piece of every document and its place in the packed sequences."""
+    return packing.pack(table(spark, d, "documents"), vocabulary()).drop("source")
