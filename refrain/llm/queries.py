@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import mixing, packing, quality_rules, url_filters, warc
+from refrain.llm import mixing, packing, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,24 @@ def op1_url_filters(spark, d):
     return url_filters.judge_urls(table(spark, d, "pages"), rules)
 
 
+GOOD = 0.7
+
+
+def remainder(key: str, n: int):
+    """crc32 of the id as text, modulo ``n``."""
+    return F.crc32(F.col(key).cast("string")) % n
+
+
+@query
+def op2_quality_classifier(spark, d):
+    """Quality score of every document, learned from the labels that are not held out."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    trees = quality_classifier.train(docs, labels.filter(remainder("doc_id", 4) != 2))
+    scored = quality_classifier.score(docs, trees)
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 @query
 def op3_warc(spark, d):
     """Every page written to archives and read back."""
