@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import mixing, packing, quality_classifier, quality_rules, url_filters, warc
+from refrain.llm import mixing, packing, pii, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,18 @@ def op6_quality_rules(spark, d):
 def op10_packing(spark, d):
     """Every piece of every document and its place in the packed sequences."""
     return packing.pack(table(spark, d, "documents"), vocabulary()).drop("source")
+
+
+@query
+def op9_pii(spark, d):
+    """Personal data of every document; counts and hash are of the base spans."""
+    docs = table(spark, d, "documents")
+    found = pii.detect(docs, pii.train(docs)).drop("masked")
+    coded = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.KINDS],
+        F.sha2(coded(F.col("base")), 256).alias("base_sha256"),
+        coded(F.col("spans")).alias("spans"),
+    )
