@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import mixing, packing, pii, quality_classifier, quality_rules, url_filters, warc
+from refrain.llm import language_model, mixing, packing, pii, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,11 @@ def op9_pii(spark, d):
         F.sha2(coded(F.col("base")), 256).alias("base_sha256"),
         coded(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op8_language_model(spark, d):
+    """Exact base score and model score of every document."""
+    held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
+    scored = language_model.score(table(spark, d, "documents"), ~held_out)
+    return scored.withColumn("held_out", held_out)
