@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import language_model, mixing, packing, pii, quality_classifier, quality_rules, url_filters, warc
+from refrain.llm import language_model, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +112,9 @@ def op8_language_model(spark, d):
     held_out = F.coalesce(remainder("doc_id", 5) == 1, F.lit(False))
     scored = language_model.score(table(spark, d, "documents"), ~held_out)
     return scored.withColumn("held_out", held_out)
+
+
+@query
+def op7_ngram_join(spark, d):
+    """Class and number of links of every document."""
+    return ngram_join.join(table(spark, d, "documents"))
