@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import language_model, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, url_filters, warc
+from refrain.llm import embedding_dedup, language_model, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,3 +118,10 @@ def op8_language_model(spark, d):
 def op7_ngram_join(spark, d):
     """Class and number of links of every document."""
     return ngram_join.join(table(spark, d, "documents"))
+
+
+@query
+def op4_embedding_dedup(spark, d):
+    """Links and component of every vector."""
+    found = embedding_dedup.near_duplicates(table(spark, d, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
