@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain.llm.components import components
@@ -101,8 +101,13 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def text_hash(text: str) -> Column:
+    """What tells rows with one id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def with_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, size, digest, signature and set of every document."""
+    """id, hash of the text, size, digest, signature and set of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -114,16 +119,17 @@ def with_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0),
+                        b.column(2),
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([hashlib.blake2b(x, digest_size=16).digest() if x else None for x in data], pa.binary()),
                         pa.array([signature(s).tolist() for s in sets], pa.list_(pa.int32())),
                         pa.array(data, pa.binary()),
                     ],
-                    names=["id", "size", "digest", "sig", "shingles"],
+                    names=["id", "text_hash", "size", "digest", "sig", "shingles"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    return stored(rows.mapInArrow(run, "id long, size int, digest binary, sig array<int>, shingles binary"), "join-sets")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), text_hash(text).alias("text_hash"))
+    return stored(rows.mapInArrow(run, "id long, text_hash long, size int, digest binary, sig array<int>, shingles binary"), "join-sets")
 
 
 def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -258,7 +264,7 @@ def _exact_links(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
-    """id, class_id (the least id its links reach, itself included) and n_links of every document."""
+    """id, text_hash, class_id (the least id its links reach, itself included) and n_links of every document."""
     rows = with_sets(docs, id_col, text)
     having = rows.filter("digest is not null")
     classes = having.groupBy("digest").agg(
@@ -292,6 +298,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: in
         ),
         "join-result",
     )
-    return rows.select("id", "digest").join(of_class, "digest", "left").select(
-        F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    return rows.select("id", "text_hash", "digest").join(of_class, "digest", "left").select(
+        F.col("id").alias(id_col), "text_hash", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )

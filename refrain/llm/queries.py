@@ -117,7 +117,7 @@ def op8_language_model(spark, d):
 @query
 def op7_ngram_join(spark, d):
     """Class and number of links of every document."""
-    return ngram_join.join(table(spark, d, "documents"))
+    return ngram_join.join(table(spark, d, "documents")).drop("text_hash")
 
 
 @query
