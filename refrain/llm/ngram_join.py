@@ -14,6 +14,7 @@ one class with a least id and a count, so copies cost one row. Classes are joine
 3. Each group's sets are read once and compared exactly, in blocks of ``block`` classes, every pair of blocks in
    a task of its own. Every pair is met in exactly one task, so links are counted exactly, without rows for pairs.
 
+Joins with tables that grow with the input are merge joins at every size; nothing that grows is broadcast.
 Only signatures of classes that share a bucket are shuffled, and sets of classes that are in a candidate group.
 
 Edge cases: a null or empty text has no shingle and links with nothing; a text of one to four words has its words
@@ -138,13 +139,14 @@ def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, depth: int
     return math.ceil(math.log(1 - recall) / math.log(1 - met))
 
 
-def _salted(rows: DataFrame, key: str, n: str, size: int, tie: str) -> DataFrame:
+def _salted(rows: DataFrame, n: str, size: int, tie: str) -> DataFrame:
     """Rows of each key dealt into blocks of about ``size`` and given once to every pair of blocks they belong to.
 
-    Adds x and y, the blocks of a pair with x <= y, and mine, the block of the row.
+    Adds x and y, the blocks of a pair with x <= y, and mine, the block of the row. The number of blocks is a power
+    of two and the block follows from ``tie`` alone, so a group that several buckets hold is cut alike in all.
     """
-    blocks = F.ceil(F.col(n) / size).cast("int")
-    rows = rows.withColumn("mine", F.pmod(F.xxhash64(key, tie), blocks).cast("int"))
+    blocks = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col(n) / size, F.lit(1.0))))).cast("int")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64(tie), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     return rows.withColumn("other", other).select(
         *[c for c in rows.columns], F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")
@@ -165,12 +167,9 @@ def _forest(pairs: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
         root = low
 
 
-def _likely_links(part: pd.DataFrame) -> pd.DataFrame:
-    """Edges from classes to the least class they are linked with by likely pairs, inside a bucket."""
-    part = part.sort_values("digest")
-    sig = np.stack(part["sig"].to_numpy()).astype(np.int32)
-    mine, cross = part["mine"].to_numpy(), part["x"].iloc[0] != part["y"].iloc[0]
-    a_all, b_all, n = [], [], len(part)
+def _likely_in(sig: np.ndarray, mine: np.ndarray, cross: bool) -> np.ndarray:
+    """The root of every member of one bucket: the least member linked with it by likely pairs."""
+    a_all, b_all, n = [], [], len(sig)
     for at in range(0, n, 64):
         equal = np.zeros((min(64, n - at), n), np.int16)
         for p in range(POSITIONS):
@@ -180,9 +179,60 @@ def _likely_links(part: pd.DataFrame) -> pd.DataFrame:
         right = (a < b) & ((mine[a] != mine[b]) | (not cross))
         a_all.append(a[right])
         b_all.append(b[right])
-    root = _forest((np.concatenate(a_all), np.concatenate(b_all)), n)
-    digests, linked = part["digest"].to_numpy(), np.flatnonzero(root != np.arange(n))
-    return pd.DataFrame({"a": digests[linked], "b": digests[root[linked]]})
+    return _forest((np.concatenate(a_all), np.concatenate(b_all)), n)
+
+
+def _likely_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges of buckets that arrive one after another: bucket, mine, cross, digest, signature in order.
+
+    Buckets of a few members are compared all at once, the others one by one; the last bucket of a batch waits for
+    its rest, and no bucket is longer than two blocks.
+    """
+    held = None
+    small = 8
+
+    def edges(t: pa.Table) -> pa.RecordBatch:
+        n = len(t)
+        keys = [t.column(c).to_numpy() for c in ("node", "x", "y")]
+        change = np.zeros(n, bool)
+        change[0] = True
+        for k in keys:
+            change[1:] |= k[1:] != k[:-1]
+        first = np.flatnonzero(change)
+        sizes = np.diff(np.r_[first, n])
+        group = np.repeat(np.arange(len(first)), sizes)
+        sig = t.column("sig").combine_chunks().flatten().to_numpy().reshape(n, POSITIONS)
+        mine, cross = t.column("mine").to_numpy(), keys[1] != keys[2]
+        a_all, b_all, few = [], [], sizes[group] <= small
+        for k in range(1, min(small, n)):
+            a = np.flatnonzero(few[:-k] & (group[:-k] == group[k:]))
+            a = a[(mine[a] != mine[a + k]) | ~cross[a]]
+            a = a[(sig[a] == sig[a + k]).sum(1) >= LIKELY]
+            a_all.append(a)
+            b_all.append(a + k)
+        none = np.zeros(0, np.int64)
+        root = _forest((np.concatenate([none, *a_all]), np.concatenate([none, *b_all])), n)
+        for f, size in zip(first[sizes > small], sizes[sizes > small], strict=True):
+            own = slice(f, f + size)
+            root[own] = f + _likely_in(sig[own], mine[own], bool(cross[f]))
+        linked = np.flatnonzero(root != np.arange(n))
+        digests = t.column("digest").combine_chunks()
+        return pa.record_batch([digests.take(pa.array(linked)), digests.take(pa.array(root[linked]))], names=["a", "b"])
+
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        held = t if held is None else pa.concat_tables([held, t])
+        last = held.slice(len(held) - 1).to_pylist()[0]
+        same = np.ones(len(held), bool)
+        for c in ("node", "x", "y"):
+            same &= held.column(c).to_numpy() == last[c]
+        cut = len(held) if not same.all() else 0
+        if cut:
+            cut = int(np.flatnonzero(~same)[-1]) + 1
+            yield edges(held.slice(0, cut))
+            held = held.slice(cut)
+    if held is not None and len(held):
+        yield edges(held)
 
 
 def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
@@ -203,16 +253,17 @@ def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
         counts = (first if depth == 1 else paths).groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
         counts = stored(counts, "join-counts")
         if depth == 1:
-            shared = stored(first.join(counts, "node"), "join-paths")
-            shared = shared.join(classes.select("digest", "sig"), "digest")
+            shared = stored(first.join(counts.hint("merge"), "node"), "join-paths")
+            shared = shared.join(classes.select("digest", "sig").hint("merge"), "digest")
         else:
-            shared = paths.join(counts, "node")
+            shared = paths.join(counts.hint("merge"), "node")
         shared = stored(shared, "join-shared")
         settled = (F.col("n") <= bucket) | F.coalesce(F.col("n") >= 0.6 * F.col("parents"), F.lit(False))
         last = depth == DEPTH
         ready = shared if last else shared.filter(settled)
-        dealt = _salted(ready, "node", "n", bucket, "digest").groupBy("node", "x", "y")
-        links = stored(dealt.applyInPandas(_likely_links, "a binary, b binary"), "join-links")
+        dealt = _salted(ready.select("digest", "sig", "node", "n"), "n", bucket, "digest")
+        dealt = dealt.repartition("node", "x", "y").sortWithinPartitions("node", "x", "y", "digest")
+        links = stored(dealt.mapInArrow(_likely_links, "a binary, b binary"), "join-links")
         found = links if found is None else found.union(links)
         if last:
             break
@@ -224,6 +275,30 @@ def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
     return found
 
 
+FILTER_BITS = 1 << 26
+
+
+def of_members(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows whose digest may be one of ``members``, by a bit array of fixed size (8 MB) that is broadcast.
+
+    A few others pass and leave in the join that follows; without it the sets of all documents would be shuffled.
+    """
+    at = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
+    bits = members.select(F.floor(at / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(digest), {FILTER_BITS}) % 64 as int))").alias("bit"))
+    words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    held = np.zeros(FILTER_BITS // 64, np.int64)
+    held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = rows.sparkSession.sparkContext.broadcast(held)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            place = b.column(0).to_numpy()
+            there = (shared.value[place >> 6] >> (place & 63)) & 1
+            yield b.filter(pa.array(there == 1)).select(["digest", "id", "shingles"])
+
+    return rows.select(at.alias("place"), "digest", "id", "shingles").mapInArrow(passing, "digest binary, id long, shingles binary")
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections."""
     n = len(sets)
@@ -277,8 +352,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: in
     members = stored(members.join(classes.select("digest", "id", "copies"), "digest"), "join-members")
     # One row per class carries the set: the one with the class's least id.
     own = (F.col("s.digest") == F.col("m.digest")) & F.col("s.id").eqNullSafe(F.col("m.id"))
-    sets = having.alias("s").join(members.alias("m"), own).select("m.*", "s.shingles").dropDuplicates(["digest"])
-    dealt = _salted(sets, "component", "n", block, "digest")
+    sets = of_members(having, members).alias("s").join(members.alias("m").hint("merge"), own).select("m.*", "s.shingles").dropDuplicates(["digest"])
+    dealt = _salted(sets, "n", block, "digest")
     found = stored(
         dealt.groupBy("component", "x", "y").applyInPandas(_exact_links, "digest binary, links long, root binary"), "join-exact"
     )
@@ -298,6 +373,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: in
         ),
         "join-result",
     )
-    return rows.select("id", "text_hash", "digest").join(of_class, "digest", "left").select(
+    return rows.select("id", "text_hash", "digest").join(of_class.hint("merge"), "digest", "left").select(
         F.col("id").alias(id_col), "text_hash", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
     )
