@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def hash_order(key: str, seed: int) -> Column:
-    """A pseudo-random but reproducible order: by md5 of key and seed, then by key."""
+def hash_order(key: str, seed: int | str) -> Column:
+    """A pseudo-random but reproducible order: by md5 of key and seed, then by key.
+
+    Steps that follow each other need seeds of their own, else the second repeats the order of the first.
+    """
     return F.struct(
         F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}"))).alias("h"), F.col(key).alias("k")
     )
 
 
-def _cut(df: DataFrame, key: str, seed: int, n: Column) -> Column:
+def _cut(df: DataFrame, key: str, seed: int | str, n: Column) -> Column:
     """The ``n``-th smallest hash order of the table, as a scalar subquery.
 
     Rows are counted per leading 16 bits of the hash; only the bin that holds the n-th row is
@@ -32,25 +35,25 @@ def _cut(df: DataFrame, key: str, seed: int, n: Column) -> Column:
     return inside.filter(F.col("place") == n - skipped).select("o").scalar()
 
 
-def mark_first(df: DataFrame, key: str, seed: int, n: Column, out: str) -> DataFrame:
+def mark_first(df: DataFrame, key: str, seed: int | str, n: Column, out: str) -> DataFrame:
     """Flag the first ``n`` rows in hash order; ``key`` must be unique. Nothing is shuffled but the
     bin counts and one bin."""
     return df.withColumn(out, F.coalesce(hash_order(key, seed) <= _cut(df, key, seed, n), F.lit(False)))
 
 
-def mark_train(df: DataFrame, key: str, frac: float, seed: int, out: str = "is_train") -> DataFrame:
+def mark_train(df: DataFrame, key: str, frac: float, seed: int | str, out: str = "is_train") -> DataFrame:
     """Flag an exact ``floor(frac * n)`` rows as training rows."""
     size = df.agg(F.floor(F.count("*") * F.lit(float(frac)))).scalar()
     return mark_first(df, key, seed, size, out)
 
 
-def mark_train_approx(df: DataFrame, key: str, frac: float, seed: int, out: str = "is_train") -> DataFrame:
+def mark_train_approx(df: DataFrame, key: str, frac: float, seed: int | str, out: str = "is_train") -> DataFrame:
     """Flag about ``frac`` of the rows by a hash threshold: row-local, no pass over the table before."""
     leading = F.conv(F.substring(hash_order(key, seed)["h"], 1, 8), 16, 10).cast("bigint")
     return df.withColumn(out, leading < int(frac * 2**32))
 
 
-def train_test_split(df: DataFrame, key: str, frac: float, seed: int) -> tuple[DataFrame, DataFrame]:
+def train_test_split(df: DataFrame, key: str, frac: float, seed: int | str) -> tuple[DataFrame, DataFrame]:
     """An exact seeded split into a training set and the rest."""
     marked = mark_train(df, key, frac, seed, "_train")
     return (
@@ -59,7 +62,7 @@ def train_test_split(df: DataFrame, key: str, frac: float, seed: int) -> tuple[D
     )
 
 
-def class_balance(df: DataFrame, flag: str, key: str, seed: int, label: str = "label") -> DataFrame:
+def class_balance(df: DataFrame, flag: str, key: str, seed: int | str, label: str = "label") -> DataFrame:
     """All rows with ``flag`` 1 and equally many of those with 0, labelled 1.0 and 0.0.
 
     With fewer negatives than positives every negative is kept.

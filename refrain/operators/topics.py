@@ -38,6 +38,7 @@ def topic_model(
         optimizeDocConcentration=False,
         seed=seed,
         maxIter=max_iter,
+        subsamplingRate=1.0,  # every text takes part in every pass
     )
     return lda.fit(vectors), vocabulary, vectors
 

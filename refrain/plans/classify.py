@@ -45,8 +45,13 @@ def predict_held_out(
     featured: DataFrame, estimator: Estimator, frac: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED,
     key: str = "lyrics_id",
 ) -> DataFrame:
-    """Fit on an exact seeded share of the rows and predict the others."""
-    marked = training_set(mark_train(featured, key, frac, seed))
+    """Fit on an exact seeded share of the rows of each label and predict the others.
+
+    The order of the split differs from the one the balanced sample was drawn in, though the seeds may be equal.
+    """
+    labels = [F.col("label") == 1.0, F.col("label") == 0.0]
+    parts = [mark_train(featured.filter(own), key, frac, f"{seed}-split") for own in labels]
+    marked = training_set(parts[0].unionByName(parts[1]))
     model = estimator.fit(marked.filter("is_train"))
     return model.transform(marked.filter("NOT is_train")).select(key, "label", "prediction")
 

@@ -377,3 +377,12 @@ def test_topic_weights(spark):
     assert all(math.isclose(r[1], 1.0) for r in gamma.groupBy("id").agg(F.sum("gamma")).collect())
     top = topics.top_terms(beta, 3).collect()
     assert [r["topic"] for r in top] == sorted(r["topic"] for r in top) and len(top) >= 6
+
+
+def test_held_out_rows_have_both_labels_with_equal_seeds(spark):
+    rows = [(k, int(k % 3 == 0), "rap words here" if k % 3 == 0 else "other song text") for k in range(120)]
+    songs = spark.createDataFrame(rows, "lyrics_id long, rap int, lyrics string")
+    featured = classify.with_features(classify.labelled_words(songs, "rap", [], seed=123), "count")
+    held_out = classify.predict_held_out(featured, models.svm_pipeline(), seed=123).toPandas()
+    assert held_out.label.value_counts().to_dict() == {1.0: 10, 0.0: 10}
+    assert (held_out.label == held_out.prediction).all()

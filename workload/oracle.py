@@ -119,7 +119,7 @@ VIEWS = {
         select *, cast(replace(doc_id, 'doc', '') as bigint) as lyrics_id from ann where upos <> 'PUNCT'""",
     "dict": """
         select word, list_sum(cast(embedding as double[])) as vec_sum
-        from (select word, cast('0x' || substr(md5(word), 1, 4) as int) % (select count(*) from embeddings) as vec_id
+        from (select word, cast('0x' || substr(md5(word), 1, 15) as bigint) % (select count(*) from embeddings) as vec_id
               from bench_words) join embeddings using (vec_id)""",
     "chart_raw": """
         select lyrics_id, year, case when lyrics_id % 7 = 3 then 'Tie' else cast(rank as varchar) end as rank,
