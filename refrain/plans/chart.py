@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
@@ -20,9 +20,14 @@ def chart_rows(pages: DataFrame, key: str = "year") -> DataFrame:
     return name_cells(rows.drop("table_no"), ["rank", "song_name", "singer"])
 
 
-def chart_clean(rows: DataFrame, partition: list[str], order: list[str], fill: str = "prev") -> DataFrame:
-    """Chart rows with repaired integer ranks, unquoted titles and search keys."""
-    ranked = fill_ties(rows, partition, order, "rank", fill)
+def chart_clean(
+    rows: DataFrame, partition: list[str], order: list[str], fill: str = "prev", block: Column | None = None
+) -> DataFrame:
+    """Chart rows with repaired integer ranks, unquoted titles and search keys.
+
+    ``block`` cuts a partition into pieces of consecutive rows; the page is one where pages are ordered.
+    """
+    ranked = fill_ties(rows, partition, order, "rank", fill, block=block)
     bare = ranked.withColumn("song_name", F.replace("song_name", F.lit('"'), F.lit("")))
     return bare.withColumn("song_name_dash", dash_key(F.col("song_name")))
 

@@ -70,19 +70,15 @@ def rank_band(scored: DataFrame, low: int, high: int) -> DataFrame:
     return scored.filter(F.col("rank").between(low, high))
 
 
-def words_with_score(
-    songs: DataFrame, lexicon: DataFrame, keep: list[str], key: str = "lyrics_id", max_words: int = 20_000
-) -> DataFrame:
+def words_with_score(songs: DataFrame, lexicon: DataFrame, keep: list[str], key: str = "lyrics_id") -> DataFrame:
     """The words of the songs that hold a lexicon word: ``(keep, words)``, the words as an array.
 
-    A small lexicon is tested inside each song's row; a large one needs a join of the words.
+    The distinct words of each song meet the lexicon in a semi join, whatever its size.
     """
     words = compute_once(songs.select(key, *keep, "lyrics"), tokens(F.col("lyrics")), "words").drop("lyrics")
-    if lexicon.limit(max_words + 1).count() <= max_words:
-        known = lexicon.agg(F.collect_set("word")).scalar()
-        return words.filter(F.arrays_overlap("words", known)).drop(key)
-    hits = words.select(key, explode_words("words", "word")).join(lexicon, "word", "left_semi")
-    return words.join(hits.select(key), key, "left_semi").drop(key)
+    distinct = words.select(key, F.explode(F.array_distinct("words")).alias("word"))
+    hits = distinct.join(lexicon, "word", "left_semi").select(key).distinct()
+    return words.join(hits, key, "left_semi").drop(key)
 
 
 def emotions_by_genre(songs: DataFrame, lexicon: DataFrame, emotions: DataFrame) -> DataFrame:

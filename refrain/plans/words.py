@@ -29,10 +29,13 @@ def top_words(songs: DataFrame, stop: list[str], k: int = 25) -> DataFrame:
 
 
 def cloud_words(songs: DataFrame, stop: DataFrame) -> DataFrame:
-    """Frequencies of every word but stop words and fillers, most frequent first."""
+    """Frequencies of every word but stop words and fillers, most frequent first.
+
+    Stop words leave after the count, one row per word instead of one per token.
+    """
     tok = unnest_tokens(songs.select("lyrics"), "word", "lyrics")
-    kept = natural_join(drop_words(tok, fixed.CLOUD_DROP), broadcast_if_small(stop), "left_anti")
-    return word_freq(kept, out="freq").orderBy(F.desc("freq"), "word")
+    counted = word_freq(drop_words(tok, fixed.CLOUD_DROP), out="freq")
+    return natural_join(counted, broadcast_if_small(stop), "left_anti").orderBy(F.desc("freq"), "word")
 
 
 def words_by_decade(songs: DataFrame, stop: list[str], k: int = 25) -> DataFrame:

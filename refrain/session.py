@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -28,14 +29,14 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; only a local session may fall back to a temp one."""
+    """Use the shared folder the session names; only a session in one process may fall back to a temp one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
+    elif sc.master.partition("[")[0] == "local":  # not local-cluster
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="refrain-checkpoint-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

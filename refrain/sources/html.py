@@ -22,6 +22,9 @@ ENDED_BY = {
     "tr": {"tr"},
     "option": {"option"},
 }
+# The bounds of spans in the HTML standard.
+MOST_SPANNED = {"colspan": 1000, "rowspan": 65534}
+ROWS_AT_ONCE = 5_000
 
 
 class _Node:
@@ -82,8 +85,11 @@ def _below(path: list[str], ancestors: list[_Node]) -> bool:
 
 
 def _span(node: _Node, name: str) -> int:
+    """A cell's span; the HTML standard reads columns beyond its bound as the bound."""
     value = node.attrs.get(name) or "1"
-    return max(1, int(value)) if value.isdigit() else 1
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    return min(max(1, int(value[:9])), MOST_SPANNED[name])
 
 
 def _tables(html: str, path: list[str]) -> Iterator[tuple[int, int, bool, list[str | None]]]:
@@ -138,6 +144,9 @@ def html_tables(
                     for table, row, header, values in cells
                     if keep in (None, table) and not (header and row == 0)
                 ]
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "cells"])
+                    rows = []
             yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "cells"])
 
     key_type = pages.schema[key].dataType.simpleString()
@@ -153,12 +162,16 @@ def html_text(pages: DataFrame, key: str, tag: str, html: str = "html", index: i
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (page_key, pos, _text(node))
-                for page_key, page in zip(batch[key], batch[html])
-                for pos, (node, _) in enumerate(_walk(page or "", {tag}), start=1)
-                if index in (None, pos)
-            ]
+            rows = []
+            for page_key, page in zip(batch[key], batch[html]):
+                rows += [
+                    (page_key, pos, _text(node))
+                    for pos, (node, _) in enumerate(_walk(page or "", {tag}), start=1)
+                    if index in (None, pos)
+                ]
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=[key, "pos", "text"])
+                    rows = []
             yield pd.DataFrame(rows, columns=[key, "pos", "text"])
 
     key_type = pages.schema[key].dataType.simpleString()

@@ -150,7 +150,7 @@ def chart_clean(spark, d):
         F.get(key, F.lit(1)).cast("int").alias("page_no"),
         "row_no", "rank", "song_name", "singer",
     )
-    return chart_plans.chart_clean(rows, ["year"], ["page_no", "row_no"])
+    return chart_plans.chart_clean(rows, ["year"], ["page_no", "row_no"], block=F.col("page_no"))
 
 
 @query
