@@ -218,3 +218,11 @@ def test_parse_status(spark):
     assert {r["raw"]: r["status"] for r in out.collect()} == {"1": "ok", "x": "Error!", "99": "Warning!", None: "ok"}
     ok, failed = split_ok_failed(out)
     assert (ok.count(), failed.count()) == (2, 2)
+
+
+def test_spans_are_bounded():
+    from refrain.sources.html import _tables
+
+    page = '<table><tr><td colspan=99999999999>A</td><td colspan="²">B</td></tr></table>'
+    ((_, _, _, cells),) = _tables(page, [])
+    assert cells == ["A"] * 1000 + ["B"]
