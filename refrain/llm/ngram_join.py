@@ -11,8 +11,9 @@ one class with a least id and a count, so copies cost one row. Classes are joine
    pair of blocks is searched. Runs repeat until a pair at the threshold is met with probability ``recall``.
 2. Brute force compares signatures and keeps links of likely pairs, as a forest: at most one row per class and
    bucket. Their components are candidate groups.
-3. Each group's sets are read once and compared exactly, in blocks of ``block`` classes, every pair of blocks in
-   a task of its own. Every pair is met in exactly one task, so links are counted exactly, without rows for pairs.
+3. The sets of classes in a group are made again from one text of each and compared exactly, in blocks of
+   ``block`` classes, every pair of blocks in a task of its own. Every pair is met in exactly one task, so links
+   are counted exactly, without rows for pairs. Sets are never stored: they are larger than the texts' files.
 
 Joins with tables that grow with the input are merge joins at every size; nothing that grows is broadcast.
 Only signatures of classes that share a bucket are shuffled, and sets of classes that are in a candidate group.
@@ -107,8 +108,18 @@ def text_hash(text: str) -> Column:
     return F.xxhash64(F.col(text).cast("string"))
 
 
-def with_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, hash of the text, size, digest, signature and set of every document."""
+def digest(shingles: np.ndarray) -> bytes | None:
+    """What names a set; None for no shingle."""
+    return hashlib.blake2b(packed(shingles), digest_size=16).digest() if len(shingles) else None
+
+
+def slim(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """id, text and hash of the text."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), text_hash(text).alias("text_hash"))
+
+
+def with_signatures(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """id, hash of the text, digest and signature of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
@@ -116,21 +127,17 @@ def with_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
                 sets = [shingles(t.as_py()) for t in b.column(1)]
-                data = [packed(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column(0),
                         b.column(2),
-                        pa.array([len(s) for s in sets], pa.int32()),
-                        pa.array([hashlib.blake2b(x, digest_size=16).digest() if x else None for x in data], pa.binary()),
+                        pa.array([digest(s) for s in sets], pa.binary()),
                         pa.array([signature(s).tolist() for s in sets], pa.list_(pa.int32())),
-                        pa.array(data, pa.binary()),
                     ],
-                    names=["id", "text_hash", "size", "digest", "sig", "shingles"],
+                    names=["id", "text_hash", "digest", "sig"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), text_hash(text).alias("text_hash"))
-    return stored(rows.mapInArrow(run, "id long, text_hash long, size int, digest binary, sig array<int>, shingles binary"), "join-sets")
+    return stored(slim(docs, id_col, text).mapInArrow(run, "id long, text_hash long, digest binary, sig array<int>"), "join-signatures")
 
 
 def runs_needed(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -278,25 +285,35 @@ def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
 FILTER_BITS = 1 << 26
 
 
-def of_members(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """Rows whose digest may be one of ``members``, by a bit array of fixed size (8 MB) that is broadcast.
+def sets_of(members: DataFrame, docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """digest and set of each class in ``members``, from the text of the row that stands for it.
 
-    A few others pass and leave in the join that follows; without it the sets of all documents would be shuffled.
+    Rows are told by a bit array of fixed size (8 MB) over id and hash of the text, which is broadcast. A few others
+    pass and leave in the join that follows; without it the sets of all documents would be made and shuffled.
     """
-    at = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
-    bits = members.select(F.floor(at / 64).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(digest), {FILTER_BITS}) % 64 as int))").alias("bit"))
+    at = F.pmod(F.xxhash64("id", "text_hash"), F.lit(FILTER_BITS))
+    bits = members.select(F.floor(at / 64).alias("word"), (at % 64).cast("int").alias("bit")).select("word", F.expr("shiftleft(1L, bit)").alias("bit"))
     words = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     held = np.zeros(FILTER_BITS // 64, np.int64)
     held[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast(held)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            place = b.column(0).to_numpy()
-            there = (shared.value[place >> 6] >> (place & 63)) & 1
-            yield b.filter(pa.array(there == 1)).select(["digest", "id", "shingles"])
+        shingles = Shingles()
+        for batch in batches:
+            place = batch.column(0).to_numpy()
+            own = batch.filter(pa.array((shared.value[place >> 6] >> (place & 63)) & 1 == 1))
+            for first in range(0, own.num_rows, 512):
+                sets = [shingles(t.as_py()) for t in own.column(1).slice(first, 512)]
+                yield pa.record_batch(
+                    [pa.array([digest(s) for s in sets], pa.binary()), pa.array([packed(s) for s in sets], pa.binary())],
+                    names=["digest", "shingles"],
+                )
 
-    return rows.select(at.alias("place"), "digest", "id", "shingles").mapInArrow(passing, "digest binary, id long, shingles binary")
+    rows = slim(docs, id_col, text).select(at.alias("place"), "text")
+    # Equal rows are reduced to one before the shuffle.
+    sets = rows.mapInArrow(passing, "digest binary, shingles binary").groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    return members.join(sets.hint("merge"), "digest")
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -340,20 +357,16 @@ def _exact_links(part: pd.DataFrame) -> pd.DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """id, text_hash, class_id (the least id its links reach, itself included) and n_links of every document."""
-    rows = with_sets(docs, id_col, text)
-    having = rows.filter("digest is not null")
-    classes = having.groupBy("digest").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("sig").alias("sig")
-    )
-    classes = stored(classes, "join-classes")
+    rows = with_signatures(docs, id_col, text)
+    # The row with the least id that is not null stands for its class.
+    least = F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("least")
+    classes = rows.filter("digest is not null").groupBy("digest").agg(least, F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    classes = stored(classes.select("digest", "least.id", "least.text_hash", "copies", "sig"), "join-classes")
     groups = components(candidates(classes, bucket, runs_needed()), "join-groups")
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     members = groups.join(sizes, "component").withColumnRenamed("node", "digest")
-    members = stored(members.join(classes.select("digest", "id", "copies"), "digest"), "join-members")
-    # One row per class carries the set: the one with the class's least id.
-    own = (F.col("s.digest") == F.col("m.digest")) & F.col("s.id").eqNullSafe(F.col("m.id"))
-    sets = of_members(having, members).alias("s").join(members.alias("m").hint("merge"), own).select("m.*", "s.shingles").dropDuplicates(["digest"])
-    dealt = _salted(sets, "n", block, "digest")
+    members = stored(members.join(classes.select("digest", "id", "text_hash", "copies"), "digest"), "join-members")
+    dealt = _salted(sets_of(members, docs, id_col, text).drop("id", "text_hash"), "n", block, "digest")
     found = stored(
         dealt.groupBy("component", "x", "y").applyInPandas(_exact_links, "digest binary, links long, root binary"), "join-exact"
     )
