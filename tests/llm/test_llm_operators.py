@@ -276,3 +276,23 @@ def test_pipeline(spark, small):
             classes = brute_classes([(r.doc_id, r.text) for r in before.collect()])
             assert sorted(r.doc_id for r in docs.collect()) == sorted({c for c, _ in classes.values()})
     check_packing(spark, docs)
+
+
+def test_components_of_nodes_with_many_roots(spark):
+    """Nodes that hang on several roots each, in either direction, twice, with loops and chains between roots."""
+    rng = np.random.default_rng(3)
+    edges = [(int(n), int(r)) for n in range(100, 160) for r in rng.choice(20, 2, replace=False) if n % 3 or r < 10]
+    edges += [(r + 200, r + 201) for r in range(12)] + [(5, 5), (300, 301), (301, 300), (300, 301)]
+    parent = {n: n for edge in edges if edge[0] != edge[1] for n in edge}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in edges:
+        if a != b:
+            a, b = sorted((root(a), root(b)))
+            parent[b] = a
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
+    assert got == {n: root(n) for n in parent}
