@@ -1,20 +1,24 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting. Each task turns its training texts into 64-bit word hashes and counts words and word pairs per Arrow
-batch with numpy; sorted arrays of keys and counts, cut into segments by the first bits of the key, are the only
-thing shuffled. One group per segment adds them up. So counts cover all training tokens and grow with them.
-
-Filter. A count ``c`` is stored as level ``1 + floor(log2 c)``: the pairs (key, 1) to (key, level) are put into
-the segment's bit array. A lookup probes level after level until one is missing, so an error can only raise a
-count by a level or two. A segment has about eight bits per stored pair, and never more than its share of
-``most_bytes``: the filter that is broadcast has that bound at any size of corpus. Beyond it nothing is left
-out, but false positives grow; ``filter_fill`` reports the share of bits set.
-
-Scores. ``score`` adds log10 of ``(c(v w) + M p(w)) / (c(v) + M)`` with ``p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``
-and all counts read from the filter. ``base_score`` uses exact word counts: words with at least one of ``HEAVY``
-parts of all tokens, at most ``HEAVY`` of them whatever the corpus, are broadcast with their counts; the others
-of each text leave the task as (row, word, times) and meet their counts in one join, which frequent words never
-enter.
+Chunks. Each task turns its texts into 64-bit word hashes and stores them about a million tokens at a time: the
+distinct hashes, and per token its place among them, compressed. Everything after reads these chunks.
+
+Counting. Per chunk the words and word pairs of its training texts are counted with numpy; sorted arrays of keys
+and counts, cut into segments by the first bits of the key, are shuffled. One group per segment adds them up. So
+counts cover all training tokens and grow with them.
+
+Filter. A count ``c`` of a pair is stored as level ``1 + floor(log2 c)``: (key, 1) to (key, level) are put into the
+segment's bit array. A lookup probes level after level until one is missing, so an error can only raise a count by
+a level or two. A segment has about eight bits per stored level, however many there are: the share of bits set, and
+with it the share of errors, is the same at any size of corpus. ``filter_fill`` reports it. Segments stay rows of a
+table and are nowhere gathered.
+
+Lookup. The distinct words and pairs of each chunk, a frequent one once like any other, are sent to their segments
+as sorted arrays, meet exact word counts and the filter of pairs there, and the answers return to the chunk. No key
+is sent more than once a chunk, so a frequent one needs no salt.
+
+Scores. ``score`` adds log10 of ``(c(v w) + M p(w)) / (c(v) + M)`` with ``p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``,
+``c(v w)`` from the filter and at most ``c(v)``. ``base_score`` adds log10 of ``p(w)``. Counts of words are exact.
 
 A word is a run of bytes other than space and 0x09-0x0D, A-Z in lower case; an end token follows each text and
 starts the next as context. Words are identified by 64-bit hashes.
@@ -29,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -39,16 +42,15 @@ from pyspark.sql import functions as F
 from refrain.llm.store import stored
 
 SEGMENTS = 256
-MOST_BYTES = 64 << 20
 BITS_PER_ENTRY = 8
 PROBES = 2
 LEVELS = 40
-HEAVY = 1 << 17
 WEIGHT = 10.0
 CACHED = 500_000
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))  # no word holds a space
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 TOKENS_AT_ONCE = 1_000_000
+KEYS_AT_ONCE = 1 << 18
 
 
 class Words:
@@ -84,19 +86,21 @@ def pair_keys(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(before * MIX1 + tokens)
 
 
-def in_chunks(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[np.ndarray]]]:
-    """Texts of each batch as hashes, about a million tokens at a time: batch, from, to, hashes."""
+def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list[np.ndarray]]]:
+    """Ids, training marks and hashed texts of a task's rows, about a million tokens at a time."""
     words = Words()
+    ids, marks, texts, held = [], [], [], 0
     for batch in batches:
-        texts, first, held, out = batch.column(column), 0, 0, []
-        for k in range(batch.num_rows):
-            out.append(words(texts[k].as_py()))
-            held += len(out[-1])
+        for own, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            ids.append(own)
+            marks.append(mark)
+            texts.append(words(text.as_py()))
+            held += len(texts[-1])
             if held >= TOKENS_AT_ONCE:
-                yield batch, first, k + 1, out
-                first, held, out = k + 1, 0, []
-        if out:
-            yield batch, first, batch.num_rows, out
+                yield ids, marks, texts
+                ids, marks, texts, held = [], [], [], 0
+    if texts:
+        yield ids, marks, texts
 
 
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,10 +123,11 @@ def bit_places(keys: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int
     return [((h & np.uint64(0xFFFFFFFF)) + np.uint64(p) * step) % bits for p in range(PROBES)]
 
 
-def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple[int, np.ndarray]:
-    """Number of bits and bit array of one segment."""
+def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int | None = None) -> tuple[int, np.ndarray]:
+    """Number of bits and bit array of one segment; the bits follow the stored levels unless a caller bounds them."""
     levels = 1 + np.floor(np.log2(counts)).astype(np.int64)
-    bits = int(min(most_bits, max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 64) * 64)))
+    bits = max(64, -(-int(levels.sum()) * BITS_PER_ENTRY // 64) * 64)
+    bits = bits if most_bits is None else min(most_bits, bits)
     array = np.zeros(bits // 8, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for at in bit_places(keys[levels >= level], level, bits):
@@ -130,163 +135,201 @@ def build_segment(keys: np.ndarray, counts: np.ndarray, most_bits: int) -> tuple
     return bits, array
 
 
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of each count class, 0 for level 0."""
+    low = 2.0 ** (level.astype(np.int64) - 1)
+    return np.where(level > 0, np.sqrt(low * (2 * low - 1)), 0.0)
+
+
 class Filter:
-    """The broadcast filter: segments one after another."""
+    """Segments one after another, the first of them number ``start``."""
 
-    def __init__(self, bits: np.ndarray, data: np.ndarray, shift: int) -> None:
-        self.bits, self.data, self.shift = bits.astype(np.uint64), data, np.uint64(shift)
+    def __init__(self, bits: np.ndarray, data: np.ndarray, shift: int, start: int = 0) -> None:
+        self.bits, self.data, self.shift, self.start = bits.astype(np.uint64), data, np.uint64(shift), start
         self.first = np.r_[0, np.cumsum(bits // 8)[:-1]].astype(np.int64)
 
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """The level of each key, 0 if it is not there."""
+        level = np.zeros(len(keys), np.uint8)
+        for begin in range(0, len(keys), KEYS_AT_ONCE):
+            left = np.arange(begin, min(begin + KEYS_AT_ONCE, len(keys)))
+            for k in range(1, LEVELS):
+                own = keys[left]
+                segment = (own >> self.shift).astype(np.int64) - self.start
+                bits, first = self.bits[segment], self.first[segment]
+                there = bits > 0
+                for at in bit_places(own, k, np.maximum(bits, 1)):
+                    byte = self.data[np.minimum(first + (at >> np.uint64(3)).astype(np.int64), len(self.data) - 1)]
+                    there &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+                left = left[there]
+                if not len(left):
+                    break
+                level[left] = k
+        return level
+
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """The middle of each key's count class, 0 if it is not there."""
-        level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        for k in range(1, LEVELS):
-            own = keys[left]
-            segment = (own >> self.shift).astype(np.int64)
-            bits, first = self.bits[segment], self.first[segment]
-            there = bits > 0
-            for at in bit_places(own, k, np.maximum(bits, 1)):
-                byte = self.data[np.minimum(first + (at >> np.uint64(3)).astype(np.int64), len(self.data) - 1)]
-                there &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
-            left = left[there]
-            if not len(left):
-                break
-            level[left] = k
-        low = 2.0 ** (level - 1)
-        return np.where(level > 0, np.sqrt(low * (2 * low - 1)), 0.0)
-
-
-def counted_segments(training: DataFrame, text: str, most_bytes: int, segments: int = SEGMENTS) -> DataFrame:
-    """Per segment the exact word counts (hash and count arrays) and the filter's bits of words and pairs."""
-    shift, most_bits = np.uint64(64 - int(np.log2(segments))), most_bytes * 8 // segments
+        return middle(self.levels(keys))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, texts in in_chunks(batches, 0):
-            tokens = np.concatenate(texts)
-            starts = np.r_[0, np.cumsum([len(t) for t in texts])[:-1]]
-            out = []
-            for pairs, keys in ((False, tokens), (True, pair_keys(tokens, starts))):
-                keys, counts = _counted(keys)
-                cuts = np.searchsorted(keys, np.arange(segments, dtype=np.uint64) << shift).tolist() + [len(keys)]
-                small = counts.astype("<u4")
-                out += [
-                    (s, pairs, keys[a:b].tobytes(), small[a:b].tobytes())
-                    for s, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-                    if b > a
-                ]
-            names, types = ["segment", "pairs", "keys", "counts"], [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
-            arrays = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-            yield pa.record_batch(arrays, names=names)
-
-    def build(parts: pd.DataFrame) -> pd.DataFrame:
-        done = {}
-        for pairs in (False, True):
-            own = parts[parts["pairs"] == pairs]
-            keys = np.frombuffer(b"".join(own["keys"]), np.uint64)
-            counts = np.frombuffer(b"".join(own["counts"]), "<u4").astype(np.int64)
-            done[pairs] = _added(keys, counts)
-        (words, times), (pair, pair_times) = done[False], done[True]
-        bits, array = build_segment(np.r_[words, pair], np.r_[times, pair_times], most_bits)
-        fill = float(np.unpackbits(array).mean())
-        return pd.DataFrame([{"segment": int(parts["segment"].iloc[0]), "words": words.tobytes(), "times": times.tobytes(),
-                              "n_words": len(words), "n_tokens": int(times.sum()), "n_pairs": len(pair),
-                              "bits": bits, "data": array.tobytes(), "fill": fill}])
 
-    counted = training.select(F.col(text).cast("string")).mapInArrow(count, "segment int, pairs boolean, keys binary, counts binary")
-    schema = "segment int, words binary, times binary, n_words long, n_tokens long, n_pairs long, bits long, data binary, fill double"
-    return stored(counted.groupBy("segment").applyInPandas(build, schema), "lm-segments")
+def stored_chunks(docs: DataFrame, training: Column, id_col: str, text: str) -> DataFrame:
+    """All texts as chunks of hashes: a number, ids, training marks and lengths of the texts, words and places."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        for k, (ids, marks, texts) in enumerate(in_chunks(batches)):
+            words, place = np.unique(np.concatenate(texts), return_inverse=True)
+            packed = pa.compress(place.astype("<u4").tobytes(), codec="zstd", asbytes=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([(part << 36) + k], pa.int64()), pa.array([len(place)], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([marks], pa.list_(pa.bool_())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())),
+                    pa.array([words.tobytes()], pa.binary()), pa.array([packed], pa.binary()),
+                ],
+                names=["chunk", "n_tokens", "ids", "marks", "lengths", "words", "places"],
+            )
 
-def exact_counts(segments: DataFrame) -> DataFrame:
-    """One row per training word: w (hash as long) and c."""
+    schema = "chunk long, n_tokens long, ids array<bigint>, marks array<boolean>, lengths array<bigint>, words binary, places binary"
+    mark = F.coalesce(training, F.lit(False))
+    return stored(docs.select(F.col(id_col).cast("long"), mark, F.col(text).cast("string")).mapInArrow(run, schema), "lm-chunks")
 
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for words, times in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                arrays = [pa.array(np.frombuffer(x, np.int64)) for x in (words, times)]
-                yield pa.record_batch(arrays, names=["w", "c"])
 
-    return segments.select("words", "times").mapInArrow(unpack, "w long, c long")
+def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of a chunk, the place of each token among them, the keys of pairs, the lengths of texts."""
+    words, lengths = np.frombuffer(row["words"], np.uint64), np.array(row["lengths"], np.int64)
+    place = np.frombuffer(pa.decompress(row["places"], 4 * int(lengths.sum()), codec="zstd", asbytes=True), "<u4").astype(np.int64)
+    return words, place, pair_keys(words[place], np.r_[0, np.cumsum(lengths)[:-1]]), lengths
 
 
-def score(
-    docs: DataFrame,
-    training: Column,
-    id_col: str = "doc_id",
-    text: str = "text",
-    most_bytes: int = MOST_BYTES,
-) -> DataFrame:
-    """id, n_tokens, n_known, train_tokens, base_score, score and filter_fill of every row; learns from ``training`` rows."""
-    spark = docs.sparkSession
-    segments = counted_segments(docs.filter(training), text, most_bytes)
-    totals = segments.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v"), F.avg("fill").alias("fill")).first()
-    n, v, fill = totals.n or 0, totals.v or 0, totals.fill or 0.0
-    counts = exact_counts(segments)
-    # At most HEAVY words have a count of n / HEAVY or more; at most ``most_bytes`` of filter: both are bounded.
-    heavy = counts.filter(F.col("c") * HEAVY >= n).toPandas().sort_values("w")
-    bits, arrays = np.zeros(SEGMENTS, np.int64), [b""] * SEGMENTS
-    for r in segments.select("segment", "bits", "data").toLocalIterator():
-        bits[r.segment], arrays[r.segment] = r.bits, bytes(r.data)
-    shared = spark.sparkContext.broadcast(
-        (heavy["w"].to_numpy(), heavy["c"].to_numpy(), bits, np.frombuffer(b"".join(arrays) or b"\0", np.uint8))
-    )
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Chunks one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy_w, heavy_c, bits, data = shared.value
-        held = Filter(bits, data, 64 - int(np.log2(SEGMENTS)))
-        part, row = TaskContext.get().partitionId(), 0
-        for batch, first, to, texts in in_chunks(batches, 1):
-            lengths = np.array([len(t) for t in texts])
-            tokens, starts = np.concatenate(texts), np.r_[0, np.cumsum(lengths)[:-1]]
-            distinct, place = np.unique(tokens, return_inverse=True)
-            word_counts = held.counts(distinct)
-            p = ((word_counts + 0.5) / (n + 0.5 * (v + 1)))[place]
-            c = word_counts[place]
-            context = np.empty(len(c))
-            context[1:], context[starts] = c[:-1], held.counts(np.array([END]))[0]
-            together = np.minimum(held.counts(pair_keys(tokens, starts)), context)
-            scores = np.add.reduceat(np.log10((together + WEIGHT * p) / (context + WEIGHT)), starts)
-            # Exact counts of the frequent words; -1 marks the rest.
-            signed, exact = distinct.view(np.int64), np.full(len(distinct), -1, np.int64)
-            if len(heavy_w):
-                at = np.minimum(np.searchsorted(heavy_w, signed), len(heavy_w) - 1)
-                exact = np.where(heavy_w[at] == signed, heavy_c[at], -1)
-            exact = exact[place]
-            known = exact > 0
-            base = np.add.reduceat(np.where(known, np.log10(np.maximum(exact, 0) + 0.5), 0.0), starts)
-            rest = np.flatnonzero(~known)
-            text_of = np.repeat(np.arange(len(texts)), lengths)
-            rare = []
-            cuts = np.searchsorted(text_of[rest], np.arange(len(texts) + 1))
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                w, times = np.unique(tokens[rest[a:b]], return_counts=True)
-                rare.append([{"w": int(x), "times": int(y)} for x, y in zip(w.view(np.int64), times, strict=True)])
-            rows = [(part << 36) + row + k for k in range(len(texts))]
-            row += len(texts)
-            kind = pa.list_(pa.struct([("w", pa.int64()), ("times", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(first, to - first), pa.array(rows, pa.int64()), pa.array(lengths, pa.int64()),
-                    pa.array(np.add.reduceat(known.astype(np.int64), starts)), pa.array(base), pa.array(scores), pa.array(rare, kind),
-                ],
-                names=["id", "row", "n_tokens", "n_heavy", "base", "score", "rare"],
-            )
 
-    schema = "id long, row long, n_tokens long, n_heavy long, base double, score double, rare array<struct<w: bigint, times: int>>"
-    rows = stored(docs.select(F.col(id_col).cast("long"), F.col(text).cast("string")).mapInArrow(run, schema), "lm-rows")
-    spread = rows.select("row", F.inline("rare"))
-    met = spread.join(counts.filter(F.col("c") * HEAVY < n), "w").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.col("c") + 0.5) / F.lit(0.5))).alias("more"), F.sum("times").alias("met")
+def cut(keys: np.ndarray, segments: int) -> list[tuple[int, int]]:
+    """From and to of each segment in sorted keys."""
+    first = np.arange(segments, dtype=np.uint64) << np.uint64(shift_of(segments))
+    cuts = np.searchsorted(keys, first).tolist() + [len(keys)]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def shift_of(segments: int) -> int:
+    """Bits of a key behind the number of its segment."""
+    return 64 - (segments.bit_length() - 1)
+
+
+def counted_segments(chunks: DataFrame, segments: int) -> DataFrame:
+    """Per segment the exact word counts (hash and count arrays) and the filter's bits of pairs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            words, place, keys, lengths = unpacked(row)
+            taught = np.repeat(np.array(row["marks"], bool), lengths)
+            if not taught.any():
+                continue
+            times = np.bincount(place[taught], minlength=len(words))
+            words, times = words[times > 0], times[times > 0].astype("<u4")
+            pairs, pair_times = _counted(keys[taught])
+            pair_times = pair_times.astype("<u4")
+            out = [
+                (s, words[a:b].tobytes(), times[a:b].tobytes(), pairs[c:d].tobytes(), pair_times[c:d].tobytes())
+                for s, ((a, b), (c, d)) in enumerate(zip(cut(words, segments), cut(pairs, segments), strict=True))
+                if b > a or d > c
+            ]
+            names, types = ["segment", "words", "times", "pairs", "pair_times"], [pa.int32(), *[pa.binary()] * 4]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    def build(parts: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.frombuffer(b"".join(parts.column(c).to_pylist()), kind)
+        words, times = _added(joined("words", np.uint64), joined("times", "<u4").astype(np.int64))
+        pairs, pair_times = _added(joined("pairs", np.uint64), joined("pair_times", "<u4").astype(np.int64))
+        bits, array = build_segment(pairs, pair_times)
+        fill = float(np.unpackbits(array).mean())
+        return pa.Table.from_pylist([{"segment": parts.column("segment")[0].as_py(), "words": words.tobytes(), "times": times.tobytes(),
+                                      "n_words": len(words), "n_tokens": int(times.sum()), "n_pairs": len(pairs),
+                                      "bits": bits, "data": array.tobytes(), "fill": fill}], schema=built)
+
+    schema = "segment int, words binary, times binary, n_words long, n_tokens long, n_pairs long, bits long, data binary, fill double"
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
+    built = pa.schema([(name, types[kind]) for name, kind in (c.split() for c in schema.split(", "))])
+    counted = chunks.select("marks", "lengths", "words", "places").mapInArrow(
+        count, "segment int, words binary, times binary, pairs binary, pair_times binary"
     )
-    # Words that are in no training text have a count of 0: log10(0.5) each, which the join need not see.
-    rest = F.col("n_tokens") - F.col("n_heavy")
-    base = F.col("base") + rest * F.log10(F.lit(0.5)) + F.coalesce("more", F.lit(0.0))
-    return rows.join(met, "row", "left").select(
+    return stored(counted.groupBy("segment").applyInArrow(build, schema), "lm-segments")
+
+
+def looked_up(chunks: DataFrame, held: DataFrame, segments: int) -> DataFrame:
+    """Per chunk and segment the counts of the chunk's words and the levels of its pairs, in order of their keys."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in rows_of(batches):
+            words, _, keys, _ = unpacked(row)
+            pairs = np.unique(keys)
+            out = [
+                (row["chunk"], s, words[a:b].tobytes(), pairs[c:d].tobytes())
+                for s, ((a, b), (c, d)) in enumerate(zip(cut(words, segments), cut(pairs, segments), strict=True))
+                if b > a or d > c
+            ]
+            names, types = ["chunk", "segment", "words", "pairs"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+    def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
+        each = {c: asked.column(c).to_pylist() for c in ("words", "pairs")}
+        words, pairs = (np.frombuffer(b"".join(each[c]), np.uint64) for c in ("words", "pairs"))
+        counts, levels = np.zeros(len(words), "<i8"), np.zeros(len(pairs), np.uint8)
+        for row in kept.to_pylist():  # one row, or none
+            known, times = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["times"], np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+                counts = np.where(known[at] == words, times[at], 0).astype("<i8")
+            data = np.frombuffer(row["data"], np.uint8)
+            levels = Filter(np.array([row["bits"]]), data, shift_of(segments), row["segment"]).levels(pairs)
+        slices = lambda c, x: [x[a:b].tobytes() for e in [np.r_[0, np.cumsum([len(k) // 8 for k in each[c]], dtype=np.int64)]] for a, b in zip(e[:-1], e[1:], strict=True)]
+        arrays = [asked.column("chunk").cast(pa.int64()), asked.column("segment").cast(pa.int32())]
+        arrays += [pa.array(slices("words", counts), pa.binary()), pa.array(slices("pairs", levels), pa.binary())]
+        return pa.table(arrays, names=["chunk", "segment", "counts", "levels"])
+
+    asked = chunks.select("chunk", "lengths", "words", "places").mapInArrow(ask, "chunk long, segment int, words binary, pairs binary")
+    held = held.select("segment", "words", "times", "bits", "data")
+    both = asked.groupBy("segment").cogroup(held.groupBy("segment"))
+    return both.applyInArrow(answer, "chunk long, segment int, counts binary, levels binary")
+
+
+def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """id, n_tokens, n_known, train_tokens, base_score, score and filter_fill of every row; learns from ``training`` rows."""
+    chunks = stored_chunks(docs, training, id_col, text)
+    segments = SEGMENTS
+    held = counted_segments(chunks, segments)
+    totals = held.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v"), F.avg("fill").alias("fill")).first()
+    n, v, fill = totals.n or 0, totals.v or 0, totals.fill or 0.0
+
+    def rate(own: pa.Table, found: pa.Table) -> pa.Table:
+        row = own.select(["lengths", "words", "places"]).to_pylist()[0]
+        words, place, keys, lengths = unpacked(row)
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        found = found.sort_by("segment")
+        counts = np.frombuffer(b"".join(found.column("counts").to_pylist()), "<i8")
+        levels = np.frombuffer(b"".join(found.column("levels").to_pylist()), np.uint8)
+        c = counts[place]
+        p = (c + 0.5) / (n + 0.5 * (v + 1))
+        context = np.empty(len(c))
+        context[1:], context[starts] = c[:-1], counts[np.searchsorted(words, END)]  # every text has an end
+        together = np.minimum(middle(levels)[np.unique(keys, return_inverse=True)[1]], context)
+        sums = lambda x: np.add.reduceat(x, starts)
+        arrays = [own.column("ids").combine_chunks().flatten(), lengths, sums((c > 0).astype(np.int64)), sums(np.log10(p))]
+        arrays.append(sums(np.log10((together + WEIGHT * p) / (context + WEIGHT))))
+        return pa.table([pa.array(x) for x in arrays], names=["id", "n_tokens", "n_known", "base_score", "score"])
+
+    both = chunks.groupBy("chunk").cogroup(looked_up(chunks, held, segments).groupBy("chunk"))
+    rated = both.applyInArrow(rate, "id long, n_tokens long, n_known long, base_score double, score double")
+    return rated.select(
         F.col("id").alias(id_col),
         "n_tokens",
-        (F.col("n_heavy") + F.coalesce("met", F.lit(0))).cast("long").alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        (base - F.col("n_tokens") * F.log10(F.lit(float(n + 0.5 * (v + 1))))).alias("base_score"),
+        "base_score",
         "score",
         F.lit(float(fill)).alias("filter_fill"),
     )

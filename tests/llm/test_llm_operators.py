@@ -296,3 +296,46 @@ def test_components_of_nodes_with_many_roots(spark):
             parent[b] = a
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert got == {n: root(n) for n in parent}
+
+
+def test_language_model_keeps_its_fill_and_counts_as_it_grows(spark):
+    """Scores from exact word counts and pair levels; bits grow with the stored pairs and nothing saturates."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(11)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 400, 300))) for k in range(600)] + [(None, "w1 w2"), (600, "never seen")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    fills = {}
+    for most in (60, 601):
+        got = language_model.score(frame.filter(f"doc_id < {most}"), F.col("doc_id") < 600).collect()
+        fills[most] = got[0].filter_fill
+    assert all(abs(f - (1 - math.exp(-2 / 8))) < 0.03 for f in fills.values()), fills
+    words, pairs = collections.Counter(), collections.Counter()
+    for k, t in rows[:600]:
+        own = [*t.split(), " end"]
+        words.update(own)
+        pairs.update(zip([" end", *own[:-1]], own, strict=True))
+    n, v = sum(words.values()), len(words)
+    p = lambda w: (words[w] + 0.5) / (n + 0.5 * (v + 1))
+    scored = {r.doc_id: r for r in language_model.score(frame, F.col("doc_id") < 600).collect()}
+    assert len(scored) == len(rows)
+    wrong = 0
+    for k, t in rows:
+        own = [*t.split(), " end"]
+        assert math.isclose(scored[k].base_score, sum(math.log10(p(w)) for w in own), abs_tol=1e-6)
+        want = 0.0
+        for a, b in zip([" end", *own[:-1]], own, strict=True):
+            low = 2.0 ** math.floor(math.log2(pairs[a, b])) if pairs[a, b] else 0
+            want += math.log10((min(math.sqrt(low * (2 * low - 1)) if low else 0, words[a]) + 10 * p(b)) / (words[a] + 10))
+        assert scored[k].score >= want - 1e-6  # an error of the filter can only raise a count
+        wrong += abs(scored[k].score - want) / len(own) > 0.05
+    assert wrong < 30, wrong
+
+
+def test_pair_bits_follow_the_entries():
+    """No bound on the bits of a segment: unseen keys stay unseen however many are stored."""
+    keys = language_model.mixed(np.arange(1, 400_001, dtype=np.uint64)) >> np.uint64(1)  # one segment
+    bits, data = language_model.build_segment(keys, np.ones(len(keys), np.int64))
+    held = language_model.Filter(np.array([bits]), data, 63)
+    unseen = language_model.mixed(np.arange(500_001, 600_001, dtype=np.uint64)) >> np.uint64(1)
+    assert bits == 8 * len(keys) and (held.counts(keys) > 0).all() and (held.counts(unseen) > 0).mean() < 0.06
