@@ -3,19 +3,18 @@
 Chunks. Each task turns its texts into 64-bit word hashes and stores them about a million tokens at a time: the
 distinct hashes, and per token its place among them, compressed. Everything after reads these chunks.
 
-Counting. Per chunk the words and word pairs of its training texts are counted with numpy; sorted arrays of keys
-and counts, cut into segments by the first bits of the key, are shuffled. One group per segment adds them up. So
-counts cover all training tokens and grow with them.
+Counting. Per chunk the distinct words and word pairs, with how often its training texts have them, are sent as
+sorted arrays to their segments, which are cut by the first bits of the key. One group per segment adds them up, so
+counts cover all training tokens and grow with them. The number of segments follows the number of tokens, so that a
+group holds at most the parts of about a million tokens, and one part per chunk of a key that is in all chunks: no key
+is sent more than once a chunk, so a frequent one needs no salt.
 
 Filter. A count ``c`` of a pair is stored as level ``1 + floor(log2 c)``: (key, 1) to (key, level) are put into the
 segment's bit array. A lookup probes level after level until one is missing, so an error can only raise a count by
 a level or two. A segment has about eight bits per stored level, however many there are: the share of bits set, and
-with it the share of errors, is the same at any size of corpus. ``filter_fill`` reports it. Segments stay rows of a
-table and are nowhere gathered.
-
-Lookup. The distinct words and pairs of each chunk, a frequent one once like any other, are sent to their segments
-as sorted arrays, meet exact word counts and the filter of pairs there, and the answers return to the chunk. No key
-is sent more than once a chunk, so a frequent one needs no salt.
+with it the share of errors, is the same at any size of corpus. ``filter_fill`` reports it. Segments are
+nowhere gathered: each group looks up the pairs it was sent in the filter, their words in the exact counts, and the
+answers return to the chunks.
 
 Scores. ``score`` adds log10 of ``(c(v w) + M p(w)) / (c(v) + M)`` with ``p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``,
 ``c(v w)`` from the filter and at most ``c(v)``. ``base_score`` adds log10 of ``p(w)``. Counts of words are exact.
@@ -41,7 +40,8 @@ from pyspark.sql import functions as F
 
 from refrain.llm.store import stored
 
-SEGMENTS = 256
+SEGMENTS = 256  # at least
+TOKENS_A_SEGMENT = 1 << 20
 BITS_PER_ENTRY = 8
 PROBES = 2
 LEVELS = 40
@@ -103,10 +103,6 @@ def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, l
         yield ids, marks, texts
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
-
-
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -215,94 +211,81 @@ def cut(keys: np.ndarray, segments: int) -> list[tuple[int, int]]:
     return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
+def segments_for(tokens: int) -> int:
+    """A power of two: a segment meets the keys of about ``TOKENS_A_SEGMENT`` tokens or fewer, however many there are."""
+    return max(SEGMENTS, 1 << (-(-tokens // TOKENS_A_SEGMENT) - 1).bit_length())
+
+
 def shift_of(segments: int) -> int:
     """Bits of a key behind the number of its segment."""
     return 64 - (segments.bit_length() - 1)
 
 
-def counted_segments(chunks: DataFrame, segments: int) -> DataFrame:
-    """Per segment the exact word counts (hash and count arrays) and the filter's bits of pairs."""
+def answers(chunks: DataFrame, segments: int) -> DataFrame:
+    """Per chunk and segment the counts of the chunk's words and the levels of its pairs, in order of their keys.
+
+    One more row per segment, without a chunk, has its training tokens, its training words and the fill of its filter.
+    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             words, place, keys, lengths = unpacked(row)
             taught = np.repeat(np.array(row["marks"], bool), lengths)
-            if not taught.any():
-                continue
-            times = np.bincount(place[taught], minlength=len(words))
-            words, times = words[times > 0], times[times > 0].astype("<u4")
-            pairs, pair_times = _counted(keys[taught])
-            pair_times = pair_times.astype("<u4")
+            times = np.bincount(place[taught], minlength=len(words)).astype("<u4")
+            pairs, at = np.unique(keys, return_inverse=True)
+            pair_times = np.bincount(at[taught], minlength=len(pairs)).astype("<u4")
             out = [
-                (s, words[a:b].tobytes(), times[a:b].tobytes(), pairs[c:d].tobytes(), pair_times[c:d].tobytes())
+                (row["chunk"], s, words[a:b].tobytes(), times[a:b].tobytes(), pairs[c:d].tobytes(), pair_times[c:d].tobytes())
                 for s, ((a, b), (c, d)) in enumerate(zip(cut(words, segments), cut(pairs, segments), strict=True))
                 if b > a or d > c
             ]
-            names, types = ["segment", "words", "times", "pairs", "pair_times"], [pa.int32(), *[pa.binary()] * 4]
+            names, types = ["chunk", "segment", "words", "times", "pairs", "pair_times"], [pa.int64(), pa.int32(), *[pa.binary()] * 4]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    def build(parts: pa.Table) -> pa.Table:
-        joined = lambda c, kind: np.frombuffer(b"".join(parts.column(c).to_pylist()), kind)
-        words, times = _added(joined("words", np.uint64), joined("times", "<u4").astype(np.int64))
-        pairs, pair_times = _added(joined("pairs", np.uint64), joined("pair_times", "<u4").astype(np.int64))
-        bits, array = build_segment(pairs, pair_times)
-        fill = float(np.unpackbits(array).mean())
-        return pa.Table.from_pylist([{"segment": parts.column("segment")[0].as_py(), "words": words.tobytes(), "times": times.tobytes(),
-                                      "n_words": len(words), "n_tokens": int(times.sum()), "n_pairs": len(pairs),
-                                      "bits": bits, "data": array.tobytes(), "fill": fill}], schema=built)
-
-    schema = "segment int, words binary, times binary, n_words long, n_tokens long, n_pairs long, bits long, data binary, fill double"
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
-    built = pa.schema([(name, types[kind]) for name, kind in (c.split() for c in schema.split(", "))])
-    counted = chunks.select("marks", "lengths", "words", "places").mapInArrow(
-        count, "segment int, words binary, times binary, pairs binary, pair_times binary"
+    def answer(parts: pa.Table) -> pa.Table:
+        def joined(name: str, kind: str) -> tuple[np.ndarray, list[int]]:
+            each = parts.column(name).to_pylist()
+            return np.frombuffer(b"".join(each), kind), np.cumsum([0, *map(len, each)]).tolist()
+
+        def taught(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return _added(keys[times > 0], times[times > 0].astype(np.int64))
+
+        (words, cuts), (pairs, pair_cuts) = joined("words", "<u8"), joined("pairs", "<u8")
+        known, counts = taught(words, joined("times", "<u4")[0])
+        bits, data = build_segment(*taught(pairs, joined("pair_times", "<u4")[0]))
+        segment = parts.column("segment")[0].as_py()
+        levels = Filter(np.array([bits]), data, shift_of(segments), segment).levels(pairs)
+        found = np.zeros(len(words), "<i8")
+        if len(known):
+            at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+            found = np.where(known[at] == words, counts[at], 0).astype("<i8")
+        slices = lambda x, cuts: [x[a // 8 : b // 8].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        more, one = parts.num_rows, {"tokens": int(counts.sum()), "vocabulary": len(known), "fill": float(np.unpackbits(data).mean()) if data.any() else None}
+        return pa.table(
+            {
+                "chunk": pa.array([*parts.column("chunk").to_pylist(), None], pa.int64()),
+                "segment": pa.array([segment] * (more + 1), pa.int32()),
+                "counts": pa.array([*slices(found, cuts), None], pa.binary()),
+                "levels": pa.array([*slices(levels, pair_cuts), None], pa.binary()),
+                "tokens": pa.array([None] * more + [one["tokens"]], pa.int64()),
+                "vocabulary": pa.array([None] * more + [one["vocabulary"]], pa.int64()),
+                "fill": pa.array([None] * more + [one["fill"]], pa.float64()),
+            }
+        )
+
+    asked = chunks.select("chunk", "marks", "lengths", "words", "places").mapInArrow(
+        ask, "chunk long, segment int, words binary, times binary, pairs binary, pair_times binary"
     )
-    return stored(counted.groupBy("segment").applyInArrow(build, schema), "lm-segments")
-
-
-def looked_up(chunks: DataFrame, held: DataFrame, segments: int) -> DataFrame:
-    """Per chunk and segment the counts of the chunk's words and the levels of its pairs, in order of their keys."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in rows_of(batches):
-            words, _, keys, _ = unpacked(row)
-            pairs = np.unique(keys)
-            out = [
-                (row["chunk"], s, words[a:b].tobytes(), pairs[c:d].tobytes())
-                for s, ((a, b), (c, d)) in enumerate(zip(cut(words, segments), cut(pairs, segments), strict=True))
-                if b > a or d > c
-            ]
-            names, types = ["chunk", "segment", "words", "pairs"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-
-    def answer(asked: pa.Table, kept: pa.Table) -> pa.Table:
-        each = {c: asked.column(c).to_pylist() for c in ("words", "pairs")}
-        words, pairs = (np.frombuffer(b"".join(each[c]), np.uint64) for c in ("words", "pairs"))
-        counts, levels = np.zeros(len(words), "<i8"), np.zeros(len(pairs), np.uint8)
-        for row in kept.to_pylist():  # one row, or none
-            known, times = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["times"], np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, words), len(known) - 1)
-                counts = np.where(known[at] == words, times[at], 0).astype("<i8")
-            data = np.frombuffer(row["data"], np.uint8)
-            levels = Filter(np.array([row["bits"]]), data, shift_of(segments), row["segment"]).levels(pairs)
-        slices = lambda c, x: [x[a:b].tobytes() for e in [np.r_[0, np.cumsum([len(k) // 8 for k in each[c]], dtype=np.int64)]] for a, b in zip(e[:-1], e[1:], strict=True)]
-        arrays = [asked.column("chunk").cast(pa.int64()), asked.column("segment").cast(pa.int32())]
-        arrays += [pa.array(slices("words", counts), pa.binary()), pa.array(slices("pairs", levels), pa.binary())]
-        return pa.table(arrays, names=["chunk", "segment", "counts", "levels"])
-
-    asked = chunks.select("chunk", "lengths", "words", "places").mapInArrow(ask, "chunk long, segment int, words binary, pairs binary")
-    held = held.select("segment", "words", "times", "bits", "data")
-    both = asked.groupBy("segment").cogroup(held.groupBy("segment"))
-    return both.applyInArrow(answer, "chunk long, segment int, counts binary, levels binary")
+    schema = "chunk long, segment int, counts binary, levels binary, tokens long, vocabulary long, fill double"
+    return stored(asked.groupBy("segment").applyInArrow(answer, schema), "lm-answers")
 
 
 def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_tokens, n_known, train_tokens, base_score, score and filter_fill of every row; learns from ``training`` rows."""
     chunks = stored_chunks(docs, training, id_col, text)
-    segments = SEGMENTS
-    held = counted_segments(chunks, segments)
-    totals = held.agg(F.sum("n_tokens").alias("n"), F.sum("n_words").alias("v"), F.avg("fill").alias("fill")).first()
+    segments = segments_for(chunks.agg(F.sum("n_tokens")).first()[0] or 0)
+    found = answers(chunks, segments)
+    totals = found.agg(F.sum("tokens").alias("n"), F.sum("vocabulary").alias("v"), F.avg("fill").alias("fill")).first()
     n, v, fill = totals.n or 0, totals.v or 0, totals.fill or 0.0
 
     def rate(own: pa.Table, found: pa.Table) -> pa.Table:
@@ -322,7 +305,8 @@ def score(docs: DataFrame, training: Column, id_col: str = "doc_id", text: str =
         arrays.append(sums(np.log10((together + WEIGHT * p) / (context + WEIGHT))))
         return pa.table([pa.array(x) for x in arrays], names=["id", "n_tokens", "n_known", "base_score", "score"])
 
-    both = chunks.groupBy("chunk").cogroup(looked_up(chunks, held, segments).groupBy("chunk"))
+    own = chunks.select("chunk", "ids", "lengths", "words", "places")
+    both = own.groupBy("chunk").cogroup(found.filter("chunk is not null").select("chunk", "segment", "counts", "levels").groupBy("chunk"))
     rated = both.applyInArrow(rate, "id long, n_tokens long, n_known long, base_score double, score double")
     return rated.select(
         F.col("id").alias(id_col),

@@ -339,3 +339,14 @@ def test_pair_bits_follow_the_entries():
     held = language_model.Filter(np.array([bits]), data, 63)
     unseen = language_model.mixed(np.arange(500_001, 600_001, dtype=np.uint64)) >> np.uint64(1)
     assert bits == 8 * len(keys) and (held.counts(keys) > 0).all() and (held.counts(unseen) > 0).mean() < 0.06
+
+
+def test_segments_follow_the_tokens(spark, docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    assert [language_model.segments_for(n) for n in (0, 1, 1 << 28, (1 << 28) + 1, 5 * 10**9)] == [256, 256, 256, 512, 8192]
+    few = {r.doc_id: tuple(r)[:5] for r in language_model.score(docs, F.lit(True)).collect()}
+    monkeypatch.setattr(language_model, "TOKENS_A_SEGMENT", 16)
+    assert language_model.segments_for(30_000) == 2048
+    many = {r.doc_id: tuple(r)[:5] for r in language_model.score(docs, F.lit(True)).collect()}
+    assert few == many
