@@ -8,7 +8,8 @@ gradients per bin. The fitted trees are flat arrays; scoring walks all trees of
 numpy and needs no shuffle.
 
 Edge cases: a null text counts as empty and gets the score of an empty text; labels other than 0 and 1, null
-labels and labels of unknown documents teach nothing; several labels of one document teach each; with one class
+labels and labels of unknown documents teach nothing; several labels of one document teach each; documents that
+share an id teach by the means of their statistics, once per label; with one class
 or no labelled rows the score is the share of label 1, or 0.5. Rows that repeat are scored each; an empty table
 stays empty. Columns that are neither text nor ``keep`` are not read.
 """
@@ -142,13 +143,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         .select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label"))
         .orderBy(F.xxhash64("_id"), "_id", "_label")
         .limit(sample)
+        .groupBy("_id", "_label")
+        .agg(F.count("*").alias("_times"))
     )
     # At most ``sample`` ids and labels: a bound that holds at any size, so they may be broadcast.
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
-    rows = _with_statistics(texts.select("_id", "_label", "_text"), "_text").toPandas().sort_values(["_id", "_label"])
+    rows = _with_statistics(texts.select("_id", "_label", "_times", "_text"), "_text")
+    # Documents that share an id are one row of means, summed up per task, so that the bound holds before anything is collected.
+    means = F.array(*[F.avg(F.col("stats")[k]) for k in range(len(STATISTICS))]).alias("stats")
+    rows = rows.groupBy("_id", "_label", "_times").agg(means).toPandas().sort_values(["_id", "_label"])
     if not len(rows):
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
-    rows = rows.head(4 * sample)  # only documents that share an id can make more rows than labels
+    rows = rows.loc[rows.index.repeat(rows["_times"])]
     return fit(np.stack(rows["stats"].to_numpy()), rows["_label"].to_numpy(float))
 
 

@@ -350,3 +350,18 @@ def test_segments_follow_the_tokens(spark, docs, monkeypatch):
     assert language_model.segments_for(30_000) == 2048
     many = {r.doc_id: tuple(r)[:5] for r in language_model.score(docs, F.lit(True)).collect()}
     assert few == many
+
+
+def test_classifier_bounds_its_rows_when_ids_repeat(spark, monkeypatch):
+    """An id on most rows takes one row of the sample a label; labels with higher ids teach as well."""
+    rows = [(0, PLAIN + " x" * k) for k in range(300)] + [(k, PLAIN + " y" * k) for k in range(1, 20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(20)] + [(3, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "fit", lambda x, y: seen.append((x, y)))
+    quality_classifier.train(frame, labels, sample=21)
+    (x, y), = seen
+    assert len(y) == 21 and y.sum() == 11
+    want = np.mean([quality_classifier.statistics(t) for k, t in rows if k == 0], 0)
+    assert np.isclose(x, want).all(1).sum() == 1
+    assert sum(np.allclose(r, quality_classifier.statistics(rows[302][1])) for r in x) == 2  # labelled twice
