@@ -41,19 +41,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id.
+    """One document of each group of near copies: the one with the least id, null ids last, then the least text hash.
 
-    Rows without an id stay, because no group can be named by them; of rows with equal id and text one stays.
+    Of rows with equal id and text one stays. Rows without shingles have no near copies; without an id they all stay.
     """
-    found = stored(ngram_join.join(docs), "near-found")
-    gone = found.filter("class_id <> doc_id").select("doc_id", "text_hash").distinct()
-    again = found.filter("doc_id is not null").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+    found = stored(ngram_join.grouped(docs), "near-found")
+    keys = found.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    least = keys.filter("`group` is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("k"))
+    alone = keys.filter("`group` is null").select("doc_id", "text_hash", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("n")).alias("n"))
+    kept = stored(least.select("k.doc_id", "k.text_hash", "k.n").union(alone), "near-kept")
     rows = _numbered(docs)
     key = [F.col(_of(docs, "doc_id")).cast("long").alias("doc_id"), ngram_join.text_hash(_of(docs, "text")).alias("text_hash")]
-    rows = rows.select(*key, "*").join(gone, ["doc_id", "text_hash"], "left_anti")
-    repeated = rows.join(again.drop("n"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    single = rows.join(again.drop("n"), ["doc_id", "text_hash"], "left_anti")
-    return single.union(repeated).drop("doc_id", "text_hash").toDF(*docs.columns)
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & F.col("d.text_hash").eqNullSafe(F.col("k.text_hash"))
+    rows = rows.select(*key, "*").alias("d").join(kept.alias("k"), same).select("d.*", "k.n")
+    repeated = rows.filter("n > 1").dropDuplicates(["doc_id", "text_hash"])
+    return rows.filter("n = 1").union(repeated).drop("doc_id", "text_hash", "n").toDF(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

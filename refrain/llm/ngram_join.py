@@ -357,6 +357,11 @@ def _exact_links(part: pd.DataFrame) -> pd.DataFrame:
 
 def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """id, text_hash, class_id (the least id its links reach, itself included) and n_links of every document."""
+    return grouped(docs, id_col, text, bucket, block).drop("group")
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+    """As ``join``, with a group that is the same for all documents that links reach, whatever their ids; null without shingles."""
     rows = with_signatures(docs, id_col, text)
     # The row with the least id that is not null stands for its class.
     least = F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("least")
@@ -381,11 +386,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket: in
         .join(least, "component", "left")
         .select(
             "digest",
+            F.coalesce("component", "digest").alias("group"),
             F.coalesce("class_id", "id").alias("class_id"),
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         ),
         "join-result",
     )
     return rows.select("id", "text_hash", "digest").join(of_class.hint("merge"), "digest", "left").select(
-        F.col("id").alias(id_col), "text_hash", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        F.col("id").alias(id_col), "text_hash", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "group"
     )

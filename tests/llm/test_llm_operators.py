@@ -365,3 +365,18 @@ def test_classifier_bounds_its_rows_when_ids_repeat(spark, monkeypatch):
     want = np.mean([quality_classifier.statistics(t) for k, t in rows if k == 0], 0)
     assert np.isclose(x, want).all(1).sum() == 1
     assert sum(np.allclose(r, quality_classifier.statistics(rows[302][1])) for r in x) == 2  # labelled twice
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark, small):
+    """One row of each group stays: groups of null ids, a null beside an id, one id on near-equal and on other texts."""
+    long = [" ".join(f"{name}{k}" for k in range(100)) for name in "abcd"]
+    rows = [
+        (None, long[0]), (None, long[0] + " more"), (None, long[0]),
+        (None, long[1]), (9, long[1] + " more"), (9, long[1] + " again"), (9, long[1] + " more"),
+        (5, long[2]), (5, long[2] + " more"), (5, long[3]), (7, long[3] + " more"),
+        (None, ""), (None, ""), (4, None), (3, ""), (3, ""),
+    ]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), small).collect()]
+    count = lambda name: [k for k, t in got if t and t.startswith(name + "0 ")]
+    assert (count("a"), count("b"), count("c"), count("d")) == ([None], [9], [5], [5])
+    assert sorted(str(k) for k, t in got if not t) == ["3", "4", "None", "None"]
