@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import canon
+from refrain.plans import topics as topic_plans
 from workload.oracle import ORACLE
 from workload.queries import QUERIES
 
@@ -41,3 +42,13 @@ def test_partition_count_does_not_matter(spark, small, name):
         results.append(canon(QUERIES[name](spark, small).toPandas()))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] == results[2]
+
+
+def test_topic_weights_are_of_the_whole_corpus_model(spark, small, monkeypatch):
+    """Weights come from the model of 20 topics over all terms of two or more letters; one pass is enough to see it."""
+    fitted = topic_plans.topic_model
+    monkeypatch.setattr(topic_plans, "topic_model", lambda *a, **more: fitted(*a, **more, max_iter=1))
+    beta = QUERIES["lda_beta"](spark, small)
+    assert beta.select("topic").distinct().count() == 20 and beta.filter("length(term) = 2").count() > 0
+    gamma = QUERIES["lda_gamma"](spark, small)
+    assert gamma.select("topic").distinct().count() == 20

@@ -568,14 +568,14 @@ def lda_topics_subset(spark, d):
 
 @query
 def lda_beta(spark, d):
-    songs = views.flagged_songs(spark, d)
-    model, vocabulary, _ = topic_plans.subset_topics(songs, STOP)
+    songs = views.songs(spark, d)
+    model, vocabulary, _ = topic_plans.corpus_topics(songs, STOP)
     return topics.topic_terms(model, vocabulary, songs)
 
 
 @query
 def lda_gamma(spark, d):
-    model, _, vectors = topic_plans.subset_topics(views.flagged_songs(spark, d), STOP)
+    model, _, vectors = topic_plans.corpus_topics(views.songs(spark, d), STOP)
     return topics.doc_topics(model, vectors, "lyrics_id")
 
 
