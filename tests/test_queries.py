@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from check import canon
+from refrain.operators import models
 from refrain.plans import topics as topic_plans
 from workload.oracle import ORACLE
 from workload.queries import QUERIES
@@ -52,3 +53,13 @@ def test_topic_weights_are_of_the_whole_corpus_model(spark, small, monkeypatch):
     assert beta.select("topic").distinct().count() == 20 and beta.filter("length(term) = 2").count() > 0
     gamma = QUERIES["lda_gamma"](spark, small)
     assert gamma.select("topic").distinct().count() == 20
+
+
+def test_cross_validation_is_of_the_scaled_svm_on_counts(spark, small, monkeypatch):
+    """Ten folds, three repeats, one feature a word."""
+    seen = []
+    monkeypatch.setattr(models, "repeated_cv", lambda estimator, df, folds, repeats, seed: seen.append((estimator, df, folds, repeats)))
+    QUERIES["repeated_cv"](spark, small)
+    (estimator, df, folds, repeats), = seen
+    assert [type(s).__name__ for s in estimator.getStages()] == ["StandardScaler", "LinearSVC"]
+    assert (folds, repeats) == (10, 3) and df.first()["features"].size > 100

@@ -658,8 +658,8 @@ def logit_count(spark, d):
 
 @query
 def repeated_cv(spark, d):
-    featured = _featured(spark, d, "sumvec").select("label", "features")
-    return models.repeated_cv(models.logit_pipeline(reg=0.01), featured, fixed.CV_FOLDS, fixed.CV_REPEATS, SEED)
+    featured = _featured(spark, d, "count").select("label", "features")
+    return models.repeated_cv(models.svm_pipeline(), featured, fixed.CV_FOLDS, fixed.CV_REPEATS, SEED)
 
 
 # A trailing underscore only keeps a query from hiding the operator it runs.
