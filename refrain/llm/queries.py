@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refrain.llm import embedding_dedup, language_model, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, url_filters, warc
+from refrain.llm import best_fit, collocations, embedding_dedup, language_model, mixing, ngram_join, packing, periodic_runs
+from refrain.llm import pii, quality_classifier, quality_rules, url_filters, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +126,48 @@ def op4_embedding_dedup(spark, d):
     """Links and component of every vector."""
     found = embedding_dedup.near_duplicates(table(spark, d, "embeddings"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+@query
+def op11_collocations(spark, d):
+    """The best phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, d, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents whose id's hash ends in 0 repeat a stretch of their own words up to their end."""
+    hashed = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    shaped = docs.select("doc_id", "text", F.when(hashed % 10 == 0, words).alias("words"), F.floor(hashed / 10).alias("g"))
+    n = F.size("words").cast("long")
+    shaped = shaped.withColumn("first", F.when(n > 0, F.col("g") % n))
+    shaped = shaped.withColumn("period", 1 + F.floor((n - F.col("first")) / (3 + F.col("g") % 8)))
+    source = lambda i: F.when(i < F.col("first"), i).otherwise(F.col("first") + (i - F.col("first")) % F.col("period"))
+    planted = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get("words", source(i).cast("int")))
+    return shaped.select("doc_id", F.when(n > 0, F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, d):
+    """Periodic runs of every document, the longest one, and digests of all runs and of the text without repeats."""
+    found = periodic_runs.find_runs(with_planted_runs(table(spark, d, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    # The longest; of equally long ones the first in order of start and period.
+    longest = F.reduce("runs", F.element_at("runs", 1), lambda best, r: F.when(r["length"] > best["length"], r).otherwise(best))
+    found = found.withColumn("best", F.when(F.size("runs") > 0, longest))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_best_fit_packing(spark, d):
+    """Every piece of every document and its place in as few sequences as the plan finds."""
+    return best_fit.pack(table(spark, d, "documents"), vocabulary())
