@@ -191,7 +191,8 @@ def pack(
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
-    ranked = pieces.join(starts, ["length", "part"]).select(*names, (F.col("first") + F.col("number")).alias("rank"))
+    # One row per task and length grows with the corpus: a merge join, never a broadcast.
+    ranked = pieces.join(starts.hint("merge"), ["length", "part"]).select(*names, (F.col("first") + F.col("number")).alias("rank"))
     return ranked.mapInArrow(
         place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     )
