@@ -1,19 +1,18 @@
 """Document features for classification: long form for SQL, sparse vectors for Spark ML.
 
-A linear model keeps one weight per word, so its vocabulary has to fit the driver. ``min_df`` as a
-share of the documents bounds it on large corpora: at most (mean distinct words) / ``min_df``.
+A linear model keeps one weight per word. ``min_share``, a share of the documents, bounds the words at (mean distinct
+words of a document) / ``min_share`` on any corpus; the words themselves stay in a table.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, VectorAssembler
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain.operators.sizing import broadcast_if_small
-
-ALL_WORDS = 2**31 - 1
+from refrain.operators.vocabulary import sparse_vectors, word_index
+from refrain.operators.words import document_counts
 
 
 def count_features(tok: DataFrame, key: list[str], word: str = "word") -> DataFrame:
@@ -43,31 +42,24 @@ def embedding_sum_feature(tok: DataFrame, dictionary: DataFrame, key: list[str])
     return embedding_features(tok, dictionary, key).groupBy(*key).agg(F.sum("value").alias("sum_vec"))
 
 
+def counted_words(df: DataFrame, words: str, binary: bool = False) -> DataFrame:
+    """``(…, word, value)`` of rows that hold one document's words each: occurrences, or 1. Nothing is shuffled."""
+    counts = document_counts(df, words)
+    value = F.lit(1.0) if binary else F.col("n").cast("double")
+    return counts.withColumn("value", value).drop("n")
+
+
 def word_vectors(
-    df: DataFrame, words: str, out: str = "features", binary: bool = False, min_df: float = 1.0
-):
-    """Sparse count or 0/1 vectors of a word-array column: the frame and the fitted vocabulary."""
-    model = CountVectorizer(
-        inputCol=words, outputCol=out, binary=binary, minDF=float(min_df), vocabSize=ALL_WORDS
-    ).fit(df)
-    return model.transform(df), model.vocabulary
-
-
-def embedding_vectors(
-    df: DataFrame, words: str, dictionary: DataFrame, out: str = "features", min_df: float = 1.0
-) -> DataFrame:
-    """Sparse vectors that hold, for each known word of a document, the word's vector sum.
-
-    Words without an entry weigh nothing. Only the weights of the fitted vocabulary are fetched,
-    which is as large as the model trained on it.
-    """
-    vectors, vocabulary = word_vectors(df, words, "_present", binary=True, min_df=min_df)
-    spark = df.sparkSession
-    places = spark.createDataFrame(list(enumerate(vocabulary)), "place int, word string")
-    weights = dict(places.join(dictionary, "word").select("place", "vec_sum").collect())
-    scaling = Vectors.dense([weights.get(i, 0.0) for i in range(len(vocabulary))])
-    product = ElementwiseProduct(scalingVec=scaling, inputCol="_present", outputCol=out)
-    return product.transform(vectors).drop("_present")
+    long: DataFrame, key: list[str], n_docs: Column | None = None, min_share: float = 0.0, out: str = "features"
+) -> tuple[DataFrame, DataFrame]:
+    """Sparse vectors of ``(key, word, value)`` rows and the word index they are built on."""
+    index = word_index(long, n_docs, min_share)
+    return sparse_vectors(long, index, key, "value", out=out), index
+
+
+def embedding_values(long: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The rows whose word the dictionary knows, with the word's vector sum as ``value``."""
+    return long.drop("value").join(dictionary.select("word", F.col("vec_sum").alias("value")), "word")
 
 
 def scalar_vectors(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.operators.sampling import fold_numbers
 from refrain.session import training_set
 
 
@@ -41,26 +42,34 @@ def train_logit(train: DataFrame, **settings) -> PipelineModel:
 
 
 def repeated_cv(
-    estimator: Estimator, df: DataFrame, folds: int, repeats: int, seed: int
+    estimator: Estimator, df: DataFrame, folds: int, repeats: int, seed: int, key: str = "lyrics_id", label: str = "label",
+    parallelism: int = 8,
 ) -> DataFrame:
     """Mean accuracy of a k-fold cross-validation per repeat: ``(repeat, accuracy)``.
 
-    The driver only starts the fits; each one runs on the executors over one pinned table.
+    Folds are columns, one per repeat, balanced within each label, of one pinned table. Every fit reads that table with
+    a filter on its fold column and runs on the executors; the driver starts ``parallelism`` of them at a time. Spark's
+    own cross-validator takes a fold column too, but passes it through a Python function and caches each split: it
+    took twice as long.
     """
-    df = training_set(df)
-    evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
-    rows = []
-    for repeat in range(repeats):
-        validator = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=evaluator,
-            numFolds=folds,
-            seed=seed + repeat,
-            parallelism=4,
-        )
-        rows.append((repeat + 1, float(validator.fit(df).avgMetrics[0])))
-    return df.sparkSession.createDataFrame(rows, "repeat int, accuracy double")
+    for repeat in range(1, repeats + 1):
+        numbers = fold_numbers(df, key, label, folds, f"{seed}-fold-{repeat}", f"fold_{repeat}").drop(label)
+        df = df.join(numbers, key)
+    pinned = training_set(df)
+    right = F.avg((F.col(label) == F.col("prediction")).cast("double"))
+
+    def accuracy(split: tuple[int, int]) -> tuple[int, float]:
+        repeat, fold = split
+        held_out = F.col(f"fold_{repeat}") == fold
+        model = estimator.fit(pinned.filter(~held_out))
+        return repeat, model.transform(pinned.filter(held_out)).agg(right).first()[0]
+
+    splits = [(repeat, fold) for repeat in range(1, repeats + 1) for fold in range(folds)]
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(accuracy, splits, chunksize=1)
+    # A fold is empty only if there are fewer rows than folds.
+    rows = df.sparkSession.createDataFrame(scores, "repeat int, accuracy double")
+    return rows.groupBy("repeat").agg(F.avg("accuracy").alias("accuracy"))
 
 
 def confusion_matrix(

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from refrain.operators.ordered import add_index
+
 
 def hash_order(key: str, seed: int | str) -> Column:
     """A pseudo-random but reproducible order: by md5 of key and seed, then by key.
@@ -16,35 +21,63 @@ def hash_order(key: str, seed: int | str) -> Column:
     )
 
 
-def _cut(df: DataFrame, key: str, seed: int | str, n: Column) -> Column:
-    """The ``n``-th smallest hash order of the table, as a scalar subquery.
+BIN_DIGITS = 3
 
-    Rows are counted per leading 16 bits of the hash; only the bin that holds the n-th row is
-    ranked, a 65,536th of the table.
-    """
-    hashed = df.select(hash_order(key, seed).alias("o"))
-    hashed = hashed.withColumn("bin", F.substring("o.h", 1, 4))
-    bins = hashed.groupBy("bin").agg(F.count("*").alias("rows"))
-    up_to = F.sum("rows").over(Window.orderBy("bin"))
-    bins = bins.select("bin", "rows", up_to.alias("up_to"))
-    hit = bins.filter((n <= F.col("up_to")) & (n > F.col("up_to") - F.col("rows")))
-    target = hit.select("bin").scalar()
-    skipped = hit.select(F.col("up_to") - F.col("rows")).scalar()
-    place = F.row_number().over(Window.partitionBy("bin").orderBy("o"))
-    inside = hashed.filter(F.col("bin") == target).withColumn("place", place)
-    return inside.filter(F.col("place") == n - skipped).select("o").scalar()
 
+def _hashed(df: DataFrame, key: str, seed: int | str, stratum: Column) -> DataFrame:
+    order = hash_order(key, seed)
+    hashed = df.select(stratum.alias("stratum"), order.alias("o"))
+    return hashed.withColumn("bin", F.substring("o.h", 1, BIN_DIGITS))
 
-def mark_first(df: DataFrame, key: str, seed: int | str, n: Column, out: str) -> DataFrame:
-    """Flag the first ``n`` rows in hash order; ``key`` must be unique. Nothing is shuffled but the
-    bin counts and one bin."""
-    return df.withColumn(out, F.coalesce(hash_order(key, seed) <= _cut(df, key, seed, n), F.lit(False)))
 
+def cut_offs(
+    df: DataFrame, key: str, seed: int | str, wanted: Callable[[dict], dict], stratum: Column
+) -> dict[object, Row | None]:
+    """For each stratum the last row, in hash order, of the ``wanted`` number of rows; None if there is none.
 
-def mark_train(df: DataFrame, key: str, frac: float, seed: int | str, out: str = "is_train") -> DataFrame:
-    """Flag an exact ``floor(frac * n)`` rows as training rows."""
-    size = df.agg(F.floor(F.count("*") * F.lit(float(frac)))).scalar()
-    return mark_first(df, key, seed, size, out)
+    ``wanted`` gets the rows of every stratum and returns the sizes of the samples. All strata share one histogram of
+    hash prefixes, at most ``16 ** BIN_DIGITS`` rows per stratum, from which the driver reads the bin that holds each
+    cut; only those bins are ranked, a ``16 ** BIN_DIGITS``-th of the table. Strata have to be few, such as labels.
+    """
+    hashed = _hashed(df, key, seed, stratum)
+    bins: dict[object, list[tuple[str, int]]] = {}
+    for row in hashed.groupBy("stratum", "bin").agg(F.count("*").alias("n")).collect():
+        bins.setdefault(row.stratum, []).append((row.bin, row.n))
+    sizes = wanted({value: sum(n for _, n in held) for value, held in bins.items()})
+    inside, cuts = F.lit(False), dict.fromkeys(bins)
+    places = F.lit(None).cast("long")
+    for value, held in bins.items():
+        left = sizes.get(value, 0)
+        for prefix, n in sorted(held):
+            if 0 < left <= n:
+                hit = F.col("stratum").eqNullSafe(F.lit(value)) & (F.col("bin") == prefix)
+                inside, places = inside | hit, F.when(hit, F.lit(left)).otherwise(places)
+            left -= n
+    place = F.row_number().over(Window.partitionBy("stratum", "bin").orderBy("o"))
+    ranked = hashed.filter(inside).withColumn("_at", place).filter(F.col("_at") == places)
+    return cuts | {row.stratum: row.o for row in ranked.select("stratum", "o").collect()}
+
+
+def sampled(cuts: dict[object, Row | None], key: str, seed: int | str, stratum: Column) -> Column:
+    """Whether a row is in the sample of its stratum: row-local."""
+    order, kept = hash_order(key, seed), F.lit(False)
+    for value, cut in cuts.items():
+        if cut is not None:
+            last = F.struct(F.lit(cut.h).alias("h"), F.lit(cut.k).alias("k"))
+            kept = F.when(stratum.eqNullSafe(F.lit(value)), order <= last).otherwise(kept)
+    return F.coalesce(kept, F.lit(False))
+
+
+def mark_train(
+    df: DataFrame, key: str, frac: float, seed: int | str, out: str = "is_train", stratum: str | None = None
+) -> DataFrame:
+    """Flag an exact ``floor(frac * n)`` rows as training rows, of the table or of each value of ``stratum``.
+
+    ``key`` must be unique.
+    """
+    by = F.col(stratum) if stratum else F.lit(0)
+    cuts = cut_offs(df, key, seed, lambda rows: {v: math.floor(frac * n) for v, n in rows.items()}, by)
+    return df.withColumn(out, sampled(cuts, key, seed, by))
 
 
 def mark_train_approx(df: DataFrame, key: str, frac: float, seed: int | str, out: str = "is_train") -> DataFrame:
@@ -65,11 +98,20 @@ def train_test_split(df: DataFrame, key: str, frac: float, seed: int | str) -> t
 def class_balance(df: DataFrame, flag: str, key: str, seed: int | str, label: str = "label") -> DataFrame:
     """All rows with ``flag`` 1 and equally many of those with 0, labelled 1.0 and 0.0.
 
-    With fewer negatives than positives every negative is kept.
+    With fewer negatives than positives every negative is kept. ``key`` must be unique.
+    """
+    rows = df.filter(F.col(flag).isin(0, 1))
+    by = F.col(flag).cast("int")
+    cuts = cut_offs(rows, key, seed, lambda n: {1: n.get(1, 0), 0: min(n.get(0, 0), n.get(1, 0))}, by)
+    kept = rows.filter(sampled(cuts, key, seed, by))
+    return kept.withColumn(label, F.col(flag).cast("double"))
+
+
+def fold_numbers(df: DataFrame, key: str, label: str, folds: int, seed: int | str, out: str = "fold") -> DataFrame:
+    """``(key, label, fold)`` with folds 0 to ``folds`` - 1 that are balanced within each label and altogether.
+
+    Rows are numbered by label and hash and dealt out in turn, so two folds differ by one row at most, and by one in
+    each label. ``key`` must be unique.
     """
-    positives, negatives = df.filter(F.col(flag) == 1), df.filter(F.col(flag) == 0)
-    wanted = positives.agg(F.count("*").alias("n"))
-    present = negatives.agg(F.count("*").alias("n"))
-    size = F.least(wanted.scalar(), present.scalar())
-    sampled = mark_first(negatives, key, seed, size, "_kept").filter("_kept").drop("_kept")
-    return positives.withColumn(label, F.lit(1.0)).unionByName(sampled.withColumn(label, F.lit(0.0)))
+    ordered = add_index(df.select(key, label, hash_order(key, seed)["h"].alias("_h")), [label, "_h", key], "_index")
+    return ordered.select(key, label, ((F.col("_index") - 1) % folds).cast("int").alias(out))

@@ -4,32 +4,33 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
-from refrain.operators.features import word_vectors
 from refrain.operators.ranking import topk
-from refrain.session import training_set
+from refrain.operators.vocabulary import sparse_vectors, word_index
+from refrain.session import shared_path, training_set
 
 
 def topic_model(
-    df: DataFrame,
-    terms: str,
+    long: DataFrame,
+    key: str,
     k: int,
     alpha: float = fixed.TOPIC_ALPHA,
     beta: float = fixed.TOPIC_DELTA,
     seed: int = fixed.TOPIC_SEED,
     max_iter: int = 20,
-    min_df: float = 1.0,
-) -> tuple[LDAModel, list[str], DataFrame]:
-    """Fit online variational LDA on a term-array column.
+    n_docs: Column | None = None,
+    min_share: float = 0.0,
+) -> tuple[LDAModel, DataFrame, DataFrame]:
+    """Fit online variational LDA on document-term counts ``(key, term, n)``.
 
-    Returns the model, its vocabulary and the frame with the term vectors. The model holds one
-    weight per topic and term; ``min_df`` bounds the vocabulary as in the features module.
+    Returns the model, its term index and the term vectors per document. The model holds one weight per topic and term;
+    ``min_share`` bounds the terms as in the vocabulary module.
     """
-    vectors, vocabulary = word_vectors(df.filter(F.size(terms) > 0), terms, min_df=min_df)
-    vectors = training_set(vectors)
+    index = word_index(long, n_docs, min_share, word="term")
+    vectors = training_set(sparse_vectors(long, index, [key], "n", word="term"))
     lda = LDA(
         k=k,
         optimizer="online",
@@ -40,20 +41,35 @@ def topic_model(
         maxIter=max_iter,
         subsamplingRate=1.0,  # every text takes part in every pass
     )
-    return lda.fit(vectors), vocabulary, vectors
+    return lda.fit(vectors), index, vectors
 
 
-def topic_terms(model: LDAModel, vocabulary: list[str], df: DataFrame) -> DataFrame:
-    """Topic-term weights as rows ``(topic, term, beta)``; the betas of a topic sum to 1."""
-    names = df.sparkSession.createDataFrame(list(enumerate(vocabulary)), "term_no int, term string")
-    total = F.aggregate("termWeights", F.lit(0.0), lambda acc, x: acc + x)
-    pairs = F.transform(F.arrays_zip("termIndices", "termWeights"), lambda p: F.struct(
-        p["termIndices"].alias("term_no"), (p["termWeights"] / F.col("_total")).alias("beta")))
-    # The pairs are a column of their own first: explode would copy the arrays beside it into each row.
-    described = model.describeTopics(len(vocabulary)).withColumn("_total", total)
-    described = described.select((F.col("topic") + 1).alias("topic"), pairs.alias("_pairs"))
-    long = described.select("topic", F.inline("_pairs"))
-    return long.join(names, "term_no").select("topic", "term", "beta")
+# Fixed value: a matrix as Spark ML stores it.
+STORED_MATRIX = (
+    "topicsMatrix struct<type: tinyint, numRows: int, numCols: int, colPtrs: array<int>, rowIndices: array<int>, "
+    "values: array<double>, isTransposed: boolean>"
+)
+
+
+def topic_terms(model: LDAModel, index: DataFrame) -> DataFrame:
+    """Topic-term weights as rows ``(topic, term, beta)``; the betas of a topic sum to 1.
+
+    The model is written to the shared folder and its matrix read back as a table, cut into one slice per topic, whose
+    weights take their terms from the index by number.
+    """
+    spark = index.sparkSession
+    path = shared_path(spark, "topic-model")
+    model.save(path)
+    matrix = spark.read.schema(STORED_MATRIX).parquet(f"{path}/data").select("topicsMatrix.*")
+    topics = matrix.select("*", F.explode(F.sequence(F.lit(0), F.col("numCols") - 1)).alias("_topic"))
+    by_column = F.slice("values", F.col("_topic") * F.col("numRows") + 1, F.col("numRows"))
+    by_row = F.transform(F.sequence(F.lit(0), F.col("numRows") - 1), lambda i: F.get("values", i * F.col("numCols") + F.col("_topic")))
+    weights = F.when(F.col("isTransposed"), by_row).otherwise(by_column)
+    slices = topics.select((F.col("_topic") + 1).alias("topic"), weights.alias("_weights")).repartition("topic")
+    long = slices.select("topic", F.posexplode("_weights").alias("place", "_weight"))
+    totals = long.groupBy("topic").agg(F.sum("_weight").alias("_total"))  # one row per topic
+    named = long.join(index.select("place", "term"), "place").join(totals, "topic")
+    return named.select("topic", "term", (F.col("_weight") / F.col("_total")).alias("beta"))
 
 
 def doc_topics(model: LDAModel, vectors: DataFrame, key: str) -> DataFrame:

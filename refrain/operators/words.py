@@ -41,6 +41,11 @@ def explode_words(words: str | Column, out: str) -> Column:
     return F.explode_outer(words).alias(out)
 
 
+def text_words(col: str, stop: list[str]) -> Column:
+    """The words of a text that are no stop words, as an array."""
+    return F.filter(tokens(F.col(col)), lambda w: ~w.isin(stop))
+
+
 def remove_stopwords(tok: DataFrame, stop: DataFrame | list[str], word: str = "word") -> DataFrame:
     """Drop stop words. A Python list becomes a filter; a table becomes an anti join."""
     if isinstance(stop, list):

@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
-from refrain.functions.text import tokens
-from refrain.operators.features import embedding_sum_feature, embedding_vectors, scalar_vectors, word_vectors
+from refrain.operators.features import counted_words, embedding_sum_feature, embedding_values, scalar_vectors, word_vectors
 from refrain.operators.models import confusion_matrix
 from refrain.operators.sampling import class_balance, mark_train
-from refrain.operators.words import explode_words
+from refrain.operators.words import explode_words, text_words
 from refrain.session import pin, training_set
 
 FEATURES = ("count", "binary", "embedding", "sumvec")
@@ -23,18 +22,28 @@ def labelled_words(songs: DataFrame, flag: str, stop: list[str], seed: int, key:
     The sample is written once, since its vocabulary, vectors and split all read it again.
     """
     balanced = class_balance(songs.select(key, flag, "lyrics"), flag, key, seed)
-    words = F.filter(tokens(F.col("lyrics")), lambda w: ~w.isin(stop))
-    return pin(balanced.select(key, "label", words.alias("words")))
+    return pin(balanced.select(key, "label", text_words("lyrics", stop).alias("words")))
+
+
+def feature_values(
+    labelled: DataFrame, kind: str, dictionary: DataFrame | None = None
+) -> DataFrame:
+    """The features in long form, ``(key, label, word, value)``: counts, 1, or the word's vector sum."""
+    long = counted_words(labelled, "words", binary=kind != "count")
+    return embedding_values(long, dictionary) if kind == "embedding" else long
 
 
 def with_features(
-    labelled: DataFrame, kind: str, dictionary: DataFrame | None = None, key: str = "lyrics_id", min_df: float = 1.0
+    labelled: DataFrame, kind: str, dictionary: DataFrame | None = None, key: str = "lyrics_id",
+    min_share: float = fixed.MIN_DOC_SHARE,
 ) -> DataFrame:
-    """Add the ``features`` vector of one kind: count, binary, embedding or sumvec."""
-    if kind in ("count", "binary"):
-        return word_vectors(labelled, "words", binary=kind == "binary", min_df=min_df)[0]
-    if kind == "embedding":
-        return embedding_vectors(labelled, "words", dictionary, min_df=min_df)
+    """``(key, label, features)`` of one kind: count, binary, embedding or sumvec.
+
+    Words in fewer than ``min_share`` of the documents have no place in the vectors.
+    """
+    if kind in ("count", "binary", "embedding"):
+        n_docs = labelled.agg(F.count("*")).scalar()
+        return word_vectors(feature_values(labelled, kind, dictionary), [key, "label"], n_docs, min_share)[0]
     if kind == "sumvec":
         tok = labelled.select(key, "label", explode_words("words", "word"))
         return scalar_vectors(embedding_sum_feature(tok, dictionary, [key, "label"]), ["sum_vec"])
@@ -49,9 +58,8 @@ def predict_held_out(
 
     The order of the split differs from the one the balanced sample was drawn in, though the seeds may be equal.
     """
-    labels = [F.col("label") == 1.0, F.col("label") == 0.0]
-    parts = [mark_train(featured.filter(own), key, frac, f"{seed}-split") for own in labels]
-    marked = training_set(parts[0].unionByName(parts[1]))
+    pinned = training_set(featured)
+    marked = mark_train(pinned, key, frac, f"{seed}-split", stratum="label")
     model = estimator.fit(marked.filter("is_train"))
     return model.transform(marked.filter("NOT is_train")).select(key, "label", "prediction")
 

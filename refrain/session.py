@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,14 +49,16 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-ROWS_PER_TASK = 2_000
-
-
 def training_set(df: DataFrame) -> DataFrame:
-    """Pin the input of an iterative fit, in no more partitions than its rows are worth.
+    """Pin the input of an iterative fit in partitions of the advised size.
 
-    Every pass starts one task per partition and ships the lineage, so both are kept short.
+    Every pass starts one task per partition and ships the lineage; adaptive execution deals the rows into as few
+    partitions as their bytes are worth, on any amount of data.
     """
-    pinned = pin(df)
-    wanted = max(1, -(-pinned.count() // ROWS_PER_TASK))
-    return pinned.coalesce(wanted) if wanted < pinned.rdd.getNumPartitions() else pinned
+    return pin(df.hint("rebalance"))
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path below the checkpoint folder, which driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"

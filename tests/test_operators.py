@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
 from collections import Counter
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from refrain import fixed
 from refrain.operators import annotate, distribution, documents, features, joins, models, ranking, richness
-from refrain.operators import sampling, sentiment, sizing, topics, words
+from refrain.operators import sampling, sentiment, sizing, topics, vocabulary, words
 from refrain.operators.ordered import add_index, fill_ties, with_previous
 from refrain.operators.tfidf import tf_idf
 from refrain.plans import classify, words as word_plans
@@ -354,22 +355,65 @@ def test_logit_and_repeated_cv(spark):
     labelled = classify.labelled_words(planted(spark), "flag", [], 1)
     featured = classify.with_features(labelled, "binary")
     assert classify.evaluate(featured, models.logit_pipeline(reg=0.01)).first()["accuracy"] > 0.8
-    cv = models.repeated_cv(models.logit_pipeline(reg=0.01), featured.select("label", "features"), 3, 2, 7).collect()
-    assert [r["repeat"] for r in cv] == [1, 2] and all(r["accuracy"] > 0.8 for r in cv)
+    cv = models.repeated_cv(models.logit_pipeline(reg=0.01), featured, 3, 2, 7).collect()
+    assert sorted(r["repeat"] for r in cv) == [1, 2] and all(r["accuracy"] > 0.8 for r in cv)
 
 
 def test_embedding_weights_follow_the_dictionary(spark):
     df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c"])], "id int, words array<string>")
     dictionary = spark.createDataFrame([("a", 2.5), ("b", -1.0)], "word string, vec_sum double")
-    got = {r["id"]: sorted(v for v in r["features"].toArray() if v) for r in features.embedding_vectors(df, "words", dictionary).collect()}
-    assert got == {1: [-1.0, 2.5], 2: []}
+    known = features.embedding_values(features.counted_words(df, "words", binary=True), dictionary)
+    vectors, index = features.word_vectors(known, ["id"])
+    assert {r["id"]: r["features"].toArray().tolist() for r in vectors.collect()} == {1: [2.5, -1.0]}
+    assert [(r["word"], r["docs"], r["place"]) for r in index.orderBy("place").collect()] == [("a", 1, 0), ("b", 1, 1)]
+
+
+def test_vectors_keep_documents_whose_words_are_all_rare(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c"]), (3, ["a"]), (4, []), (5, None)], "id int, words array<string>")
+    long = features.counted_words(df, "words")
+    vectors, index = features.word_vectors(long, ["id"], n_docs=df.agg(F.count("*")).scalar(), min_share=0.3)
+    assert [r["word"] for r in index.collect()] == ["a"]
+    assert {r["id"]: r["features"].toArray().tolist() for r in vectors.collect()} == {1: [2.0], 2: [0.0], 3: [1.0]}
+    entries = {r["id"]: (r["size"], r["places"], r["values"]) for r in vocabulary.vector_entries(vectors, ["id"]).collect()}
+    assert entries == {1: (1, [0], [2.0]), 2: (1, [], []), 3: (1, [0], [1.0])}
+    none = features.word_vectors(long.limit(0), ["id"])
+    assert none[0].count() == 0 and none[1].count() == 0
+
+
+def test_no_vocabulary_passes_the_driver():
+    for module in (features, topics, vocabulary):
+        code = inspect.getsource(module)
+        assert ".collect()" not in code and ".vocabulary" not in code.replace("operators.vocabulary", "") and "createDataFrame" not in code
+
+
+def test_folds_are_balanced_within_labels(spark):
+    df = spark.range(1003).selectExpr("id as lyrics_id", "cast(id % 5 = 0 as double) as label")
+    dealt = sampling.fold_numbers(df, "lyrics_id", "label", 10, 4).toPandas()
+    assert len(dealt) == 1003 and set(dealt.fold) == set(range(10))
+    for sizes in (dealt.groupby("fold").size(), dealt[dealt.label == 1].groupby("fold").size()):
+        assert sizes.max() - sizes.min() <= 1
+
+
+def test_strata_share_one_pass(spark):
+    df = spark.range(3000).selectExpr("id", "cast(id % 7 = 0 as int) as flag", "case when id % 3 = 0 then 'a' when id % 3 = 1 then 'b' end as s")
+    marked = sampling.mark_train(df, "id", 0.6, 1, stratum="s").groupBy("s").agg(F.count_if("is_train").alias("n")).collect()
+    assert {r["s"]: r["n"] for r in marked} == {"a": 600, "b": 600, None: 600}
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup())
+    sampling.class_balance(df, "flag", "id", 3).collect()
+    assert len(set(spark.sparkContext.statusTracker().getJobIdsForGroup()) - before) <= 5
+    assert sampling.mark_train(df.limit(0), "id", 0.6, 1).count() == 0
+    assert sampling.class_balance(df.limit(0), "flag", "id", 1).count() == 0
 
 
 def test_topic_weights(spark):
     docs = [(i, (["sun", "sea", "sand"] if i % 2 else ["gun", "cash", "car"]) * 5) for i in range(40)]
     df = spark.createDataFrame(docs, "id int, terms array<string>")
-    model, vocabulary, vectors = topics.topic_model(df, "terms", 2, alpha=0.1, max_iter=30)
-    beta = topics.topic_terms(model, vocabulary, df)
+    counts = documents.document_terms(df, "terms", "id")
+    model, index, vectors = topics.topic_model(counts, "id", 2, alpha=0.1, max_iter=30)
+    beta = topics.topic_terms(model, index)
+    described = {(r["topic"] + 1, i): w for r in model.describeTopics(6).collect() for i, w in zip(r["termIndices"], r["termWeights"])}
+    places = {r["term"]: r["place"] for r in index.collect()}
+    assert all(math.isclose(r["beta"], described[r["topic"], places[r["term"]]], rel_tol=1e-9) for r in beta.collect())
     assert beta.count() == 2 * 6
     assert all(math.isclose(r[1], 1.0) for r in beta.groupBy("topic").agg(F.sum("beta")).collect())
     gamma = topics.doc_topics(model, vectors, "id")

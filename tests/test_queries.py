@@ -48,7 +48,7 @@ def test_partition_count_does_not_matter(spark, small, name):
 def test_topic_weights_are_of_the_whole_corpus_model(spark, small, monkeypatch):
     """Weights come from the model of 20 topics over all terms of two or more letters; one pass is enough to see it."""
     fitted = topic_plans.topic_model
-    monkeypatch.setattr(topic_plans, "topic_model", lambda *a, **more: fitted(*a, **more, max_iter=1))
+    monkeypatch.setattr(topic_plans, "topic_model", lambda *a, **more: fitted(*a, **more | {"max_iter": 1}))
     beta = QUERIES["lda_beta"](spark, small)
     assert beta.select("topic").distinct().count() == 20 and beta.filter("length(term) = 2").count() > 0
     gamma = QUERIES["lda_gamma"](spark, small)

@@ -199,6 +199,19 @@ def tf_idf(counts: str, group: str) -> str:
         cross join (select count(distinct {group}) as groups from {counts}) g)"""
 
 
+def vectors(long_rows: str) -> str:
+    """Places and rounded values of the indexed words of each document."""
+    return f"""
+        with long_rows as ({long_rows}),
+        numbered as (select word, row_number() over (order by word) - 1 as place from long_rows group by word
+                     having count(*) >= 0.01 * (select count(*) from labelled))
+        select lyrics_id, cast(flag as double) as label, cast((select count(*) from numbered) as int) as size,
+               coalesce(string_agg(cast(place as varchar), ' ' order by place), '') as places,
+               coalesce(string_agg(case when place is not null then cast(cast(round(value * 1000) as bigint) as varchar) end,
+                                   ' ' order by place), '') as "values"
+        from long_rows left join numbered using (word) group by 1, 2"""
+
+
 def top_tf_idf(counts: str, group: str, k: int, where: str = "true") -> str:
     """The top ``k`` per group with the reverse plotting index."""
     return f"""
@@ -491,6 +504,28 @@ ORACLE_BODIES = {
     "features_binary": "select distinct lyrics_id, flag, word, cast(1 as int) as present from ltok",
     "features_embedding": """
         select distinct lyrics_id, flag, word, round(vec_sum, 6) as value from ltok join dict using (word)""",
+    "word_index": """
+        select word, docs, cast(row_number() over (order by word) - 1 as int) as place
+        from (select word, count(*) as docs from (select distinct lyrics_id, word from ltok) group by 1
+              having count(*) >= 0.01 * (select count(*) from labelled))""",
+    "vectors_count": vectors("select lyrics_id, flag, word, count(*) as value from ltok group by 1, 2, 3"),
+    "vectors_binary": vectors("select distinct lyrics_id, flag, word, 1 as value from ltok"),
+    "vectors_embedding": vectors(
+        "select distinct lyrics_id, flag, word, vec_sum as value from ltok join dict using (word)"),
+    "cv_folds": """
+        select "repeat", fold, label, count(*) as "rows", cast(sum(lyrics_id) as bigint) as id_sum
+        from (select r.n as "repeat", lyrics_id, flag as label, cast((row_number() over (
+                partition by r.n order by flag, md5(concat(cast(lyrics_id as varchar), '-123-fold-', cast(r.n as varchar))), lyrics_id) - 1) % 10 as int) as fold
+              from labelled, (select cast(unnest(range(1, 4)) as int) as n) r) group by 1, 2, 3""",
+    "split_by_label": """
+        select lyrics_id, flag as label, row_number() over (
+                 partition by flag order by md5(concat(cast(lyrics_id as varchar), '-123-split')), lyrics_id)
+               <= floor(0.75 * count(*) over (partition by flag)) as is_train from labelled""",
+    "topic_facts": """
+        select cast(topic as int) as topic, (select count(distinct term) from dt_all) as terms,
+               (select count(distinct term) from dt_all) as names, cast(1.0 as double) as beta_sum,
+               (select count(distinct lyrics_id) from dt_all) as docs
+        from (select unnest(range(1, 11)) as topic)""",
     "features_sumvec": """
         select lyrics_id, flag, round(sum(vec_sum), 5) as sum_vec
         from (select distinct lyrics_id, flag, word, vec_sum from ltok join dict using (word)) group by 1, 2""",

@@ -11,13 +11,14 @@ from refrain import fixed
 from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url
 from refrain.functions.text import clean_scraped, dash_key, decade, normalise
 from refrain.operators import annotate, distribution, documents, features, joins, models, ranking, richness
-from refrain.operators import sampling, sentiment, topics, words
+from refrain.operators import sampling, sentiment, topics, vocabulary, words
 from refrain.operators.genre import clean_genre, extract_genre, extraction_report, genre_fallback, genre_long
 from refrain.operators.genre import genre_status
 from refrain.operators.ordered import add_index, fill_ties
 from refrain.plans import annotation as annotation_plans
 from refrain.plans import chart as chart_plans
 from refrain.plans import classify, sentiment as sentiment_plans, topics as topic_plans, words as word_plans
+from refrain.session import pin
 from refrain.sources.html import html_tables, html_text
 from refrain.sources.status import with_status
 from refrain.sources.tables import collect_by_key
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {}
 SEED = fixed.SPLIT_SEED
 GRID = [-5 + 0.5 * i for i in range(21)]
 RELEVANT = ["NOUN", "ADJ"]
+CV_ITERATIONS = 20  # of each of the 30 fits
 
 
 def query(fn: Query) -> Query:
@@ -550,8 +552,8 @@ def top_terms(spark, d):
 
 @query
 def lda_topics(spark, d):
-    model, vocabulary, _ = topic_plans.corpus_topics(views.songs(spark, d), STOP)
-    return topics.top_terms(topics.topic_terms(model, vocabulary, views.songs(spark, d)), 10)
+    model, index, _ = topic_plans.corpus_topics(views.songs(spark, d), STOP)
+    return topics.top_terms(topics.topic_terms(model, index), 10)
 
 
 @query
@@ -568,9 +570,8 @@ def lda_topics_subset(spark, d):
 
 @query
 def lda_beta(spark, d):
-    songs = views.songs(spark, d)
-    model, vocabulary, _ = topic_plans.corpus_topics(songs, STOP)
-    return topics.topic_terms(model, vocabulary, songs)
+    model, index, _ = topic_plans.corpus_topics(views.songs(spark, d), STOP)
+    return topics.topic_terms(model, index)
 
 
 @query
@@ -579,6 +580,18 @@ def lda_gamma(spark, d):
     return topics.doc_topics(model, vectors, "lyrics_id")
 
 
+@query
+def topic_facts(spark, d):
+    """What must hold of any topic model of the plain terms: per topic its terms and the sum of their weights, and how
+    many documents have a weight for it."""
+    counts = documents.document_terms(_plain_terms(spark, d), "terms", "lyrics_id")
+    model, index, vectors = topics.topic_model(counts, "lyrics_id", fixed.TOPICS_SUBSET, max_iter=3)
+    beta = topics.topic_terms(model, index).groupBy("topic")
+    gamma = topics.doc_topics(model, vectors, "lyrics_id").groupBy("topic")
+    terms = beta.agg(F.count("*").alias("terms"), F.countDistinct("term").alias("names"), F.round(F.sum("beta"), 6).alias("beta_sum"))
+    return terms.join(gamma.agg(F.count("*").alias("docs")), "topic")
+
+
 # Features and classifiers
 
 
@@ -643,6 +656,51 @@ def _featured(spark, d, kind: str) -> DataFrame:
     return classify.with_features(labelled, kind, views.dictionary(spark, d))
 
 
+@query
+def word_index(spark, d):
+    """The numbered words of the labelled documents."""
+    long = features.count_features(_labelled_tokens(spark, d), ["lyrics_id", "flag"])
+    n_docs = _labelled_docs(spark, d).agg(F.count("*")).scalar()
+    return vocabulary.word_index(long, n_docs, fixed.MIN_DOC_SHARE)
+
+
+def _vector_entries(kind: str) -> Query:
+    """Vectors of one kind as places and values, the values rounded and joined to a text."""
+
+    def run(spark, d):
+        docs = _labelled_docs(spark, d).select("lyrics_id", F.col("flag").cast("double").alias("label"), words.text_words("lyrics", STOP).alias("words"))
+        vectors = classify.with_features(pin(docs), kind, views.dictionary(spark, d))
+        entries = vocabulary.vector_entries(vectors, ["lyrics_id", "label"])
+        values = F.transform("values", lambda v: F.round(v * 1000).cast("long").cast("string"))
+        places = F.transform("places", lambda p: p.cast("string"))
+        return entries.select("lyrics_id", "label", "size", F.array_join(places, " ").alias("places"), F.array_join(values, " ").alias("values"))
+
+    return run
+
+
+for _kind in ("count", "binary", "embedding"):
+    QUERIES[f"vectors_{_kind}"] = _vector_entries(_kind)
+
+
+@query
+def cv_folds(spark, d):
+    """Rows of every fold, label and repeat of the cross-validation."""
+    docs = _labelled_docs(spark, d).select("lyrics_id", F.col("flag").alias("label"))
+    parts = {
+        repeat: sampling.fold_numbers(docs, "lyrics_id", "label", fixed.CV_FOLDS, f"{SEED}-fold-{repeat}")
+        for repeat in range(1, fixed.CV_REPEATS + 1)
+    }
+    dealt = collect_by_key(parts, "repeat")
+    return dealt.groupBy("repeat", "fold", "label").agg(F.count("*").alias("rows"), F.sum("lyrics_id").alias("id_sum"))
+
+
+@query
+def split_by_label(spark, d):
+    """The classifier's split: a share of each label, in an order of its own."""
+    docs = _labelled_docs(spark, d).select("lyrics_id", F.col("flag").alias("label"))
+    return sampling.mark_train(docs, "lyrics_id", fixed.TRAIN_SHARE, f"{SEED}-split", stratum="label")
+
+
 def _svm(kind: str) -> Query:
     return lambda spark, d: classify.evaluate(_featured(spark, d, kind), models.svm_pipeline())
 
@@ -658,8 +716,8 @@ def logit_count(spark, d):
 
 @query
 def repeated_cv(spark, d):
-    featured = _featured(spark, d, "count").select("label", "features")
-    return models.repeated_cv(models.svm_pipeline(), featured, fixed.CV_FOLDS, fixed.CV_REPEATS, SEED)
+    featured = _featured(spark, d, "count")
+    return models.repeated_cv(models.svm_pipeline(max_iter=CV_ITERATIONS), featured, fixed.CV_FOLDS, fixed.CV_REPEATS, SEED)
 
 
 # A trailing underscore only keeps a query from hiding the operator it runs.
