@@ -174,8 +174,8 @@ def _forest(pairs: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
         root = low
 
 
-def _likely_in(sig: np.ndarray, mine: np.ndarray, cross: bool) -> np.ndarray:
-    """The root of every member of one bucket: the least member linked with it by likely pairs."""
+def _likely_in(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Likely pairs of one bucket."""
     a_all, b_all, n = [], [], len(sig)
     for at in range(0, n, 64):
         equal = np.zeros((min(64, n - at), n), np.int16)
@@ -183,17 +183,32 @@ def _likely_in(sig: np.ndarray, mine: np.ndarray, cross: bool) -> np.ndarray:
             equal += sig[at : at + 64, p, None] == sig[None, :, p]
         a, b = np.nonzero(equal >= LIKELY)
         a += at
-        right = (a < b) & ((mine[a] != mine[b]) | (not cross))
-        a_all.append(a[right])
-        b_all.append(b[right])
-    return _forest((np.concatenate(a_all), np.concatenate(b_all)), n)
+        a_all.append(a[a < b])
+        b_all.append(b[a < b])
+    return np.concatenate(a_all), np.concatenate(b_all)
+
+
+def _roots_in(sig: np.ndarray, mine: np.ndarray, cross: bool) -> np.ndarray:
+    """The member that each member of one bucket hangs on: itself, or the least one linked with it by likely pairs.
+
+    In a bucket of two blocks only the roots of each block's own links are hung on others: their members hang on them
+    already, by the task that has the block alone. So a group of near copies gives a row per member and block, and one
+    per pair of blocks.
+    """
+    pairs, n = _likely_in(sig), len(sig)
+    root = _forest(pairs, n)
+    if cross:
+        within = mine[pairs[0]] == mine[pairs[1]]
+        own = _forest((pairs[0][within], pairs[1][within]), n)
+        root = np.where(own == np.arange(n), root, np.arange(n))
+    return root
 
 
 def _likely_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of buckets that arrive one after another: bucket, mine, cross, digest, signature in order.
 
-    Buckets of a few members are compared all at once, the others one by one; the last bucket of a batch waits for
-    its rest, and no bucket is longer than two blocks.
+    Buckets of a few members and one block are compared all at once, the others one by one; the last bucket of a batch
+    waits for its rest, and no bucket is longer than two blocks.
     """
     held = None
     small = 8
@@ -210,18 +225,18 @@ def _likely_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         group = np.repeat(np.arange(len(first)), sizes)
         sig = t.column("sig").combine_chunks().flatten().to_numpy().reshape(n, POSITIONS)
         mine, cross = t.column("mine").to_numpy(), keys[1] != keys[2]
-        a_all, b_all, few = [], [], sizes[group] <= small
+        a_all, b_all, few = [], [], (sizes[group] <= small) & ~cross
         for k in range(1, min(small, n)):
             a = np.flatnonzero(few[:-k] & (group[:-k] == group[k:]))
-            a = a[(mine[a] != mine[a + k]) | ~cross[a]]
             a = a[(sig[a] == sig[a + k]).sum(1) >= LIKELY]
             a_all.append(a)
             b_all.append(a + k)
         none = np.zeros(0, np.int64)
         root = _forest((np.concatenate([none, *a_all]), np.concatenate([none, *b_all])), n)
-        for f, size in zip(first[sizes > small], sizes[sizes > small], strict=True):
+        whole = (sizes > small) | cross[first]
+        for f, size in zip(first[whole], sizes[whole], strict=True):
             own = slice(f, f + size)
-            root[own] = f + _likely_in(sig[own], mine[own], bool(cross[f]))
+            root[own] = f + _roots_in(sig[own], mine[own], bool(cross[f]))
         linked = np.flatnonzero(root != np.arange(n))
         digests = t.column("digest").combine_chunks()
         return pa.record_batch([digests.take(pa.array(linked)), digests.take(pa.array(root[linked]))], names=["a", "b"])

@@ -136,6 +136,27 @@ def brute_classes(texts, threshold=0.8):
     return {k: (least[k], links[k]) for k in sets}
 
 
+def test_links_of_a_large_group_are_a_row_per_member_and_one_per_pair_of_blocks():
+    """Tasks of two blocks name roots alone, and the components are those of all likely pairs."""
+    draw = np.random.default_rng(1)
+    groups = [draw.integers(0, 1 << 30, 64) for _ in range(3)]
+    sig, size, blocks = [], 300, 4
+    for k in range(size):
+        own = groups[k % 2 if k < size - 5 else 2].copy()
+        own[draw.choice(64, 8, replace=False)] = draw.integers(0, 1 << 30, 8)
+        sig.append(own)
+    sig, mine = np.array(sig), np.array([k * 7 % blocks for k in range(size)])
+    edges = []
+    for x in range(blocks):
+        for y in range(x, blocks):
+            at = np.flatnonzero((mine == x) | (mine == y))
+            root = ngram_join._roots_in(sig[at], mine[at], x != y)
+            edges += [(x != y, at[k], at[root[k]]) for k in range(len(at)) if root[k] != k]
+    assert sum(not cross for cross, *_ in edges) <= size and sum(cross for cross, *_ in edges) <= 3 * blocks * blocks
+    a, b = (np.array([e[k] for e in edges]) for k in (1, 2))
+    assert (ngram_join._forest((a, b), size) == ngram_join._forest(ngram_join._likely_in(sig), size)).all()
+
+
 def test_join_against_brute_force(spark, small):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     got = {r.doc_id: (r.class_id, r.n_links) for r in QUERIES["op7_ngram_join"](spark, small).collect()}
