@@ -1,4 +1,9 @@
-"""English suffix stripping after Porter (1980), for words that Spark hands over in Arrow batches."""
+"""English stems by the Porter2 rules, for words that Spark hands over in Arrow batches.
+
+R1 is what follows the first vowel and the non-vowel after it, R2 the same within R1. A step takes the longest ending of
+its list and changes it only if the ending lies in the region its rule names. A ``y`` that acts as a consonant is
+written ``Y`` meanwhile.
+"""
 
 from __future__ import annotations
 
@@ -9,81 +14,114 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Suffix tables of the published algorithm, tried in order.
-STEP2 = [
-    ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-    ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
-    ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
-    ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+# Word lists and endings of the published algorithm.
+EXCEPTIONS = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl",
+    "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl",
+    "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes",
+}
+KEPT_AFTER_PLURAL = ["inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed"]
+REGION_STARTS = ["gener", "commun", "arsen"]
+DOUBLES = ["bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt"]
+LI_ENDINGS = "cdeghkmnrt"
+# In R1; the letters an ending must follow, if any, come third.
+SUFFIXES = [
+    ("tional", "tion", ""), ("enci", "ence", ""), ("anci", "ance", ""), ("abli", "able", ""), ("entli", "ent", ""),
+    ("izer", "ize", ""), ("ization", "ize", ""), ("ational", "ate", ""), ("ation", "ate", ""), ("ator", "ate", ""),
+    ("alism", "al", ""), ("aliti", "al", ""), ("alli", "al", ""), ("fulness", "ful", ""), ("ousli", "ous", ""),
+    ("ousness", "ous", ""), ("iveness", "ive", ""), ("iviti", "ive", ""), ("biliti", "ble", ""), ("bli", "ble", ""),
+    ("ogi", "og", "l"), ("fulli", "ful", ""), ("lessli", "less", ""), ("li", "", LI_ENDINGS),
 ]
-STEP3 = [
-    ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"),
-    ("ful", ""), ("ness", ""),
+# In R1, "ative" in R2.
+SECOND_SUFFIXES = [
+    ("tional", "tion"), ("ational", "ate"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"), ("ical", "ic"),
+    ("ful", ""), ("ness", ""), ("ative", ""),
 ]
-STEP4 = [
-    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ion", "ou",
-    "ism", "ate", "iti", "ous", "ive", "ize",
+# In R2, "ion" after s or t.
+LAST_SUFFIXES = [
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive",
+    "ize", "ion",
 ]
 
-CONSONANT = "(?:[^aeiouy]|(?<![^aeiou])y|^y)"
-VOWEL = "(?:[aeiou]|(?<=[^aeiou])y)"
-HAS_VOWEL = re.compile(VOWEL)
-ENDS_DOUBLE = re.compile(r"([^aeiou])\1$")
-ENDS_CVC = re.compile(f"{CONSONANT}{VOWEL}[^aeiouwxy]$")
-SEQUENCE = re.compile(f"{VOWEL}+{CONSONANT}+")
+VOWEL = re.compile("[aeiouy]")
+REGION = re.compile("[^aeiouy]*[aeiouy]+[^aeiouy]")
+START = re.compile("|".join(REGION_STARTS))
+SHORT_END = re.compile("[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$")
+PAST = re.compile("(eedly|ingly|edly|eed|ing|ed)$")
+
+
+def _ending(suffixes: list[str]) -> re.Pattern:
+    """Finds the longest of the endings: the search starts from the left."""
+    return re.compile(f"({'|'.join(suffixes)})$")
+
 
+FIRST, SECOND, LAST = _ending([s for s, *_ in SUFFIXES]), _ending([s for s, _ in SECOND_SUFFIXES]), _ending(LAST_SUFFIXES)
+FIRST_RULES, SECOND_RULES = {s: rest for s, *rest in SUFFIXES}, dict(SECOND_SUFFIXES)
 
-def measure(stem: str) -> int:
-    """How many vowel-consonant sequences the stem holds."""
-    return len(SEQUENCE.findall(stem))
 
+def regions(word: str) -> tuple[int, int]:
+    """Where R1 and R2 begin; the word's length if they are empty."""
+    begin = START.match(word) or REGION.match(word)
+    if begin is None:
+        return len(word), len(word)
+    within = REGION.match(word, begin.end())
+    return begin.end(), within.end() if within else len(word)
 
-def _swap(word: str, table: list[tuple[str, str]], least: int) -> str:
-    hits = [pair for pair in table if word.endswith(pair[0])]
-    if not hits:
+
+def _past(word: str, r1: int) -> str:
+    found = PAST.search(word)
+    if found is None:
         return word
-    suffix, new = max(hits, key=lambda pair: len(pair[0]))
-    stem = word[: -len(suffix)]
-    if suffix == "ion" and not stem.endswith(("s", "t")):
+    rest = word[: found.start()]
+    if found[0].startswith("eed"):
+        return f"{rest}ee" if found.start() >= r1 else word
+    if not VOWEL.search(rest):
         return word
-    return stem + new if measure(stem) > least else word
+    if rest.endswith(("at", "bl", "iz")):
+        return f"{rest}e"
+    if rest[-2:] in DOUBLES:
+        return rest[:-1]
+    return f"{rest}e" if r1 >= len(rest) and SHORT_END.search(rest) else rest
 
 
 def stem_word(word: str) -> str:
-    """The stem of one lower-case word."""
-    if len(word) < 3:
+    """The stem of a lower-case word."""
+    if len(word) <= 2:
         return word
-    if word.endswith(("sses", "ies")):
+    if word in EXCEPTIONS:
+        return EXCEPTIONS[word]
+    word = word.removeprefix("'")
+    word = re.sub("^y|(?<=[aeiouy])y", "Y", word)
+    r1, r2 = regions(word)
+    word = re.sub("('s'|'s|')$", "", word)
+
+    if word.endswith("sses"):
         word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
+    elif word.endswith(("ied", "ies")):
+        word = word[:-2] if len(word) > 4 else word[:-1]
+    elif word.endswith("s") and not word.endswith(("us", "ss")) and VOWEL.search(word[:-2]):
         word = word[:-1]
-
-    if word.endswith("eed"):
-        word = word[:-1] if measure(word[:-3]) > 0 else word
-    else:
-        ending = next((e for e in ("ed", "ing") if word.endswith(e)), "")
-        if ending and HAS_VOWEL.search(word[: -len(ending)]):
-            word = word[: -len(ending)]
-            if word.endswith(("at", "bl", "iz")):
-                word += "e"
-            elif ENDS_DOUBLE.search(word) and word[-1] not in "lsz":
-                word = word[:-1]
-            elif measure(word) == 1 and ENDS_CVC.search(word):
-                word += "e"
-
-    if word.endswith("y") and HAS_VOWEL.search(word[:-1]):
-        word = word[:-1] + "i"
-    word = _swap(word, STEP2, 0)
-    word = _swap(word, STEP3, 0)
-    word = _swap(word, [(suffix, "") for suffix in STEP4], 1)
+    if word in KEPT_AFTER_PLURAL:
+        return word
+    word = _past(word, r1)
+    if len(word) > 2 and word[-1] in "yY" and not VOWEL.match(word[-2]):
+        word = f"{word[:-1]}i"
+
+    if (found := FIRST.search(word)) and found.start() >= r1:
+        new, after = FIRST_RULES[found[0]]
+        if not after or word[found.start() - 1 : found.start()] in tuple(after):
+            word = word[: found.start()] + new
+    if (found := SECOND.search(word)) and found.start() >= (r2 if found[0] == "ative" else r1):
+        word = word[: found.start()] + SECOND_RULES[found[0]]
+    if (found := LAST.search(word)) and found.start() >= r2 and (found[0] != "ion" or word[: found.start()].endswith(("s", "t"))):
+        word = word[: found.start()]
 
     if word.endswith("e"):
-        m = measure(word[:-1])
-        if m > 1 or (m == 1 and not ENDS_CVC.search(word[:-1])):
+        if len(word) > r2 or (len(word) > r1 and not SHORT_END.search(word[:-1])):
             word = word[:-1]
-    if word.endswith("ll") and measure(word) > 1:
+    elif word.endswith("ll") and len(word) > r2:
         word = word[:-1]
-    return word
+    return word.replace("Y", "y")
 
 
 def _stem_each(words: np.ndarray) -> np.ndarray:

@@ -10,17 +10,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
+from refrain.operators.sizing import join_totals
 
 SONG_KEY = ["rank", "year", "song_name", "singer"]
 
 
+def one_text(rows: DataFrame, keys: list[str], text: str = "lyrics") -> DataFrame:
+    """One row per key with its longest text, of equally long ones the last in order; rows with a null key go."""
+    best = F.max(F.struct(F.length(text).alias("size"), F.col(text).alias("text")))
+    known = rows.filter(" and ".join(f"`{k}` is not null" for k in keys))
+    return known.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.text").alias(text))
+
+
 def join_chart_lyrics(chart: DataFrame, lyrics: DataFrame) -> DataFrame:
-    """Chart rows with the lyrics found under the same title and artist.
+    """Chart rows with the lyrics found under the same title and artist, one text each.
 
-    A song that charted in two years was looked up twice; its equal lyrics rows are merged before
-    the join, where they would multiply.
+    A title may have been fetched many times, with different texts: it gives one, so there are at most as many rows as
+    the chart has.
     """
-    return chart.join(lyrics.distinct(), ["song_name", "singer"])
+    keys = ["song_name", "singer"]
+    return join_totals(chart, one_text(lyrics, keys), keys)
 
 
 def join_genre(lyrics: DataFrame, genres: DataFrame) -> DataFrame:
@@ -36,11 +45,13 @@ def missing_rows(everything: DataFrame, done: DataFrame, keys: list[str] = SONG_
     return everything.join(done.select(*keys), keys, "left_anti")
 
 
-def lyrics_fill(chart: DataFrame, stored: DataFrame, fetched: DataFrame) -> DataFrame:
-    """One round of an incremental fill: the distinct stored rows, plus the chart rows that lack
-    lyrics and whose title and artist were fetched since."""
-    columns = ["rank", "song_name", "singer", "year", "lyrics"]
-    stored = stored.select(*columns).distinct()
-    origin = chart.select("rank", "song_name", "singer", "year")
-    found = join_chart_lyrics(missing_rows(origin, stored), fetched.select("song_name", "singer", "lyrics"))
-    return stored.unionByName(found.select(*columns))
+def newly_found(chart: DataFrame, have: DataFrame, fetched: DataFrame) -> DataFrame:
+    """Chart rows, one per key, that have no lyrics yet and whose title and artist were fetched since."""
+    wanted = missing_rows(chart.select(*SONG_KEY).dropDuplicates(), have)
+    return join_chart_lyrics(wanted, fetched.select("song_name", "singer", "lyrics"))
+
+
+def lyrics_fill(chart: DataFrame, have: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One round of an incremental fill: what is stored, one row per key, and the rows found since."""
+    columns = [*SONG_KEY, "lyrics"]
+    return one_text(have, SONG_KEY).select(*columns).unionByName(newly_found(chart, have, fetched).select(*columns))

@@ -48,6 +48,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace the partitions that ``df`` has rows of and leave the files of all others as they are.
+
+    ``df`` may be derived from the table itself if it is pinned.
+    """
+    writer = df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def require_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the schema's columns, cast to its types; a missing one is an error."""
     missing = [f.name for f in schema if f.name not in df.columns]

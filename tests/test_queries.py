@@ -13,7 +13,7 @@ from workload.queries import QUERIES
 
 # Keys of the inventory that have no SQL twin.
 ROWS_ONLY = {
-    "stem_tokens", "svm_count", "svm_binary", "svm_embedding", "svm_sumvec", "logit_count",
+    "svm_count", "svm_binary", "svm_embedding", "svm_sumvec", "logit_count",
     "repeated_cv", "lda_topics", "lda_topics_subset", "lda_beta", "lda_gamma",
 }
 

@@ -6,6 +6,7 @@ import re
 
 from refrain import fixed
 from refrain.functions.text import TOKEN
+from workload.stems_sql import stems
 from workload.views import GENRE_OF_DIGIT, STOP
 
 
@@ -121,6 +122,15 @@ VIEWS = {
         select word, list_sum(cast(embedding as double[])) as vec_sum
         from (select word, cast('0x' || substr(md5(word), 1, 15) as bigint) % (select count(*) from embeddings) as vec_id
               from bench_words) join embeddings using (vec_id)""",
+    "filled": """
+        select rank, song_name, singer, year, max(md5(lyrics)) as lyrics, false as added
+        from songs where lyrics_id % 4 <> 0 group by all
+        union all
+        select distinct a.rank, a.song_name, a.singer, a.year, b.found, true
+        from songs a join (select song_name, singer, max(md5(lyrics)) as found from songs where lyrics_id % 8 = 0 group by 1, 2) b
+          on a.song_name = b.song_name and a.singer = b.singer
+        where not exists (select 1 from songs s where s.lyrics_id % 4 <> 0 and a.rank = s.rank and a.year = s.year
+                          and a.song_name = s.song_name and a.singer = s.singer)""",
     "chart_raw": """
         select lyrics_id, year, case when lyrics_id % 7 = 3 then 'Tie' else cast(rank as varchar) end as rank,
                song_name, singer from songs""",
@@ -350,7 +360,7 @@ ORACLE_BODIES = {
         from (select lyrics_id, genre, {', '.join(_flag(*r) for r in fixed.GENRE_RULES)} from {CLEAN_EXTRACT})""",
     "join_chart_lyrics": """
         select rank, song_name, singer, year, found as lyrics
-        from songs join (select distinct song_name, singer, md5(lyrics) as found from songs) using (song_name, singer)""",
+        from songs join (select song_name, singer, max(md5(lyrics)) as found from songs group by 1, 2) using (song_name, singer)""",
     "join_genre": """
         select a.rank, a.year, a.song_name, a.singer, md5(a.lyrics) as lyrics, concat('raw ', b.genre) as genre_raw,
                case when b.genre = 'Extraction failed' then concat('raw ', b.genre) else b.genre end as genre
@@ -359,15 +369,11 @@ ORACLE_BODIES = {
         select lyrics_id, rank, year, song_name, singer from songs a where not exists (
           select 1 from songs b where b.lyrics_id % 4 <> 0 and a.rank = b.rank and a.year = b.year
             and a.song_name = b.song_name and a.singer = b.singer)""",
-    "lyrics_fill": """
-        with stored as (select distinct rank, song_name, singer, year, md5(lyrics) as lyrics
-                        from songs where lyrics_id % 4 <> 0)
-        select * from stored union all
-        select a.rank, a.song_name, a.singer, a.year, b.found
-        from songs a join (select distinct song_name, singer, md5(lyrics) as found from songs where lyrics_id % 8 = 0) b
-          on a.song_name = b.song_name and a.singer = b.singer
-        where not exists (select 1 from stored s where a.rank = s.rank and a.year = s.year
-                          and a.song_name = s.song_name and a.singer = s.singer)""",
+    "lyrics_fill": "select rank, song_name, singer, year, lyrics from filled",
+    "lyrics_store": """
+        select year, count(*) as "rows", count(*) filter (added and year < 1990) as added,
+               count(*) filter (added and year < 1990) = 0 as same_files
+        from filled where not added or year < 1990 group by 1""",
     "tokenize": """
         select lyrics_id, cast(generate_subscripts(words, 1) - 1 as int) as pos, unnest(words) as word from songs""",
     "stopword_anti": "select lyrics_id, word from tok where word not in (select word from stop)",
@@ -504,6 +510,7 @@ ORACLE_BODIES = {
     "features_binary": "select distinct lyrics_id, flag, word, cast(1 as int) as present from ltok",
     "features_embedding": """
         select distinct lyrics_id, flag, word, round(vec_sum, 6) as value from ltok join dict using (word)""",
+    "stem_tokens": f"select lyrics_id, word, stem from tok join ({stems('select word from tok')}) using (word)",
     "word_index": """
         select word, docs, cast(row_number() over (order by word) - 1 as int) as place
         from (select word, count(*) as docs from (select distinct lyrics_id, word from ltok) group by 1

@@ -17,11 +17,11 @@ from refrain.operators.genre import genre_status
 from refrain.operators.ordered import add_index, fill_ties
 from refrain.plans import annotation as annotation_plans
 from refrain.plans import chart as chart_plans
-from refrain.plans import classify, sentiment as sentiment_plans, topics as topic_plans, words as word_plans
-from refrain.session import pin
+from refrain.plans import classify, fill, sentiment as sentiment_plans, topics as topic_plans, words as word_plans
+from refrain.session import pin, shared_path
 from refrain.sources.html import html_tables, html_text
 from refrain.sources.status import with_status
-from refrain.sources.tables import collect_by_key
+from refrain.sources.tables import collect_by_key, read_table
 from workload import views
 from workload.views import STOP
 
@@ -244,6 +244,21 @@ def lyrics_fill(spark, d):
     return joins.lyrics_fill(songs, stored, fetched)
 
 
+@query
+def lyrics_store(spark, d):
+    """Rows per year of a stored table after a round of filling, the rows added, and whether its files are the old ones."""
+    songs = views.songs(spark, d).withColumn("lyrics", F.md5("lyrics"))
+    path = shared_path(spark, "lyrics-store")
+    fill.start_store(songs.filter(F.col("lyrics_id") % 4 != 0), path)
+    files = lambda: read_table(spark, path).groupBy("year").agg(
+        F.array_sort(F.collect_set("_metadata.file_name")).alias("files"), F.count("*").alias("rows"))
+    before = pin(files())
+    added = fill.fill_store(songs.filter("year < 1990"), songs.filter("lyrics_id % 8 = 0"), path)
+    after = files().join(before.select("year", F.col("files").alias("old")), "year", "left").join(added, "year", "left")
+    kept = F.coalesce(F.col("files") == F.col("old"), F.lit(False))
+    return after.select("year", "rows", F.coalesce("added", F.lit(0)).alias("added"), kept.alias("same_files"))
+
+
 # Words
 
 
