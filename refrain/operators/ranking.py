@@ -64,6 +64,20 @@ def mean_by(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
     return df.groupBy(*group).agg(F.avg(value).alias(out))
 
 
+def means_by_each(df: DataFrame, groups: list[str], value: str, out: str) -> DataFrame:
+    """Means of ``value`` by each of several columns from one pass: ``(by, group, out)``, the group as text.
+
+    Grouping sets: a row goes to one partial mean per column, and all are shuffled together.
+    """
+    sets = [[F.col(g)] for g in groups]
+    means = df.groupingSets(sets, *groups).agg(F.avg(value).alias(out), F.grouping_id(*groups).alias("_set"))
+    which, held = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, g in enumerate(groups):
+        mine = F.col("_set") == (1 << len(groups)) - 1 - (1 << (len(groups) - 1 - k))
+        which, held = F.when(mine, F.lit(g)).otherwise(which), F.when(mine, F.col(g).cast("string")).otherwise(held)
+    return means.select(which.alias("by"), held.alias("group"), out)
+
+
 def display_order(df: DataFrame, measure: str, tie_break: list[str], out: str = "ord") -> DataFrame:
     """Number the rows of a report by falling ``measure``, for use as a plotting order.
 

@@ -9,7 +9,7 @@ from refrain import fixed
 from refrain.functions.text import decade, tokens
 from refrain.operators.distribution import clip_range, density_by_group
 from refrain.operators.genre import genre_long
-from refrain.operators.ranking import display_order, mean_by, share_of
+from refrain.operators.ranking import display_order, mean_by, means_by_each, share_of
 from refrain.operators.sentiment import sentiment_relative, song_sentiment
 from refrain.operators.sizing import broadcast_if_small
 from refrain.operators.words import compute_once, explode_words, word_freq
@@ -21,6 +21,11 @@ def mean_sentiment(songs: DataFrame, lexicon: DataFrame, group: str) -> DataFram
     return mean_by(song_sentiment(songs, lexicon, [group]), [group], "ave_sentiment", "mean_sent")
 
 
+def mean_sentiments(songs: DataFrame, lexicon: DataFrame, groups: list[str]) -> DataFrame:
+    """Mean length-normalised sentiment by each of several attributes; the texts are read and tokenised once."""
+    return means_by_each(song_sentiment(songs, lexicon, groups), groups, "ave_sentiment", "mean_sent")
+
+
 def genre_tidy(songs: DataFrame, lexicon: DataFrame, flags: list[str] = fixed.GENRES) -> DataFrame:
     """One row per song with a sentiment and genre flag set: its sentiment, rank, decade and year."""
     attributed = songs.withColumn("decade", decade(F.col("year")))

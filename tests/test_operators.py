@@ -339,6 +339,26 @@ def test_stop_words_after_or_before_stemming(spark):
     assert (after, before) == (["they", "onli", "sing"], ["they", "sing"])
 
 
+@pytest.mark.parametrize("bw", [None, 0.3, 0.02])
+def test_binned_density_is_near_the_direct_sum(spark, bw):
+    draw = random.Random(3)
+    values = [(g, draw.gauss(0, 1 + g) if draw.random() < 0.9 else 0.25) for g in (0, 1) for _ in range(300)] + [(0, None)]
+    df = spark.createDataFrame(values, "g int, v double")
+    grid = [-3 + 0.25 * k for k in range(25)]
+    got = {(r["g"], r["x"]): r["density"] for r in distribution.density_by_group(df, ["g"], "v", grid, bw).collect()}
+    width = df.select(distribution.rule_of_thumb_bandwidth(df, "v").alias("w")).first()["w"] if bw is None else bw
+    for g in (0, 1):
+        own = [v for h, v in values if h == g and v is not None]
+        direct = {x: sum(math.exp(-(((x - v) / width) ** 2) / 2) for v in own) / (len(own) * width * math.sqrt(2 * math.pi)) for x in grid}
+        assert all(abs(got[g, x] - direct[x]) < 1e-3 * max(direct.values()) for x in grid)
+
+
+def test_means_by_each_column(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (1, "x", 4.0), (2, "x", None)], "a int, b string, v double")
+    got = {(r["by"], r["group"]): r["m"] for r in ranking.means_by_each(df, ["a", "b"], "v", "m").collect()}
+    assert got == {("a", "1"): 3.0, ("a", "2"): None, ("b", None): 2.0, ("b", "x"): 4.0}
+
+
 def test_density_integrates_to_one(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([("g", rng.gauss(0, 1)) for _ in range(200)], "g string, v double")

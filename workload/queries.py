@@ -394,6 +394,14 @@ QUERIES["mean_sentiment_by_year"] = _mean("year")
 QUERIES["mean_sentiment_by_decade"] = _mean("decade")
 
 
+@query
+def mean_sentiments(spark, d):
+    """The reports by rank, year and decade from one pass over the texts."""
+    songs = views.songs(spark, d).withColumn("decade", decade(F.col("year")))
+    means = sentiment_plans.mean_sentiments(songs, views.lexicon_scored(spark, d), ["rank", "year", "decade"])
+    return means.select("by", "group", r9("mean_sent"))
+
+
 @query
 def mean_sentiment_by_genre(spark, d):
     means = sentiment_plans.mean_sentiment_by_genre(views.flagged_songs(spark, d), views.lexicon_scored(spark, d))
@@ -434,6 +442,13 @@ def sentiment_density(spark, d):
     return curve.select("decade", "x", r9("density"))
 
 
+@query
+def sentiment_density_default(spark, d):
+    """Density by decade with the bandwidth that follows from the values."""
+    curve = distribution.density_by_group(pin(scored_songs(spark, d, "decade")), ["decade"], "ave_sentiment", GRID)
+    return curve.select("decade", "x", r9("density"))
+
+
 @query
 def sentiment_density_by_rank(spark, d):
     scored = scored_songs(spark, d, "rank")
