@@ -7,8 +7,9 @@ one class with a least id and a count, so copies cost one row. Classes are joine
    ``i`` of a MinHash signature stands for the token ``(i, value)``, and two sets share it with the probability
    of their Jaccard similarity. A bucket with at most ``bucket`` classes is searched by brute force; a larger one
    is split again on ``branch`` newly sampled tokens, so that passages that many documents share fall apart. A
-   bucket that does not get smaller by splitting holds a group of near copies: it is dealt into blocks and every
-   pair of blocks is searched. Runs repeat until a pair at the threshold is met with probability ``recall``.
+   bucket that a split leaves nearly whole holds a group of near copies: all its members become one candidate group,
+   a row each. Large buckets of the last split that are neither are dealt into blocks and every pair of blocks is
+   searched. Runs repeat until a pair at the threshold is met with probability ``recall``.
 2. Brute force compares signatures and keeps links of likely pairs, as a forest: at most one row per class and
    bucket. Their components are candidate groups.
 3. The sets of classes in a group are made again from one text of each and compared exactly, in blocks of
@@ -47,6 +48,7 @@ BLOCK = 512
 BRANCH = 2
 DEPTH = 5
 POSITIONS = 64
+KEPT_SHARE = 0.6  # of its members that a split leaves together in a bucket of near copies
 LIKELY = 35  # of 64 equal positions: five standard deviations below the mean at a similarity of 0.8
 CACHED = 500_000
 SET_BYTES = 6
@@ -272,7 +274,8 @@ def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
     first = paths.drop("sig")
     found = None
     for depth in range(1, DEPTH + 1):
-        counts = (first if depth == 1 else paths).groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
+        members = (first if depth == 1 else paths).groupBy("node")
+        counts = members.agg(F.count("*").alias("n"), F.min("digest").alias("least")).filter("n > 1")
         counts = stored(counts, "join-counts")
         if depth == 1:
             shared = stored(first.join(counts.hint("merge"), "node"), "join-paths")
@@ -280,16 +283,20 @@ def candidates(classes: DataFrame, bucket: int, runs: int) -> DataFrame:
         else:
             shared = paths.join(counts.hint("merge"), "node")
         shared = stored(shared, "join-shared")
-        settled = (F.col("n") <= bucket) | F.coalesce(F.col("n") >= 0.6 * F.col("parents"), F.lit(False))
+        small = F.col("n") <= bucket
+        whole = ~small & F.coalesce(F.col("n") >= KEPT_SHARE * F.col("parents"), F.lit(False))
         last = depth == DEPTH
-        ready = shared if last else shared.filter(settled)
+        # A bucket that a split leaves whole is one candidate group, a row per member.
+        stars = shared.filter(whole & (F.col("digest") != F.col("least"))).select(F.col("digest").alias("a"), F.col("least").alias("b"))
+        ready = shared.filter(~whole if last else small)
         dealt = _salted(ready.select("digest", "sig", "node", "n"), "n", bucket, "digest")
         dealt = dealt.repartition("node", "x", "y").sortWithinPartitions("node", "x", "y", "digest")
         links = stored(dealt.mapInArrow(_likely_links, "a binary, b binary"), "join-links")
+        links = links.union(stars)
         found = links if found is None else found.union(links)
         if last:
             break
-        open_rows = shared.filter(~settled)
+        open_rows = shared.filter(~small & ~whole)
         if open_rows.isEmpty():
             break
         branches = F.explode(F.array(*[child(F.col("node"), F.lit(s)) for s in range(1, BRANCH + 1)]))

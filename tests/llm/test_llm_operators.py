@@ -177,6 +177,15 @@ def test_join_splits_large_groups(spark):
     assert {(r.class_id, r.n_links) for r in got} == {(0, 149)}
 
 
+def test_join_of_texts_around_one_passage(spark):
+    """A passage that fills half of many texts keeps their buckets whole; only real pairs come out linked."""
+    draw, passage = np.random.default_rng(3), " ".join(f"p{k}" for k in range(40))
+    texts = [(k, f"{passage} " + " ".join(f"w{x}" for x in draw.integers(0, 9999, 30))) for k in range(80)]
+    texts += [(100 + k, texts[k][1] + " end") for k in range(40)]
+    got = ngram_join.join(spark.createDataFrame(texts, "doc_id long, text string"), bucket=8, block=16).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got} == brute_classes(texts)
+
+
 def test_components(spark):
     chain = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(100, 101)], "a long, b long")
     assert {(r.node, r.component) for r in components(chain, "test").collect()} == {(k, 0) for k in range(21)} | {(100, 100), (101, 100)}
