@@ -60,6 +60,33 @@ def with_artist_key(
     )
 
 
+def alias_matcher(aliases: Aliases, mode: str = "literal") -> str:
+    """One pattern that finds any of the aliases."""
+    quoted = [p if mode == "regex" else re.sub(r"([^\w\s])", r"\\\1", p) for p, _ in aliases]
+    return "|".join(f"(?:{p})" for p in dict.fromkeys(quoted))
+
+
+def with_name_keys(
+    df: DataFrame, title: str, artist: str, title_key: str = "title_key", artist_key: str = "artist_key", mode: str = "literal"
+) -> DataFrame:
+    """Add both keys, made once per distinct name.
+
+    One matcher over all aliases decides which names hold any; only those go through the ordered replacements. The keys
+    are joined back by a computed name, so that a name with many rows can be split. A null name has a null key.
+    """
+    for name, aliases, out in ((title, fixed.TITLE_ALIASES, title_key), (artist, fixed.ARTIST_ALIASES, artist_key)):
+        names = df.select(F.col(name).alias("_name")).filter("_name is not null").distinct()
+        held = F.col("_name").rlike(alias_matcher(aliases, mode))
+        names = names.withColumn("_folded", F.when(held, apply_aliases(F.col("_name"), aliases, mode)).otherwise(F.col("_name")))
+        if out == title_key:
+            keyed = names.withColumn(out, strip_to_key(F.col("_folded")))
+        else:
+            keyed = with_artist_key(names, "_folded", out, aliases=[], mode=mode)
+        keyed = keyed.select(F.concat("_name", F.lit("")).alias("_name"), out)
+        df = df.withColumn("_name", F.concat(F.col(name), F.lit(""))).join(keyed, "_name", "left").drop("_name")
+    return df
+
+
 def with_lyric_url(df: DataFrame, title: str, artist: str, out: str = "lyrics_url", mode: str = "literal") -> DataFrame:
     """Add the lyric page address made of the artist key and the title key."""
     keyed = with_artist_key(df, artist, "_artist_key", mode=mode)

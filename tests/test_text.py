@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from refrain import fixed
-from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url
+from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url, with_name_keys
 from refrain.functions.stemming import stem, stem_array, stem_word
 from refrain.functions.text import clean_scraped, dash_key, decade, normalise, tokens
 from refrain.operators.genre import (
@@ -20,7 +22,7 @@ from refrain.operators.genre import (
     select_range,
 )
 from refrain.sources.html import html_tables, html_text, name_cells
-from refrain.sources.status import split_ok_failed, with_status
+from refrain.sources.status import parsed_rows, split_ok_failed, with_status, write_by_status
 
 
 def one(spark, value, fn):
@@ -95,6 +97,17 @@ def test_keys_are_stable(spark):
     assert once.select("k").collect() == with_artist_key(once.select("k"), "k", "k2").select("k2").collect()
 
 
+def test_name_keys_equal_those_of_each_row(spark):
+    """Aliases with special characters, two aliases in one name, each branch, null and empty names."""
+    titles = [p for p, _ in fixed.TITLE_ALIASES] + ["Diary of Mr. Brightside", "plain", "", None]
+    artists = [p for p, _ in fixed.ARTIST_ALIASES] + ["a Featuring b", "a with b", "The x & y", "a-b", "a x b", "a + b", "", None]
+    names = spark.createDataFrame([(t, a) for t in titles for a in artists[::5] + artists[-8:]], "t string, a string")
+    for mode in ("literal", "regex"):
+        got = with_name_keys(names, "t", "a", mode=mode).select("t", "a", "title_key", "artist_key")
+        want = with_artist_key(names.withColumn("title_key", canon_title(F.col("t"), mode=mode)), "a", "artist_key", mode=mode)
+        assert Counter(got.collect()) == Counter(want.collect())
+
+
 def test_lyric_url(spark):
     df = spark.createDataFrame([("Hey Jude", "The Beatles")], "t string, a string")
     assert with_lyric_url(df, "t", "a").first()["lyrics_url"].endswith("/beatles/heyjude.html")
@@ -230,3 +243,18 @@ def test_spans_are_bounded():
     page = '<table><tr><td colspan=99999999999>A</td><td colspan="²">B</td></tr></table>'
     ((_, _, _, cells),) = _tables(page, [])
     assert cells == ["A"] * 1000 + ["B"]
+
+
+def test_failed_rows_keep_their_message(spark, tmp_path):
+    def parse(text):
+        if text == "odd":
+            raise Warning("suspicious", "kept")
+        return str(1 // int(text))
+
+    df = spark.createDataFrame([(1, "1"), (2, "x"), (3, "0"), (4, None), (5, "odd")], "id int, raw string")
+    parsed = parsed_rows(df, "raw", parse)
+    got = {r["id"]: (r["value"], r["status"], r["message"]) for r in parsed.collect()}
+    assert got[1] == ("1", "ok", None) and got[4] == (None, "missing", None) and got[5] == ("kept", "Warning!", "suspicious")
+    assert got[2][:2] == got[3][:2] == (None, "Error!") and "'x'" in got[2][2] and "zero" in got[3][2]
+    assert write_by_status(parsed, f"{tmp_path}/out") == {"ok": 1, "Warning!": 1, "Error!": 2, "missing": 1}
+    assert parsed_rows(df.limit(0), "raw", parse).count() == 0

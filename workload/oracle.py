@@ -7,7 +7,7 @@ import re
 from refrain import fixed
 from refrain.functions.text import TOKEN
 from workload.stems_sql import stems
-from workload.views import GENRE_OF_DIGIT, STOP
+from workload.views import BETWEEN, GENRE_OF_DIGIT, STOP
 
 
 def _q(text: str) -> str:
@@ -42,10 +42,20 @@ def _key(col: str) -> str:
     return f"lower(regexp_replace({col}, '[^\\p{{L}}\\p{{N}}]+', '', 'g'))"
 
 
-def _artist(col: str) -> str:
+def _replaced(col: str, aliases) -> str:
+    for text, replacement in aliases:
+        col = f"replace({col}, {_q(text)}, {_q(replacement)})"
+    return col
+
+
+def _picked(values, number: str) -> str:
+    return f"list_extract([{', '.join(_q(v) for v in values)}], cast({number} % {len(values)} as int) + 1)"
+
+
+def _artist(col: str, branches=tuple(fixed.ARTIST_BRANCHES)) -> str:
     branches = " ".join(
         f"when regexp_matches({col}, {_q(test)}) then {_key(f'regexp_replace({col}, {_q(cut)}, {_q(str())}, {_q(chr(103))})')}"
-        for test, cut in fixed.ARTIST_BRANCHES
+        for test, cut in branches
     )
     return f"translate(case {branches} else lower({col}) end, {_q(fixed.ARTIST_STRIP)}, '')"
 
@@ -131,6 +141,14 @@ VIEWS = {
           on a.song_name = b.song_name and a.singer = b.singer
         where not exists (select 1 from songs s where s.lyrics_id % 4 <> 0 and a.rank = s.rank and a.year = s.year
                           and a.song_name = s.song_name and a.singer = s.singer)""",
+    "named": f"""
+        select lyrics_id,
+               case when lyrics_id % 3 = 0 then concat({_picked([p for p, _ in fixed.TITLE_ALIASES], "(lyrics_id // 3)")}, ' ', song_name)
+                    else song_name end as title,
+               case when lyrics_id % 4 = 0 then {_picked([p for p, _ in fixed.ARTIST_ALIASES], "(lyrics_id // 4)")}
+                    when lyrics_id % 16 = 1 then singer
+                    else concat(singer, {_picked(BETWEEN, "lyrics_id")}, 'other') end as artist
+        from songs""",
     "chart_raw": """
         select lyrics_id, year, case when lyrics_id % 7 = 3 then 'Tie' else cast(rank as varchar) end as rank,
                song_name, singer from songs""",
@@ -337,6 +355,15 @@ ORACLE_BODIES = {
     "canon_artist": f"""
         select lyrics_id, {_artist("a")} as artist_key
         from (select lyrics_id, {_aliased("lyrics", fixed.ARTIST_ALIASES)} as a from songs)""",
+    "parse_messages": """
+        select lyrics_id, r as rank, case when r <> 'Tie' then r end as value,
+               case when r is null then 'missing' when r = 'Tie' then 'Error!' when cast(r as int) > 90 then 'Warning!' else 'ok' end as status,
+               case when r = 'Tie' then 'no rank: Tie' when cast(r as int) > 90 then 'low rank: ' || r end as message
+        from (select lyrics_id, case when lyrics_id % 11 <> 5 then rank end as r from chart_raw)""",
+    "name_keys": f"""
+        select lyrics_id, title, artist, {_key(_replaced("title", fixed.TITLE_ALIASES))} as title_key,
+               {_artist("a", (*fixed.ARTIST_BRANCHES[:-1], fixed.ARTIST_PLUS_LITERAL))} as artist_key
+        from (select *, {_replaced("artist", fixed.ARTIST_ALIASES)} as a from named)""",
     "genre_clean": f"select doc_id, {_chain('text', fixed.GENRE_CLEAN)} as cleaned from documents",
     "genre_extract": f"""
         select lyrics_id, genre, case when genre in ('Extraction failed', 'No genre detected', 'Wiki page 404')

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refrain import fixed
-from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url
+from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url, with_name_keys
 from refrain.functions.text import clean_scraped, dash_key, decade, normalise
 from refrain.operators import annotate, distribution, documents, features, joins, models, ranking, richness
 from refrain.operators import sampling, sentiment, topics, vocabulary, words
@@ -20,7 +20,7 @@ from refrain.plans import chart as chart_plans
 from refrain.plans import classify, fill, sentiment as sentiment_plans, topics as topic_plans, words as word_plans
 from refrain.session import pin, shared_path
 from refrain.sources.html import html_tables, html_text
-from refrain.sources.status import with_status
+from refrain.sources.status import parsed_rows, with_status, write_by_status
 from refrain.sources.tables import collect_by_key, read_table
 from workload import views
 from workload.views import STOP
@@ -166,6 +166,12 @@ def canon_artist(spark, d):
     return keyed.select("lyrics_id", "artist_key")
 
 
+@query
+def name_keys(spark, d):
+    """Keys of titles and artists that hold aliases and reach every branch."""
+    return with_name_keys(views.named_songs(spark, d), "title", "artist")
+
+
 @query
 def genre_clean(spark, d):
     docs = views.spread(views.table(spark, d, "documents"))
@@ -244,6 +250,24 @@ def lyrics_fill(spark, d):
     return joins.lyrics_fill(songs, stored, fetched)
 
 
+def parse_rank(text: str) -> str:
+    """A chart rank without leading zeros; a tie is no rank, and one beyond the chart is suspicious."""
+    if not text.isdecimal():
+        raise ValueError(f"no rank: {text}")
+    if int(text) > 90:
+        raise Warning(f"low rank: {text}", text)
+    return str(int(text))
+
+
+@query
+def parse_messages(spark, d):
+    """Chart ranks parsed row by row, good and failed rows written in one pass and read again."""
+    chart = views.chart_raw(spark, d).select("lyrics_id", F.when(F.col("lyrics_id") % 11 != 5, F.col("rank")).alias("rank"))
+    path = shared_path(spark, "parsed")
+    write_by_status(parsed_rows(chart, "rank", parse_rank), path)
+    return read_table(spark, path).select("lyrics_id", "rank", "value", "status", "message")
+
+
 @query
 def lyrics_store(spark, d):
     """Rows per year of a stored table after a round of filling, the rows added, and whether its files are the old ones."""

@@ -130,6 +130,25 @@ def chart_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page.select(F.format_string("%d-%d", "year", "page").alias("page"), "year", html.alias("html"))
 
 
+# What stands between two names, one for each branch of the artist key.
+BETWEEN = [" Featuring ", " featuring ", " with ", " The ", " & ", "-", " x ", " + "]
+
+
+def named_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Songs whose titles and artists hold an alias, or two names put together in each of the known ways."""
+    pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
+    base = songs(spark, sf_dir).select("lyrics_id", "song_name", "singer")
+    number = F.col("lyrics_id")
+    title = F.concat(pick([p for p, _ in fixed.TITLE_ALIASES], F.floor(number / 3)), F.lit(" "), "song_name")
+    alias = pick([p for p, _ in fixed.ARTIST_ALIASES], F.floor(number / 4))
+    joined = F.concat(F.col("singer"), pick(BETWEEN, number), F.lit("other"))
+    return base.select(
+        "lyrics_id",
+        F.when(number % 3 == 0, title).otherwise(F.col("song_name")).alias("title"),
+        F.when(number % 4 == 0, alias).when(number % 16 == 1, F.col("singer")).otherwise(joined).alias("artist"),
+    )
+
+
 def search_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Songs with a raw search text that reaches each extraction branch."""
     base = songs(spark, sf_dir).select("lyrics_id", "year", "rank", "song_name", "singer", F.col("genre").alias("g"))
