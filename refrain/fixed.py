@@ -44,6 +44,14 @@ GENRE_CLEAN = [
     (r"[^\p{L}\p{N}]+", "-"),
 ]
 
+# Marks and patterns that frame a genre in a search text, and an address in one that cites a page.
+GENRE_MARK = "Genre"
+LENGTH_MARK = "Length"
+AROUND_GENRE = "^.*Genre|Length.*$"
+BEFORE_TITLE, AFTER_TITLE = "(?i)-*", ".*-*,*-*Genre[s]*-*"
+CITES_PAGE = "wiki"
+AROUND_ADDRESS = "(?s)^.*Wikipedia*|Cached.*$"
+
 # Labels that stand in the genre column when no genre was found.
 EXTRACTION_FAILED = "Extraction failed"
 NO_GENRE = "No genre detected"

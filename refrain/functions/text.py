@@ -38,6 +38,11 @@ def dash_key(col: Column) -> Column:
     return F.translate(F.replace(bare, F.lit("  "), F.lit(" ")), " ", "-")
 
 
+def genre_search_url(title: Column, artist: Column) -> Column:
+    """The address whose text is searched for a song's genre: both names as search keys, in lower case."""
+    return request_url(fixed.GENRE_SEARCH_URL, F.lower(dash_key(title)), F.lower(dash_key(artist)))
+
+
 def decade(year: Column) -> Column:
     """The decade label of a year; years outside every range take the fallback label."""
     label = F.lit(fixed.DECADE_ELSE)

@@ -25,10 +25,10 @@ def extract_genre(df: DataFrame, text: str, title: str, out: str = "genre") -> D
     behind the title's prefix; other texts get a failure label. The title is read as a pattern.
     """
     source = F.col(text)
-    prefix = F.concat(F.lit("(?i)-*"), F.col(title), F.lit(".*-*,*-*Genre[s]*-*"))
-    has_genre = source.contains("Genre")
+    prefix = F.concat(F.lit(fixed.BEFORE_TITLE), F.col(title), F.lit(fixed.AFTER_TITLE))
+    has_genre = source.contains(fixed.GENRE_MARK)
     genre = (
-        F.when(has_genre & source.contains("Length"), F.regexp_replace(source, "^.*Genre|Length.*$", ""))
+        F.when(has_genre & source.contains(fixed.LENGTH_MARK), F.regexp_replace(source, fixed.AROUND_GENRE, ""))
         .when(has_genre & F.regexp_like(source, prefix), F.regexp_replace(source, prefix, F.lit("")))
         .when(has_genre, fixed.EXTRACTION_FAILED)
         .otherwise(fixed.NO_GENRE)
@@ -56,7 +56,7 @@ def genre_fallback(
     df: DataFrame,
     page_rows: DataFrame,
     url: str = "url",
-    marker: str = "Genre",
+    marker: str = fixed.GENRE_MARK,
     raw: str = "genre_raw",
     genre: str = "genre",
 ) -> DataFrame:
@@ -72,8 +72,8 @@ def genre_fallback(
         F.array_sort(F.collect_list(hit)).alias("_hits"), F.lit(True).alias("_read")
     )
     found = found.select("_url", "_read", F.when(F.size("_hits") > 0, F.array_join("_hits.text", " ")).alias("_found"))
-    is_open = F.coalesce(F.col(raw).contains("wiki") & (F.col(genre) == fixed.NO_GENRE), F.lit(False))
-    cited = F.regexp_replace(F.col(raw), "(?s)^.*Wikipedia*|Cached.*$", "")
+    is_open = F.coalesce(F.col(raw).contains(fixed.CITES_PAGE) & (F.col(genre) == fixed.NO_GENRE), F.lit(False))
+    cited = F.regexp_replace(F.col(raw), fixed.AROUND_ADDRESS, "")
     looked_up = F.when(F.col("_read"), F.coalesce("_found", F.col(genre))).otherwise(fixed.PAGE_MISSING)
     # Settled rows take no part in the join, where they would all share one null key.
     asked = join_totals(df.filter(is_open).withColumn("_url", cited), found, ["_url"], "left")

@@ -355,6 +355,9 @@ ORACLE_BODIES = {
     "canon_artist": f"""
         select lyrics_id, {_artist("a")} as artist_key
         from (select lyrics_id, {_aliased("lyrics", fixed.ARTIST_ALIASES)} as a from songs)""",
+    "genre_search_url": f"""
+        select lyrics_id, concat('https://www.google.com/search?q=', lower({DASH.format(col="title")}), '+',
+               lower({DASH.format(col="artist")}), '+genre') as search_url from named""",
     "parse_messages": """
         select lyrics_id, r as rank, case when r <> 'Tie' then r end as value,
                case when r is null then 'missing' when r = 'Tie' then 'Error!' when cast(r as int) > 90 then 'Warning!' else 'ok' end as status,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from refrain import fixed
 from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url, with_name_keys
-from refrain.functions.text import clean_scraped, dash_key, decade, normalise
+from refrain.functions.text import clean_scraped, dash_key, decade, genre_search_url, normalise
 from refrain.operators import annotate, distribution, documents, features, joins, models, ranking, richness
 from refrain.operators import sampling, sentiment, topics, vocabulary, words
 from refrain.operators.genre import clean_genre, extract_genre, extraction_report, genre_fallback, genre_long
@@ -166,6 +166,13 @@ def canon_artist(spark, d):
     return keyed.select("lyrics_id", "artist_key")
 
 
+@query
+def genre_search_url_(spark, d):
+    """The address that each song's genre is searched at."""
+    named = views.named_songs(spark, d)
+    return named.select("lyrics_id", genre_search_url(F.col("title"), F.col("artist")).alias("search_url"))
+
+
 @query
 def name_keys(spark, d):
     """Keys of titles and artists that hold aliases and reach every branch."""
