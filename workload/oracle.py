@@ -344,6 +344,13 @@ ORACLE_BODIES = {
     "rank_tie_fill": """
         select lyrics_id, year, try_cast(case when rank = 'Tie' then lag(rank) over
           (partition by year order by lyrics_id) else rank end as int) as rank from chart_raw""",
+    "rank_tie_runs": """
+        with tied as (select lyrics_id, year, case when lyrics_id % 7 < 3 then 'Tie' else cast(rank as varchar) end as r from songs)
+        select lyrics_id, year, 'prev' as way, try_cast(case when r = 'Tie' then lag(r) over w else r end as int) as rank
+        from tied window w as (partition by year order by lyrics_id)
+        union all
+        select lyrics_id, year, 'run', try_cast(last_value(case when r <> 'Tie' then r end ignore nulls) over w as int)
+        from tied window w as (partition by year order by lyrics_id rows between unbounded preceding and current row)""",
     "title_dash": f"select doc_id, {DASH.format(col='text')} as dash from documents",
     "chart_clean": f"""
         select year, cast(lyrics_id // 5000 as int) as page_no,
