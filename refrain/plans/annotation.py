@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.functions.text import decade
-from refrain.operators.annotate import prepare_annotated, rake_keywords, top_lemmas
+from refrain.operators.annotate import dependency_pairs, prepare_annotated, rake_keywords, top_lemmas
 from refrain.operators.genre import genre_long
 from refrain.operators.ranking import topk
 
@@ -24,6 +24,11 @@ def lemmas_by_genre(ann: DataFrame, songs: DataFrame, genres: list[str], upos: s
     return top_lemmas(tok, upos, ["genre_tidy"], k, index="reverse")
 
 
+def top_phrases(ann: DataFrame, k: int = 40) -> DataFrame:
+    """The most frequent phrases of a subject and its adjective, ties by phrase: ``(term, n)``."""
+    return dependency_pairs(ann).orderBy(F.desc("n"), "term").limit(k)
+
+
 def top_keywords(ann: DataFrame, relevant, k: int = 20, lengths: tuple[int, ...] = (1, 2), **rake) -> DataFrame:
     """The most frequent RAKE keywords of each chosen length."""
     keywords = rake_keywords(ann, relevant, **rake).filter(F.col("ngram").isin(*lengths))

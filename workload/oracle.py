@@ -524,6 +524,11 @@ ORACLE_BODIES = {
         from prepared c join prepared h on c.doc_id = h.doc_id and c.paragraph_id = h.paragraph_id
           and c.sentence_id = h.sentence_id and c.head_token_id = h.token_id
         where c.dep_rel = 'nsubj' and c.upos = 'NOUN' and h.upos = 'ADJ' group by 1""",
+    "dependency_top": """
+        select concat(h.lemma, ' ', c.lemma) as term, count(*) as n
+        from prepared c join prepared h on c.doc_id = h.doc_id and c.paragraph_id = h.paragraph_id
+          and c.sentence_id = h.sentence_id and c.head_token_id = h.token_id
+        where c.dep_rel = 'nsubj' and c.upos = 'NOUN' and h.upos = 'ADJ' group by 1 order by n desc, term limit 40""",
     "cooccurrence": "select * from cooc",
     "word_network": """
         with edges as (select * from cooc order by cooc desc, term1, term2 limit 150)

@@ -544,6 +544,11 @@ def dependency_pairs(spark, d):
     return annotate.dependency_pairs(prepared(spark, d))
 
 
+@query
+def dependency_top(spark, d):
+    return annotation_plans.top_phrases(prepared(spark, d))
+
+
 @query
 def cooccurrence(spark, d):
     return annotate.cooccurrence(prepared(spark, d), relevant())
