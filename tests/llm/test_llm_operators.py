@@ -191,25 +191,70 @@ def test_components(spark):
     assert {(r.node, r.component) for r in components(chain, "test").collect()} == {(k, 0) for k in range(21)} | {(100, 100), (101, 100)}
 
 
+def brute_links(rows, cosine=0.93):
+    """(links, least id reached) by id of rows (id, vector, label) with usable vectors of one length."""
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    labels = np.array([r[2] for r in rows])
+    linked = (x @ x.T >= cosine) & (labels[:, None] == labels)
+    np.fill_diagonal(linked, False)
+    least = np.array([r[0] for r in rows])
+    while True:
+        after = np.array([min([least[k], *least[linked[k]]]) for k in range(len(rows))])
+        if (after == least).all():
+            return {r[0]: (int(linked[k].sum()), int(least[k])) for k, r in enumerate(rows)}
+        least = after
+
+
+def found_links(frame, **options):
+    return {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame, **options).collect()}
+
+
+VECTORS = "vec_id long, embedding array<double>, label int"
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     rows = [(k, (centres[k % 12] + 0.2 * rng.normal(size=16)).tolist(), k % 3) for k in range(200)]
     rows += [(200, rows[0][1], 0), (201, None, 0), (202, [0.0] * 16, 0), (203, [math.nan] * 16, 0), (204, rows[0][1], None), (205, [1.0, None], 1)]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr("*", "'x' as node")
-    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame, block=16).collect()}
-    good = rows[:201]
-    x = np.array([v for _, v, _ in good])
-    x /= np.linalg.norm(x, axis=1)[:, None]
-    linked = (x @ x.T >= 0.93) & (np.array([r[2] for r in good])[:, None] == np.array([r[2] for r in good]))
-    np.fill_diagonal(linked, False)
-    least = np.arange(201)
-    for _ in range(201):
-        least = np.array([min([least[k], *least[linked[k]]]) for k in range(201)])
-    assert got == {k: (int(linked[k].sum()), int(least[k])) for k in range(201)} | {k: (0, k) for k in range(201, 206)}
+    frame = spark.createDataFrame(rows, VECTORS).selectExpr("*", "'x' as node")
+    assert found_links(frame, block=16) == brute_links(rows[:201]) | {k: (0, k) for k in range(201, 206)}
     assert embedding_dedup.near_duplicates(empty(spark, frame)).count() == 0
 
 
+def test_embeddings_split_over_levels(spark):
+    """One label: vectors without clusters, a chain of neighbours, a ball of near copies larger than a block, copies by scale."""
+    rng = np.random.default_rng(5)
+    loose = [rng.normal(size=12) for _ in range(150)]
+    angles = np.arange(40) * 0.3
+    chain = [np.r_[np.cos(t), np.sin(t), np.zeros(10)] for t in angles]
+    ball = [np.r_[np.zeros(4), 1.0, np.zeros(7)] + 0.02 * rng.normal(size=12) for _ in range(120)]
+    wide = [np.r_[np.zeros(7), 1.0, np.zeros(4)] + 0.11 * rng.normal(size=12) for _ in range(120)]
+    scaled = [ball[0] * 3, ball[0] * 1e-3, loose[0] * 7]
+    vectors = loose + chain + ball + wide + scaled
+    order = rng.permutation(len(vectors))
+    rows = [(int(k), vectors[o].tolist(), 0) for k, o in enumerate(order)]
+    assert found_links(spark.createDataFrame(rows, VECTORS), block=48) == brute_links(rows)
+
+
+def test_pairs_of_trees_against_all_pairs():
+    rng = np.random.default_rng(7)
+    for spread in (0.01, 0.08, 0.2, 1.0):
+        x = embedding_dedup.unit(rng.normal(size=(9, 10))[rng.integers(0, 9, 700)] + spread * rng.normal(size=(700, 10)))
+        for a, b in ((np.arange(700), None), (np.arange(300), np.arange(300, 700))):
+            times = np.zeros((700, 700), int)
+            for p, q, matrix in embedding_dedup.dual_links(x, a, b, 0.93):
+                times[np.ix_(p, q)] += 1 if matrix is None else matrix
+            wanted = x @ x.T >= 0.93
+            if b is None:
+                times = np.triu(times + times.T * (times == 0), 1)
+                wanted = np.triu(wanted, 1)
+            else:
+                wanted[300:] = wanted[:, :300] = False
+            assert (times == wanted).all()
+
+
 def test_language_model(spark, small):
     rows = spark.read.parquet(f"{small}/documents.parquet").collect()
     tokens = {r.doc_id: (r.text or "").encode().lower().split() + [b" end"] for r in rows}
