@@ -104,6 +104,10 @@ def judge_urls(
     confirmed = hits.filter((F.col("digest") == F.col("rule_digest")) & F.col("path").startswith(F.col("rule_path")))
     order = F.struct(F.length("rule"), F.length("rule_host"), "rule", "rule_verdict")
     best = confirmed.groupBy("host", "path").agg(F.max(order).alias("best"))
-    return judged.join(best, ["host", "path"], "left").select(
+    # A host has no slash and a path starts with one, so both together are one key. A computed key makes both sides
+    # of the join plain shuffles: next to the aggregate's own partitioning a frequent key could not be split.
+    key = F.concat("host", "path").alias("_url")
+    found = judged.withColumn("_url", key).join(best.select(key, "best"), "_url", "left")
+    return found.select(
         *keep, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.rule_verdict", F.lit(default)).alias("verdict")
     )
