@@ -15,8 +15,10 @@ shuffled, and a group is never longer than one page.
 Edge cases: a null payload counts as empty; a null url leaves the target out; a null page id gives records
 without a page number, which come back as null; rows that repeat the smallest page id of equal payloads are
 all responses, and rows equal in page id and payload share a record id and come back as often as they were
-written; an empty table gives no records. A damaged record comes back with ``complete`` false. Columns other
-than the three named are not read.
+written; an empty table gives no records. Columns other than the three named are not read. Of archives written
+elsewhere, records whose id names no page come back with a null page. A record without a type, a length or an
+honest header, one that is cut short or a part of a broken gzip member, and one of another type come back as a row
+with ``complete`` false; reading goes on with the next record after a blank line.
 """
 
 from __future__ import annotations
@@ -52,6 +54,8 @@ def unchunked(body: bytes) -> bytes:
         if end < 0:
             raise ValueError("no chunk size")
         size = int(body[at:end].split(b";")[0], 16)
+        if size < 0:
+            raise ValueError("a chunk size below zero")
         if size == 0:
             return b"".join(out)
         chunk = body[end + 2 : end + 2 + size]
@@ -99,17 +103,10 @@ def _page_records(page, url, html, first, segment_bytes: int, date: str) -> Iter
         yield _record([*fields, *extra], part)
 
 
-def write_archives(
-    pages: DataFrame,
-    page_id: str = "page_id",
-    url: str = "url",
-    html: str = "html",
-    least_bytes: int = 100,
-    segment_bytes: int = 32 * 1024,
-    records_per_file: int = 4000,
-    date: str = "1970-01-01T00:00:00Z",
-) -> str:
-    """Write gzipped archives to a new shared folder and return its path."""
+def mark_repeats(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", least_bytes: int = 100
+) -> DataFrame:
+    """page, target, body and first: the least page id of an equal long payload, null for that page itself."""
     body = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
         F.col(page_id).cast("long").alias("page"),
@@ -124,10 +121,28 @@ def write_archives(
         .filter("n > 1")
         .select("digest", "first")
     )
-    marked = rows.join(repeated, "digest", "left").select(
+    # A computed key, so that a frequent digest can be split; payloads without one are spread and meet nothing.
+    key = F.concat(F.lit("="), "digest")
+    loose = F.concat(F.lit("-"), F.xxhash64("page", "target", "body").cast("string"))
+    repeated = repeated.select(key.alias("key"), "first")
+    return rows.withColumn("key", F.coalesce(key, loose)).join(repeated, "key", "left").select(
         "page", "target", "body", F.when(~F.col("page").eqNullSafe(F.col("first")), F.col("first")).alias("first")
     )
 
+
+def write_archives(
+    pages: DataFrame,
+    page_id: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    least_bytes: int = 100,
+    segment_bytes: int = 32 * 1024,
+    records_per_file: int = 4000,
+    date: str = "1970-01-01T00:00:00Z",
+) -> str:
+    """Write gzipped archives to a new shared folder and return its path."""
+    marked = mark_repeats(pages, page_id, url, html, least_bytes)
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
         for batch in batches:
@@ -153,17 +168,21 @@ def write_archives(
     return path
 
 
-def _records_in(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of every record of a gzipped archive, unpacked piece by piece."""
+def _records_in(archive: bytes) -> Iterator[tuple[dict[str, str], bytes | None]]:
+    """Header fields and block (None: damaged) of every record of a gzipped archive, unpacked piece by piece."""
     unpack, view = zlib.decompressobj(31), memoryview(archive)
-    held, at, fed = bytearray(), 0, 0
+    held, at, fed, broken = bytearray(), 0, 0, False
 
     def more() -> bool:
-        nonlocal fed, unpack
+        nonlocal broken, fed, unpack
         if fed >= len(view) and not unpack.unconsumed_tail:
             return False
-        held.extend(unpack.decompress(view[fed : fed + 65536]))
-        fed += 65536
+        try:
+            held.extend(unpack.decompress(view[fed : fed + 65536]))
+        except zlib.error:  # nothing after this point can be unpacked
+            fed, broken = len(view), True
+            return False
+        fed = min(fed + 65536, len(view))
         if unpack.eof and unpack.unused_data:  # the next gzip member
             fed -= len(unpack.unused_data)
             unpack = zlib.decompressobj(31)
@@ -173,12 +192,27 @@ def _records_in(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         while (end := held.find(b"\r\n\r\n", at)) < 0 and more():
             pass
         if end < 0:
+            if broken or held[at:].strip():
+                yield {}, None
             return
-        lines = held[at:end].decode("utf-8", "surrogatepass").split("\r\n")
-        fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
-        start, length = end + 4, int(fields["content-length"])
+        lines = held[at:end].decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
+        fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        start, length = end + 4, fields.get("content-length", "")
+        if not lines[0].startswith("WARC/") or not re.fullmatch("[0-9]{1,18}", length):
+            yield fields, None
+            seen = at
+            while (following := held.find(b"\r\n\r\nWARC/", seen)) < 0:
+                seen = max(at, len(held) - 8)
+                if not more():
+                    return
+            at = following + 4
+            continue
+        length = int(length)
         while len(held) < start + length + 4 and more():
             pass
+        if len(held) < start + length:
+            yield fields, None
+            return
         yield fields, bytes(held[start : start + length])
         at = start + length + 4
         if at > 1_000_000:
@@ -187,8 +221,8 @@ def _records_in(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def _page_number(name: str | None) -> int | None:
-    number = (name or "").strip("<>").removeprefix(PAGE_URN).split(":")[0]
-    return int(number) if number else None
+    found = re.match(f"<{PAGE_URN}(-?[0-9]{{1,19}})(:|>)", name or "")
+    return int(found[1]) if found and -(1 << 63) <= int(found[1]) < 1 << 63 else None
 
 
 PARSED = "page long, record_type string, refers long, origin string, number int, total long, block binary, payload_bytes long, payload_digest string, complete boolean"
@@ -198,24 +232,28 @@ PARSED_ARROW = pa.schema(
 
 
 def _decoded(block: bytes, digest: str | None) -> tuple[int | None, str | None, bool]:
+    """Length, SHA-256 and verdict of a block's payload; a digest of an unknown kind is not compared."""
     try:
         payload = payload_of(block)
     except ValueError:
         return None, None, False
     own = hashlib.sha256(payload).hexdigest()
-    return len(payload), own, digest is None or own == digest
+    return len(payload), own, digest is None or not re.fullmatch("[0-9a-f]{64}", digest) or own == digest
 
 
-def _parsed(fields: dict[str, str], block: bytes) -> tuple:
-    kind, number = fields["warc-type"], fields.get("warc-segment-number")
+def _parsed(fields: dict[str, str], block: bytes | None) -> tuple:
+    kind, name, number = fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-segment-number")
     digest = (fields.get("warc-payload-digest") or "").removeprefix("sha256:") or None
     total = fields.get("warc-segment-total-length")
+    counted = all(x is None or re.fullmatch("[0-9]{1,9}", x) for x in (number, total))
+    if block is None or name is None or not counted or kind not in ("response", "revisit", "continuation") or (kind == "continuation" and not number):
+        return _page_number(name), kind, *[None] * 7, False
     if kind == "revisit":
         length = re.search(rb"(?i)content-length: (\d+)", block)
         refers = _page_number(fields.get("warc-refers-to"))
-        page = _page_number(fields["warc-record-id"])
+        page = _page_number(name)
         return page, kind, refers, None, None, None, None, int(length[1]) if length else None, digest, length is not None
-    origin = fields.get("warc-segment-origin-id") or fields["warc-record-id"]
+    origin = fields.get("warc-segment-origin-id") or name
     if number:
         return _page_number(origin), "response", None, origin, int(number), int(total) if total else None, block, None, digest, None
     return _page_number(origin), kind, None, origin, None, None, None, *_decoded(block, digest)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
 import math
 import re
@@ -10,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -191,6 +193,70 @@ def test_components(spark):
     assert {(r.node, r.component) for r in components(chain, "test").collect()} == {(k, 0) for k in range(21)} | {(100, 100), (101, 100)}
 
 
+def record(fields, block=b"", length=None):
+    head = "".join(f"{k}:{v}\r\n" for k, v in fields.items())
+    size = "" if length == "" else f"Content-Length: {len(block) if length is None else length}\r\n"
+    return f"WARC/1.1\r\n{head}{size}\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_warc_reads_damaged_and_foreign_records(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\n\r\nhello"
+    page = lambda k: {"WARC-Type": "response", "WARC-Record-ID": f"<urn:x-page:{k}:d>"}
+    foreign = {"WARC-Type": "response", "WARC-Record-ID": "<urn:uuid:6f1e>", "WARC-Payload-Digest": "sha1:3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"}
+    records = [
+        record({"WARC-Type": "warcinfo", "WARC-Record-ID": "<urn:uuid:1>"}, b"software: x"),
+        record(page(1), http),
+        record(page(2), b"stray bytes", length=""),
+        record(page(3), http, length="many"),
+        record({"WARC-Record-ID": "<urn:x-page:4:d>"}, http),
+        record({"WARC-Type": "response"}, http),
+        record(foreign, http),
+        record(page(5), b"no header end"),
+        record({**page(6), "WARC-Segment-Number": "one"}, http),
+        record(page(7) | {"WARC-Payload-Digest": "sha256:" + "0" * 64}, http),
+        record(page(8), b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n-5\r\nab\r\n"),
+    ]
+    (tmp_path / "a.gz").write_bytes(b"".join(gzip.compress(r) for r in [*records, record(page(9), http)[:-20]]))
+    (tmp_path / "b.gz").write_bytes(gzip.compress(record(page(10), http)) + gzip.compress(record(page(11), http * 50))[:40])
+    (tmp_path / "c.gz").write_bytes(b"not an archive")
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    own = hashlib.sha256(b"hello").hexdigest()
+    good = {(r.page, r.payload_bytes, r.payload_digest) for r in rows if r.complete}
+    assert good == {(1, 5, own), (None, 5, own), (10, 5, own)}
+    bad = collections.Counter(r.page for r in rows if not r.complete)
+    assert all(bad[k] == 1 for k in (2, 3, 4, 5, 6, 7, 8, 9)) and bad[None] >= 2
+    assert all(r.complete is not None for r in rows)
+
+
+def test_frequent_urls_and_payloads_are_split(spark):
+    """The last join of the URL filters splits a frequent url; so does that of the archives a frequent payload."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        url = F.when(F.col("id") % 2 == 0, "http://a.net/hot").otherwise(F.concat(F.lit("http://h"), F.col("id"), F.lit(".org/x")))
+        body = F.when(F.col("id") % 2 == 0, "hot " * 50).when(F.col("id") % 3 == 0, "short").otherwise(F.concat(F.repeat(F.lit("own "), 30), F.col("id")))
+        pages = spark.range(0, 40_000, 1, 8).select(F.col("id").alias("page_id"), url.alias("url"), body.alias("html"))
+        rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+        for frame in (url_filters.judge_urls(pages, rules), warc.mark_repeats(pages)):
+            frame.write.format("noop").mode("overwrite").save()
+            frame._jdf.queryExecution().executedPlan().execute().count()
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            last = text[: text.index("== Initial Plan ==")] if "== Initial Plan ==" in text else text
+            assert "skew=true" in next(line for line in last.splitlines() if "Join" in line)
+        assert warc.mark_repeats(pages).filter("first = 0").count() == 19_999
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def brute_links(rows, cosine=0.93):
     """(links, least id reached) by id of rows (id, vector, label) with usable vectors of one length."""
     x = np.array([v for _, v, _ in rows])
