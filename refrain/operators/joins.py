@@ -22,14 +22,15 @@ def one_text(rows: DataFrame, keys: list[str], text: str = "lyrics") -> DataFram
     return known.groupBy(*keys).agg(best.alias("_best")).select(*keys, F.col("_best.text").alias(text))
 
 
-def join_chart_lyrics(chart: DataFrame, lyrics: DataFrame) -> DataFrame:
-    """Chart rows with the lyrics found under the same title and artist, one text each.
+def join_chart_lyrics(chart: DataFrame, lyrics: DataFrame, every_text: bool = False) -> DataFrame:
+    """Chart rows with the lyrics found under the same title and artist: each different text, or one text.
 
-    A title may have been fetched many times, with different texts: it gives one, so there are at most as many rows as
-    the chart has.
+    A title may have been fetched many times; equal texts are merged before the join, where they would multiply. Without
+    ``every_text`` a title gives its longest text alone, so there are at most as many rows as the chart has.
     """
     keys = ["song_name", "singer"]
-    return join_totals(chart, one_text(lyrics, keys), keys)
+    known = lyrics.dropna(subset=keys).distinct() if every_text else one_text(lyrics, keys)
+    return join_totals(chart, known, keys)
 
 
 def join_genre(lyrics: DataFrame, genres: DataFrame) -> DataFrame:
@@ -51,7 +52,16 @@ def newly_found(chart: DataFrame, have: DataFrame, fetched: DataFrame) -> DataFr
     return join_chart_lyrics(wanted, fetched.select("song_name", "singer", "lyrics"))
 
 
-def lyrics_fill(chart: DataFrame, have: DataFrame, fetched: DataFrame) -> DataFrame:
-    """One round of an incremental fill: what is stored, one row per key, and the rows found since."""
+def lyrics_fill(chart: DataFrame, have: DataFrame, fetched: DataFrame, every_text: bool = False) -> DataFrame:
+    """One round of an incremental fill: what is stored and the rows found since, one per key.
+
+    With ``every_text`` all distinct stored rows stay, and each chart row without lyrics takes every different text
+    fetched under its title and artist.
+    """
     columns = [*SONG_KEY, "lyrics"]
+    if every_text:
+        stored = have.select(*columns).distinct()
+        wanted = missing_rows(chart.select(*SONG_KEY), stored)
+        found = join_chart_lyrics(wanted, fetched.select("song_name", "singer", "lyrics"), every_text=True)
+        return stored.unionByName(found.select(*columns))
     return one_text(have, SONG_KEY).select(*columns).unionByName(newly_found(chart, have, fetched).select(*columns))

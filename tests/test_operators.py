@@ -294,6 +294,19 @@ def test_lyrics_fill(spark):
     assert got == [(1, "old"), (2, "new"), (4, "new")]
 
 
+def test_every_text_joins(spark):
+    """A title with several texts gives each chart row all different ones; stored rows with other texts stay."""
+    key = "rank int, year int, song_name string, singer string"
+    chart = spark.createDataFrame([(1, 1970, "s", "a"), (2, 1971, "t", "a"), (2, 1971, "t", "a"), (3, 1972, None, "a")], key)
+    texts = [("t", "a", "new"), ("t", "a", "new"), ("t", "a", "newer"), ("s", "a", "other"), (None, "a", "x")]
+    fetched = spark.createDataFrame(texts, "song_name string, singer string, lyrics string")
+    got = sorted((r["rank"], r["lyrics"]) for r in joins.join_chart_lyrics(chart, fetched, every_text=True).collect())
+    assert got == [(1, "other"), (2, "new"), (2, "new"), (2, "newer"), (2, "newer")]
+    stored = spark.createDataFrame([(1, 1970, "s", "a", "old"), (1, 1970, "s", "a", "old"), (1, 1970, "s", "a", "older")], key + ", lyrics string")
+    got = sorted((r["rank"], r["lyrics"]) for r in joins.lyrics_fill(chart, stored, fetched, every_text=True).collect())
+    assert got == [(1, "old"), (1, "older"), (2, "new"), (2, "new"), (2, "newer"), (2, "newer")]
+
+
 def test_joined_rows_grow_with_the_chart(spark):
     """A title fetched many times with different texts gives each chart row one text, at any number of fetches."""
     chart = spark.range(30).selectExpr("cast(id as int) as rank", "1970 as year", "'s' as song_name", "if(id = 29, null, 'a') as singer")

@@ -238,7 +238,7 @@ def genre_pipeline(spark, d):
 def join_chart_lyrics(spark, d):
     songs = views.songs(spark, d)
     lyrics = songs.select("song_name", "singer", F.md5("lyrics").alias("lyrics"))
-    return joins.join_chart_lyrics(songs.select("rank", "song_name", "singer", "year"), lyrics)
+    return joins.join_chart_lyrics(songs.select("rank", "song_name", "singer", "year"), lyrics, every_text=True)
 
 
 @query
