@@ -262,7 +262,7 @@ def lyrics_fill(spark, d):
     songs = views.songs(spark, d).withColumn("lyrics", F.md5("lyrics"))
     stored = songs.filter(F.col("lyrics_id") % 4 != 0)
     fetched = songs.filter(F.col("lyrics_id") % 8 == 0)
-    return joins.lyrics_fill(songs, stored, fetched)
+    return joins.lyrics_fill(songs, stored, fetched, every_text=True)
 
 
 def parse_rank(text: str) -> str:
