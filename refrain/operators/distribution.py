@@ -25,10 +25,13 @@ CELLS_A_BANDWIDTH = 20
 
 
 def density_by_group(
-    df: DataFrame, group: list[str], value: str, grid: list[float], bw: float | Column | None = None
+    df: DataFrame, group: list[str], value: str, grid: list[float], bw: float | Column | None = None, binned: bool = True
 ) -> DataFrame:
     """Gaussian kernel density of ``value`` per group at the points of a grid: ``(group, x, density)``.
 
+    Without ``binned`` the direct sum: each value meets the grid, a literal array, in its own row, and kernels are summed
+    before the shuffle, which carries one row per task, group and grid point.
+
     Linear binning: each value is split over the two neighbouring cells of a lattice of ``CELLS_A_BANDWIDTH`` cells per
     bandwidth, in proportion to its distance, and the kernel is summed over cells instead of values. The shuffle carries
     one row per task, group and cell, the cost is values plus cells times grid points, and the result differs from the
@@ -36,13 +39,18 @@ def density_by_group(
     """
     width = rule_of_thumb_bandwidth(df, value) if bw is None else bw if isinstance(bw, Column) else F.lit(bw)
     present = df.filter(F.col(value).isNotNull())
+    points = F.array(*[F.lit(float(x)) for x in grid])
+    if not binned:
+        met = present.select(*group, value, width.alias("_bw"), F.explode(points).alias("x"))
+        unit = (F.col("x") - F.col(value)) / F.col("_bw")
+        kernel = F.exp(-unit * unit / 2) / (F.sqrt(F.lit(2.0) * F.pi()) * F.col("_bw"))
+        return met.groupBy(*group, "x").agg(F.avg(kernel).alias("density")).select(*group, "x", "density")
     placed = present.select(*group, (width / CELLS_A_BANDWIDTH).alias("_size"), F.col(value).alias("_value"))
     placed = placed.withColumn("_place", F.col("_value") / F.col("_size"))
     low, part = F.floor("_place"), F.col("_place") - F.floor("_place")
     halves = F.array(F.struct(low.alias("_cell"), (1 - part).alias("_part")), F.struct((low + 1).alias("_cell"), part.alias("_part")))
     cells = placed.select(*group, "_size", F.inline(halves))
     cells = cells.groupBy(*group, "_size", "_cell").agg(F.sum("_part").alias("_weight"))
-    points = F.array(*[F.lit(float(x)) for x in grid])
     spread = cells.select(*group, "_size", "_cell", "_weight", F.explode(points).alias("x"))
     unit = (F.col("x") - F.col("_cell") * F.col("_size")) / (F.col("_size") * CELLS_A_BANDWIDTH)
     kernel = F.exp(-unit * unit / 2) / (F.sqrt(F.lit(2.0) * F.pi()) * F.col("_size") * CELLS_A_BANDWIDTH)

@@ -15,7 +15,7 @@ from refrain.operators import annotate, distribution, documents, features, joins
 from refrain.operators import sampling, sentiment, sizing, topics, vocabulary, words
 from refrain.operators.ordered import add_index, fill_ties, with_previous
 from refrain.operators.tfidf import tf_idf
-from refrain.plans import classify, fill, words as word_plans
+from refrain.plans import classify, fill, sentiment as sentiment_plans, words as word_plans
 from refrain.sources.tables import collect_by_key, read_annotated, read_table, write_table
 
 
@@ -366,6 +366,17 @@ def test_binned_density_is_near_the_direct_sum(spark, bw):
         assert all(abs(got[g, x] - direct[x]) < 1e-3 * max(direct.values()) for x in grid)
 
 
+def test_direct_density_is_the_direct_sum(spark):
+    draw = random.Random(7)
+    values = [(g, draw.gauss(0, 1)) for g in (0, 1) for _ in range(50)] + [(0, None)]
+    df = spark.createDataFrame(values, "g int, v double")
+    grid, width = [-1 + 0.5 * k for k in range(5)], 0.3
+    for g, x, density in distribution.density_by_group(df, ["g"], "v", grid, width, binned=False).collect():
+        own = [v for h, v in values if h == g and v is not None]
+        direct = sum(math.exp(-(((x - v) / width) ** 2) / 2) for v in own) / (len(own) * width * math.sqrt(2 * math.pi))
+        assert math.isclose(density, direct, rel_tol=1e-12)
+
+
 def test_means_by_each_column(spark):
     df = spark.createDataFrame([(1, None, 2.0), (1, "x", 4.0), (2, "x", None)], "a int, b string, v double")
     got = {(r["by"], r["group"]): r["m"] for r in ranking.means_by_each(df, ["a", "b"], "v", "m").collect()}

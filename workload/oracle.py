@@ -294,6 +294,10 @@ CLEAN_EXTRACT = f"""(
           from search))"""
 DASH = "translate(replace(translate(replace({col}, '\"', ''), ',&', ''), '  ', ' '), ' ', '-')"
 DENSITY = """
+    select {group}, {x} as x, round(avg(exp(-(({x}) - ave_sentiment) * (({x}) - ave_sentiment) / (2 * {bw} * {bw}))
+           / ({bw} * sqrt(2 * pi()))), 9) as density
+    from sent_songs, range(0, 21) where {where} group by 1, 2"""
+BINNED_DENSITY = """
     select {group}, {x} as x, round(sum(weight * exp(-(({x}) - cell * size) * (({x}) - cell * size) / (2 * size * size * 400)))
            / (sum(weight) * any_value(size) * 20 * sqrt(2 * pi())), 9) as density
     from (select {group}, size, cell, sum(weight) as weight from (
@@ -303,9 +307,9 @@ DENSITY = """
 PLACED = "(select *, ave_sentiment / size as place from (select *, {bw} / 20 as size from sent_songs where {where}))"
 
 
-def density(group: str, x: str, bw: str, where: str = "true") -> str:
+def binned_density(group: str, x: str, bw: str, where: str = "true") -> str:
     """Kernel densities of linearly binned values."""
-    return DENSITY.format(group=group, x=x).replace("{placed}", PLACED.format(bw=bw, where=where))
+    return BINNED_DENSITY.format(group=group, x=x).replace("{placed}", PLACED.format(bw=bw, where=where))
 
 
 BANDWIDTH = """(select 0.9 * least(stddev_samp(ave_sentiment),
@@ -507,15 +511,15 @@ ORACLE_BODIES = {
                md5(lyrics) as lyrics_md5
         from sent_songs
         where (decade = '1970s' and ave_sentiment > 0.35) or (decade = '2010s' and ave_sentiment < -0.35)""",
-    "sentiment_density": density("decade", "-5 + 0.5::double * range", "0.3::double"),
-    "sentiment_density_default": density("decade", "-5 + 0.5::double * range", BANDWIDTH),
+    "sentiment_density": DENSITY.format(group="decade", x="-5 + 0.5::double * range", bw="0.3::double", where="true"),
+    "sentiment_density_default": binned_density("decade", "-5 + 0.5::double * range", BANDWIDTH),
     "mean_sentiments": " union all ".join(
         f"select '{g}' as by, cast({g} as varchar) as \"group\", round(avg(ave_sentiment), 9) as mean_sent from sent_songs group by {g}"
         for g in ("rank", "year", "decade")),
     "sentiment_density_by_rank": f"""
         select case when rank <= 20 then 'top' else 'bottom' end as band, rank, round(x, 9) as x, density from ({
-        density("rank", "-0.2::double + 0.05::double * range", "0.1::double",
-                "ave_sentiment between -0.2 and 0.8 and (rank <= 20 or rank > 80)")})""",
+        binned_density("rank", "-0.2::double + 0.05::double * range", "0.1::double",
+                       "ave_sentiment between -0.2 and 0.8 and (rank <= 20 or rank > 80)")})""",
     "sentiment_histogram": """
         select decade, cast(case when ave_sentiment < -1 then 0 when ave_sentiment >= 1 then 21
                             else floor(20 * (ave_sentiment + 1.0) / 2.0) + 1 end as int) as bin, count(*) as n

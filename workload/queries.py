@@ -477,7 +477,7 @@ def extreme_sentiment(spark, d):
 @query
 def sentiment_density(spark, d):
     scored = scored_songs(spark, d, "decade")
-    curve = distribution.density_by_group(scored, ["decade"], "ave_sentiment", GRID, 0.3)
+    curve = distribution.density_by_group(scored, ["decade"], "ave_sentiment", GRID, 0.3, binned=False)
     return curve.select("decade", "x", r9("density"))
 
 
