@@ -66,8 +66,8 @@ def sentiment_density(
     bw: float | None = None,
     clip: tuple[float, float] = fixed.SENTIMENT_AXIS,
 ) -> DataFrame:
-    """Density of the sentiment per group over the clipped axis."""
-    return density_by_group(clip_range(scored, "ave_sentiment", *clip), group, "ave_sentiment", grid, bw)
+    """Density of the sentiment per group over the clipped axis, every value summed directly."""
+    return density_by_group(clip_range(scored, "ave_sentiment", *clip), group, "ave_sentiment", grid, bw, binned=False)
 
 
 def rank_band(scored: DataFrame, low: int, high: int) -> DataFrame:

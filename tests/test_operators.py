@@ -375,6 +375,11 @@ def test_direct_density_is_the_direct_sum(spark):
         own = [v for h, v in values if h == g and v is not None]
         direct = sum(math.exp(-(((x - v) / width) ** 2) / 2) for v in own) / (len(own) * width * math.sqrt(2 * math.pi))
         assert math.isclose(density, direct, rel_tol=1e-12)
+    renamed = df.withColumnRenamed("v", "ave_sentiment")
+    for g, x, density in sentiment_plans.sentiment_density(renamed, ["g"], grid, width, (-5.0, 5.0)).collect():
+        own = [v for h, v in values if h == g and v is not None]
+        direct = sum(math.exp(-(((x - v) / width) ** 2) / 2) for v in own) / (len(own) * width * math.sqrt(2 * math.pi))
+        assert math.isclose(density, direct, rel_tol=1e-12)
 
 
 def test_means_by_each_column(spark):
