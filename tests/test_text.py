@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from refrain import fixed
+from refrain.functions import stemming
 from refrain.functions.keys import canon_title, with_artist_key, with_lyric_url, with_name_keys
 from refrain.functions.stemming import stem, stem_array, stem_word
 from refrain.functions.text import clean_scraped, dash_key, decade, normalise, tokens
@@ -258,3 +260,17 @@ def test_failed_rows_keep_their_message(spark, tmp_path):
     assert got[2][:2] == got[3][:2] == (None, "Error!") and "'x'" in got[2][2] and "zero" in got[3][2]
     assert write_by_status(parsed, f"{tmp_path}/out") == {"ok": 1, "Warning!": 1, "Error!": 2, "missing": 1}
     assert parsed_rows(df.limit(0), "raw", parse).count() == 0
+
+
+def test_frequent_words_are_stemmed_once_per_worker():
+    words = np.array([f"{w}ing" for w in ("sing", "walk", "zorbl")] * 50 + [None], dtype=object)
+    stemming._stem_each(words)
+    before = stemming.stem_word.cache_info()
+    assert stemming._stem_each(words).tolist() == ["sing", "walk", "zorbl"] * 50 + [None]
+    after = stemming.stem_word.cache_info()
+    assert after.misses == before.misses and after.maxsize is not None
+
+
+def test_longest_ending():
+    assert stemming._ending("rationalization", stemming.FIRST_RULES) == "ization"
+    assert stemming._ending("li", stemming.FIRST_RULES) == "li" and stemming._ending("", stemming.LAST) == ""
