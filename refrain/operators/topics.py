@@ -2,15 +2,159 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.functions import vector_to_array
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refrain import fixed
 from refrain.operators.ranking import topk
-from refrain.operators.vocabulary import sparse_vectors, word_index
-from refrain.session import shared_path, training_set
+from refrain.operators.vocabulary import sparse_vectors, vector_entries, word_index
+from refrain.session import pin, training_set
+
+# How fast the online updates of Hoffman et al. (2010) fade, the change of a document's weights that ends
+# its updates, and the document-term counts that one group of documents is made for.
+LEARNING_OFFSET = 1024
+LEARNING_DECAY = 0.51
+TOLERANCE = 1e-3
+GROUP_ENTRIES = 2_000_000
+CHUNK_ENTRIES = 20_000
+
+
+@dataclass
+class TopicModel:
+    """Weights of the terms as a table ``(place, w0, w1, …)``, one column per topic, and their sums per topic."""
+
+    weights: DataFrame
+    totals: list[float]
+    alpha: float
+
+    def describeTopics(self, maxTermsPerTopic: int = 10) -> DataFrame:  # noqa: N802, N803 - named as in Spark ML
+        """The heaviest terms of each topic: ``(topic, termIndices, termWeights)``, topics from 0."""
+        top = topk(_long(self), ["topic"], "weight", maxTermsPerTopic, ["place"])
+        ranked = top.groupBy("topic").agg(F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("w"), "place"))).alias("_r"))
+        return ranked.select("topic", F.col("_r.place").alias("termIndices"), F.transform("_r.w", lambda w: -w).alias("termWeights"))
+
+
+def _columns(k: int) -> list[str]:
+    return [f"w{i}" for i in range(k)]
+
+
+def _sums(weights: DataFrame, k: int) -> list[float]:
+    return list(weights.agg(*[F.sum(c) for c in _columns(k)]).first())
+
+
+def _drawn(index: DataFrame, k: int, seed: int) -> DataFrame:
+    """Weights to start from: for each term and topic one draw of a gamma distribution with mean 1 and deviation 0.1.
+
+    The draws are hashes of place, topic and seed, made normal by Box and Muller and skewed by Wilson and Hilferty, so
+    they do not depend on how the rows are dealt to tasks.
+    """
+    def uniform(topic: int, draw: int) -> Column:
+        return (F.shiftrightunsigned(F.xxhash64("place", F.lit(topic), F.lit(draw), F.lit(seed)), 11) + 1) / F.lit(2.0**53)
+
+    def weight(topic: int) -> Column:
+        normal = F.sqrt(-2 * F.log(uniform(topic, 0))) * F.cos(2 * F.pi() * uniform(topic, 1))
+        return F.pow(normal / 30 + (1 - 1 / 900), F.lit(3.0))
+
+    return index.select("place", *[weight(i).alias(c) for i, c in enumerate(_columns(k))])
+
+
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """The digamma function of positive values: the recurrence up to 6, then the asymptotic series."""
+    x, out = np.array(x, dtype=float), np.zeros(np.shape(x))
+    while (small := x < 6).any():
+        out[small] -= 1 / x[small]
+        x[small] += 1
+    f = 1 / (x * x)
+    return out + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+
+
+def _infer(rows: np.ndarray, counts: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+    """Variational weights of some documents, and what their entries add to the terms.
+
+    ``rows`` holds the exponentiated expectations of each entry's term, by document and entry; short documents are filled
+    up with entries of count 0. A document whose weights change by less than the tolerance keeps them.
+    """
+    gamma, live = np.ones((len(rows), rows.shape[2])), np.arange(len(rows))
+    theta = lambda g: np.exp(_digamma(g) - _digamma(g.sum(axis=1))[:, None])
+    mixed, moving, here, heavy = theta(gamma), np.ones(len(rows), dtype=bool), rows, counts
+    while moving.any():
+        now = mixed[live]
+        share = heavy / (np.matmul(here, now[:, :, None])[:, :, 0] + 1e-100)
+        new = now * np.matmul(share[:, None, :], here)[:, 0, :] + alpha
+        change = np.abs(new - gamma[live]).mean(axis=1)
+        at = live[moving]
+        gamma[at], mixed[at] = new[moving], theta(new[moving])
+        moving &= change > TOLERANCE
+        if moving.mean() < 0.7:
+            live, here, heavy, moving = live[moving], here[moving], heavy[moving], moving[moving]
+            if not len(live):
+                break
+    share = counts / (np.matmul(rows, mixed[:, :, None])[:, :, 0] + 1e-100)
+    return gamma, rows * mixed[:, None, :] * share[:, :, None]
+
+
+def _group_steps(docs, terms, totals: list[float], alpha: float):
+    """A group's documents, a chunk of like size at a time, with the rows of their entries in ``terms``, what the entries
+    add to these, and the documents' weights.
+
+    ``terms`` comes in the order of the places.
+    """
+    places = terms["place"].to_numpy()
+    weights = terms[_columns(len(totals))].to_numpy(dtype=float)
+    expected = np.exp(_digamma(weights) - _digamma(np.array(totals)))
+    sizes = docs["places"].map(len).to_numpy()
+    order = np.argsort(sizes, kind="stable")
+    first = 0
+    while first < len(order):
+        last = first + 1
+        while last < len(order) and sizes[order[last]] * (last + 1 - first) <= CHUNK_ENTRIES:
+            last += 1
+        part = docs.iloc[order[first:last]]
+        filled = np.arange(sizes[order[last - 1]]) < sizes[order[first:last], None]
+        at, counts = np.zeros(filled.shape, dtype=int), np.zeros(filled.shape)
+        at[filled] = np.searchsorted(places, np.concatenate(part["places"].to_list()))
+        counts[filled] = np.concatenate(part["values"].to_list())
+        gamma, added = _infer(expected[at], counts, alpha)
+        yield part, at[filled], added[filled], gamma
+        first = last
+
+
+def _grouped(vectors: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Documents ``(key, places, values, g)`` in groups of bounded size, and the terms ``(place, g, own)`` of each group.
+
+    A term is owned by one of its groups.
+    """
+    rows = pin(vector_entries(vectors, [key]).filter(F.size("places") > 0).select(key, "places", "values"))
+    entries = rows.agg(F.sum(F.size("places"))).first()[0] or 0
+    groups = max(-(-entries // GROUP_ENTRIES), vectors.sparkSession.sparkContext.defaultParallelism)
+    docs = rows.withColumn("g", F.pmod(F.xxhash64(key), F.lit(groups)).cast("int"))
+    held = docs.select("g", F.explode("places").alias("place")).distinct()
+    owner = held.groupBy("place").agg(F.min("g").alias("_owner"))
+    return docs, pin(held.join(owner, "place").select("place", "g", (F.col("g") == F.col("_owner")).alias("own")))
+
+
+def _pass_over(totals: list[float], alpha: float, beta: float, rate: float):
+    """One pass over a group: what its documents, and the old weights of the terms it owns, add to the new weights."""
+    k, names = len(totals), _columns(len(totals))
+
+    def step(docs, terms):
+        import pandas as pd
+
+        kept = terms.sort_values("place")
+        added = np.zeros((len(kept), k))
+        for _, at, more, _ in _group_steps(docs, kept, totals, alpha):
+            by_term = np.argsort(at, kind="stable")
+            found, begin = np.unique(at[by_term], return_index=True)
+            added[found] += np.add.reduceat(more[by_term], begin, axis=0)
+        own = kept["own"].to_numpy(dtype=float)[:, None]
+        out = pd.DataFrame((1 - rate) * own * kept[names].to_numpy(dtype=float) + rate * (added + own * beta), columns=names)
+        out.insert(0, "place", kept["place"].to_numpy())
+        return out
+
+    return step
 
 
 def topic_model(
@@ -23,61 +167,61 @@ def topic_model(
     max_iter: int = 20,
     n_docs: Column | None = None,
     min_share: float = 0.0,
-) -> tuple[LDAModel, DataFrame, DataFrame]:
+) -> tuple[TopicModel, DataFrame, DataFrame]:
     """Fit online variational LDA on document-term counts ``(key, term, n)``.
 
-    Returns the model, its term index and the term vectors per document. The model holds one weight per topic and term;
-    ``min_share`` bounds the terms as in the vocabulary module.
+    Returns the model, its term index and the term vectors per document. ``min_share`` bounds the terms as in the
+    vocabulary module. Every text takes part in every pass. The weights are a table: a pass sends each group of documents
+    the weights of the terms it holds and adds up, per term, what the groups return; only the sums per topic pass the
+    driver.
     """
     index = word_index(long, n_docs, min_share, word="term")
     vectors = training_set(sparse_vectors(long, index, [key], "n", word="term"))
-    lda = LDA(
-        k=k,
-        optimizer="online",
-        docConcentration=[float(alpha)],
-        topicConcentration=float(beta),
-        optimizeDocConcentration=False,
-        seed=seed,
-        maxIter=max_iter,
-        subsamplingRate=1.0,  # every text takes part in every pass
-    )
-    return lda.fit(vectors), index, vectors
-
-
-# Fixed value: a matrix as Spark ML stores it.
-STORED_MATRIX = (
-    "topicsMatrix struct<type: tinyint, numRows: int, numCols: int, colPtrs: array<int>, rowIndices: array<int>, "
-    "values: array<double>, isTransposed: boolean>"
-)
-
-
-def topic_terms(model: LDAModel, index: DataFrame) -> DataFrame:
-    """Topic-term weights as rows ``(topic, term, beta)``; the betas of a topic sum to 1.
-
-    The model is written to the shared folder and its matrix read back as a table, cut into one slice per topic, whose
-    weights take their terms from the index by number.
-    """
-    spark = index.sparkSession
-    path = shared_path(spark, "topic-model")
-    model.save(path)
-    matrix = spark.read.schema(STORED_MATRIX).parquet(f"{path}/data").select("topicsMatrix.*")
-    topics = matrix.select("*", F.explode(F.sequence(F.lit(0), F.col("numCols") - 1)).alias("_topic"))
-    by_column = F.slice("values", F.col("_topic") * F.col("numRows") + 1, F.col("numRows"))
-    by_row = F.transform(F.sequence(F.lit(0), F.col("numRows") - 1), lambda i: F.get("values", i * F.col("numCols") + F.col("_topic")))
-    weights = F.when(F.col("isTransposed"), by_row).otherwise(by_column)
-    slices = topics.select((F.col("_topic") + 1).alias("topic"), weights.alias("_weights")).repartition("topic")
-    long = slices.select("topic", F.posexplode("_weights").alias("place", "_weight"))
-    totals = long.groupBy("topic").agg(F.sum("_weight").alias("_total"))  # one row per topic
-    named = long.join(index.select("place", "term"), "place").join(totals, "topic")
-    return named.select("topic", "term", (F.col("_weight") / F.col("_total")).alias("beta"))
-
-
-def doc_topics(model: LDAModel, vectors: DataFrame, key: str) -> DataFrame:
-    """Document-topic weights as rows ``(key, topic, gamma)``."""
-    mixed = model.transform(vectors).select(key, vector_to_array("topicDistribution").alias("_g"))
-    return mixed.select(key, F.posexplode("_g").alias("_pos", "gamma")).select(
-        key, (F.col("_pos") + 1).alias("topic"), "gamma"
-    )
+    docs, held = _grouped(vectors, key)
+    names = _columns(k)
+    weights = pin(_drawn(index, k, seed))
+    totals = _sums(weights, k)
+    for iteration in range(1, max_iter + 1):
+        rate = (LEARNING_OFFSET + iteration) ** -LEARNING_DECAY
+        needed = held.join(weights, "place").groupBy("g")
+        schema = ", ".join(["place int", *[f"{c} double" for c in names]])
+        parts = docs.groupBy("g").cogroup(needed).applyInPandas(_pass_over(totals, alpha, beta, rate), schema)
+        weights = pin(parts.groupBy("place").agg(*[F.sum(c).alias(c) for c in names]))
+        totals = _sums(weights, k)
+    return TopicModel(weights, totals, alpha), index, vectors
+
+
+def _long(model: TopicModel) -> DataFrame:
+    """``(place, topic, weight)`` with topics from 0; the weights of a topic sum to 1."""
+    shares = [F.struct(F.lit(i).alias("topic"), (F.col(f"w{i}") / F.lit(t)).alias("weight")) for i, t in enumerate(model.totals)]
+    return model.weights.select("place", F.inline(F.array(*shares)))
+
+
+def topic_terms(model: TopicModel, index: DataFrame) -> DataFrame:
+    """Topic-term weights as rows ``(topic, term, beta)``; the betas of a topic sum to 1."""
+    named = model.weights.join(index.select("place", "term"), "place")
+    shares = [F.struct(F.lit(i + 1).alias("topic"), (F.col(f"w{i}") / F.lit(t)).alias("beta")) for i, t in enumerate(model.totals)]
+    return named.select("term", F.inline(F.array(*shares))).select("topic", "term", "beta")
+
+
+def doc_topics(model: TopicModel, vectors: DataFrame, key: str) -> DataFrame:
+    """Document-topic weights as rows ``(key, topic, gamma)``; all are 0 for a document without a term."""
+    k, totals, alpha = len(model.totals), model.totals, model.alpha
+    docs, held = _grouped(vectors, key)
+    empty = vector_entries(vectors, [key]).filter(F.size("places") == 0).select(key, F.array_repeat(F.lit(0.0), k).alias("_g"))
+
+    def mixed(group_docs, terms):
+        import pandas as pd
+
+        parts = []
+        for part, _, _, gamma in _group_steps(group_docs, terms.sort_values("place"), totals, alpha):
+            parts.append(pd.DataFrame({key: part[key].to_numpy(), "_g": list(gamma / gamma.sum(axis=1)[:, None])}))
+        return pd.concat(parts)
+
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, _g array<double>"
+    needed = held.join(model.weights, "place").groupBy("g")
+    rows = docs.groupBy("g").cogroup(needed).applyInPandas(mixed, schema).unionByName(empty)
+    return rows.select(key, F.posexplode("_g").alias("_pos", "gamma")).select(key, (F.col("_pos") + 1).alias("topic"), "gamma")
 
 
 def top_terms(beta: DataFrame, k: int) -> DataFrame:

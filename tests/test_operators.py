@@ -7,6 +7,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -480,6 +481,44 @@ def test_strata_share_one_pass(spark):
     assert sampling.class_balance(df.limit(0), "flag", "id", 1).count() == 0
 
 
+def test_topic_model_is_the_variational_one(spark):
+    """Two passes over a few texts equal the updates of Hoffman et al. (2010) in plain loops, on groups of any number."""
+    draw = random.Random(11)
+    docs = [(i, [f"w{draw.randrange(12)}" for _ in range(draw.randrange(1, 30))]) for i in range(25)]
+    counts = documents.document_terms(spark.createDataFrame(docs, "id int, terms array<string>"), "terms", "id")
+    start, index, _ = topics.topic_model(counts, "id", 3, alpha=0.5, beta=0.1, max_iter=0)
+    model, _, vectors = topics.topic_model(counts, "id", 3, alpha=0.5, beta=0.1, max_iter=2)
+    names = [r["term"] for r in index.orderBy("place").collect()]
+    read = lambda m: np.array([r[1:] for r in sorted(m.weights.collect())])
+    weights = read(start)
+    psi = lambda x: (math.lgamma(x + 1e-5) - math.lgamma(x - 1e-5)) / 2e-5
+    expected = lambda rows: np.exp(np.vectorize(psi)(rows) - np.vectorize(psi)(rows.sum(axis=0)))
+
+    def mixed(words, beta):
+        tally = Counter(words)
+        rows, n = beta[[names.index(w) for w in tally]], np.array(list(tally.values()), dtype=float)
+        gamma, change = np.ones(3), 1.0
+        while change > 1e-3:
+            theta = np.exp(np.vectorize(psi)(gamma) - psi(gamma.sum()))
+            new = theta * (rows.T @ (n / (rows @ theta))) + 0.5
+            gamma, change = new, np.abs(new - gamma).mean()
+        theta = np.exp(np.vectorize(psi)(gamma) - psi(gamma.sum()))
+        return gamma, list(tally), rows * theta * (n / (rows @ theta))[:, None]
+
+    for iteration in (1, 2):
+        beta, rate, added = expected(weights), (1024 + iteration) ** -0.51, np.zeros(weights.shape)
+        for _, words_ in docs:
+            _, terms, more = mixed(words_, beta)
+            for term, row in zip(terms, more):
+                added[names.index(term)] += row
+        weights = (1 - rate) * weights + rate * (added + 0.1)
+    assert np.allclose(read(model), weights, rtol=1e-6)
+    got = {(r["id"], r["topic"]): r["gamma"] for r in topics.doc_topics(model, vectors, "id").collect()}
+    for i, words_ in docs:
+        gamma, _, _ = mixed(words_, expected(weights))
+        assert np.allclose([got[i, t] for t in (1, 2, 3)], gamma / gamma.sum(), rtol=1e-5)
+
+
 def test_topic_weights(spark):
     docs = [(i, (["sun", "sea", "sand"] if i % 2 else ["gun", "cash", "car"]) * 5) for i in range(40)]
     df = spark.createDataFrame(docs, "id int, terms array<string>")
