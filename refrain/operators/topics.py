@@ -185,7 +185,7 @@ def topic_model(
         rate = (LEARNING_OFFSET + iteration) ** -LEARNING_DECAY
         needed = held.join(weights, "place").groupBy("g")
         schema = ", ".join(["place int", *[f"{c} double" for c in names]])
-        parts = docs.groupBy("g").cogroup(needed).applyInPandas(_pass_over(totals, alpha, beta, rate), schema)
+        parts = docs.select("g", "places", "values").groupBy("g").cogroup(needed).applyInPandas(_pass_over(totals, alpha, beta, rate), schema)
         weights = pin(parts.groupBy("place").agg(*[F.sum(c).alias(c) for c in names]))
         totals = _sums(weights, k)
     return TopicModel(weights, totals, alpha), index, vectors
@@ -218,9 +218,11 @@ def doc_topics(model: TopicModel, vectors: DataFrame, key: str) -> DataFrame:
             parts.append(pd.DataFrame({key: part[key].to_numpy(), "_g": list(gamma / gamma.sum(axis=1)[:, None])}))
         return pd.concat(parts)
 
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, _g array<double>"
+    # Keys go as text: pandas would turn whole numbers with a null among them into floats.
+    kind, docs = docs.schema[key].dataType, docs.withColumn(key, F.col(key).cast("string"))
     needed = held.join(model.weights, "place").groupBy("g")
-    rows = docs.groupBy("g").cogroup(needed).applyInPandas(mixed, schema).unionByName(empty)
+    rows = docs.groupBy("g").cogroup(needed).applyInPandas(mixed, f"`{key}` string, _g array<double>")
+    rows = rows.withColumn(key, F.col(key).cast(kind)).unionByName(empty)
     return rows.select(key, F.posexplode("_g").alias("_pos", "gamma")).select(key, (F.col("_pos") + 1).alias("topic"), "gamma")
 
 

@@ -484,8 +484,8 @@ def test_strata_share_one_pass(spark):
 def test_topic_model_is_the_variational_one(spark):
     """Two passes over a few texts equal the updates of Hoffman et al. (2010) in plain loops, on groups of any number."""
     draw = random.Random(11)
-    docs = [(i, [f"w{draw.randrange(12)}" for _ in range(draw.randrange(1, 30))]) for i in range(25)]
-    counts = documents.document_terms(spark.createDataFrame(docs, "id int, terms array<string>"), "terms", "id")
+    docs = [(i + 2**60 if i else None, [f"w{draw.randrange(12)}" for _ in range(draw.randrange(1, 30))]) for i in range(25)]
+    counts = documents.document_terms(spark.createDataFrame(docs, "id long, terms array<string>"), "terms", "id")
     start, index, _ = topics.topic_model(counts, "id", 3, alpha=0.5, beta=0.1, max_iter=0)
     model, _, vectors = topics.topic_model(counts, "id", 3, alpha=0.5, beta=0.1, max_iter=2)
     names = [r["term"] for r in index.orderBy("place").collect()]
