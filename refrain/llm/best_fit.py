@@ -14,7 +14,7 @@ and length gives the starts. The plan says which numbers of which length go to w
 its place by itself. Neither texts nor ids are shuffled or stored.
 
 Tokens of a text are put together from those of its distinct words, a slice of texts at a time; see
-``packing.WordTokenizer`` for why a text may be tokenized by words.
+``packing`` for why a text may be tokenized by words.
 
 Edge cases: a null or empty text is its end mark alone; rows that repeat, also with null ids, are packed each; equal
 lengths are told apart by their number; an empty table gives no pieces. Columns other than id and text are not read.
@@ -22,57 +22,26 @@ lengths are told apart by their number; an empty table gives no pieces. Columns
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from refrain.llm.packing import WordTokenizer
+from refrain.llm.packing import SLICE_BYTES, coder_of, token_ids
 from refrain.llm.store import stored
 from refrain.llm.wordcut import slices
 
-SLICE_BYTES = 4_000_000
-
-
-@functools.lru_cache(maxsize=1)
-def _coder(vocabulary: str) -> WordTokenizer:
-    """One tokenizer and its words per Python worker, which serves many tasks."""
-    return WordTokenizer(vocabulary)
-
-
-def token_ids(texts: pa.Array, coder: WordTokenizer) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after another and the number of ids of each; a null text has none."""
-    plain = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
-    split = pc.split_pattern(plain, " ")
-    words = split.flatten().dictionary_encode()
-    known = coder.words
-    spelt = [known.get(w) or coder.ids(w) for w in words.dictionary.to_numpy(zero_copy_only=False)]
-    sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
-    pool = np.frombuffer(b"".join(spelt), "<u4")
-    number = words.indices.to_numpy()
-    width = sizes[number]
-    ends = np.cumsum(width)
-    # Position of each id in the pool: its word's start there, and its place in the word.
-    shift = (np.cumsum(sizes) - sizes)[number] - (ends - width)
-    ids = pool[np.repeat(shift, width) + np.arange(ends[-1] if len(ends) else 0)]
-    offsets = split.offsets.to_numpy()
-    last = offsets[1:] - offsets[0]
-    upto = np.concatenate([[0], ends])[last]
-    return ids, np.diff(upto, prepend=0)
-
 
 def numbered_pieces(docs: DataFrame, id_col: str, text: str, vocabulary: str, length: int, end: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, part, number: with a number of its own in its task and length."""
     mark = np.array([end], "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, seen = _coder(vocabulary), TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
+        coder, part, seen = coder_of(vocabulary), TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 ids, sizes = token_ids(batch.column("text"), coder)

@@ -13,7 +13,8 @@ tokens per task and source gives the starts. Texts are tokenized once and their
 A sequence has ``length`` tokens. What is left at the very end is cut into powers of two, which need no padding.
 
 Words are tokenized one by one, because the tokenizer treats white space only as a border, and kept in a cache
-per worker; a word the cache's shortcut does not cover goes to the tokenizer itself.
+per worker; a word the cache's shortcut does not cover goes to the tokenizer itself. The ids of a slice of texts are
+put together from those of its distinct words.
 
 Edge cases: a null or empty text is its end mark alone; a null source is a queue of its own; rows that repeat
 are packed each; an empty table gives no pieces. Columns other than id, source and text are not read.
@@ -21,22 +22,27 @@ are packed each; an empty table gives no pieces. Columns other than id, source a
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from refrain.llm.store import stored
+from refrain.llm.wordcut import slices
 
 # Fixed value: the vocabulary's own split of a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHED = 400_000
+# Bytes of text whose words are looked up together.
+SLICE_BYTES = 4_000_000
 
 
 class WordTokenizer:
@@ -87,28 +93,54 @@ class WordTokenizer:
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=1)
+def coder_of(vocabulary: str) -> WordTokenizer:
+    """One tokenizer and its words per Python worker, which serves many tasks."""
+    return WordTokenizer(vocabulary)
+
+
+def token_ids(texts: pa.Array, coder: WordTokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another and the number of ids of each; a null text has none."""
+    plain = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
+    split = pc.split_pattern(plain, " ")
+    words = split.flatten().dictionary_encode()
+    known = coder.words
+    spelt = [known.get(w) or coder.ids(w) for w in words.dictionary.to_numpy(zero_copy_only=False)]
+    sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+    pool = np.frombuffer(b"".join(spelt), "<u4")
+    number = words.indices.to_numpy()
+    width = sizes[number]
+    ends = np.cumsum(width)
+    # Position of each id in the pool: its word's start there, and its place in the word.
+    shift = (np.cumsum(sizes) - sizes)[number] - (ends - width)
+    ids = pool[np.repeat(shift, width) + np.arange(ends[-1] if len(ends) else 0)]
+    offsets = split.offsets.to_numpy()
+    last = offsets[1:] - offsets[0]
+    upto = np.concatenate([[0], ends])[last]
+    return ids, np.diff(upto, prepend=0)
+
+
 def tokenized(docs: DataFrame, id_col: str, source: str, text: str, vocabulary: str, end: int) -> DataFrame:
     """doc_id, source, ids (16-bit), n, part, before: with the tokens before each row in its task and source."""
-    mark = np.array([end], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, part, served = WordTokenizer(vocabulary), TaskContext.get().partitionId(), {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                doc, src, body = (c.to_pylist() for c in batch.slice(at, 512).columns)
-                ids = [np.frombuffer(coder.ids(t or "") + mark, "<u4").astype("<u2").tobytes() for t in body]
-                before = []
-                for s, x in zip(src, ids, strict=True):
+        coder, part, served = coder_of(vocabulary), TaskContext.get().partitionId(), {}
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE_BYTES):
+                ids, sizes = token_ids(batch.column("text"), coder)
+                marked = np.insert(ids.astype("<u2"), np.cumsum(sizes), end)
+                lengths, before = sizes + 1, []
+                for s, n in zip(batch.column("source").to_pylist(), lengths.tolist(), strict=True):
                     before.append(served.get(s, 0))
-                    served[s] = before[-1] + len(x) // 2
-                lengths = [len(x) // 2 for x in ids]
+                    served[s] = before[-1] + n
+                ends = np.concatenate([[0], np.cumsum(2 * lengths)]).astype(np.int32)
+                held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(marked)])
                 columns = [
-                    pa.array(doc, pa.int64()), pa.array(src, pa.string()), pa.array(ids, pa.binary()),
-                    pa.array(lengths, pa.int64()), pa.array([part] * len(ids), pa.int32()), pa.array(before, pa.int64()),
+                    batch.column("doc_id"), batch.column("source"), held, pa.array(lengths, pa.int64()),
+                    pa.array(np.full(len(sizes), part), pa.int32()), pa.array(before, pa.int64()),
                 ]
                 yield pa.record_batch(columns, names=["doc_id", "source", "ids", "n", "part", "before"])
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(source).cast("string"), F.col(text))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(text).alias("text"))
     schema = "doc_id long, source string, ids binary, n long, part int, before long"
     return stored(rows.mapInArrow(run, schema), "packing-ids")
 

@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -406,6 +407,17 @@ def test_word_tokenizer_equals_the_whole_one():
         assert np.frombuffer(coder.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_many_texts_are_looked_up_once():
+    coder, whole, asked = packing.WordTokenizer(vocabulary()), Tokenizer.from_file(vocabulary()), []
+    ids = coder.ids
+    coder.ids = lambda word: asked.append(word) or ids(word)
+    texts = ["tea for two", None, "", "two tea\nfor  É", "tea"]
+    got, sizes = packing.token_ids(pa.array(texts), coder)
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert got.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    assert sorted(w for w in asked if w) == ["for", "tea", "two", "É"]
+
+
 def test_pipeline(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     names = docs.columns
