@@ -1,18 +1,29 @@
 """Analytics on part-of-speech annotated tokens.
 
-Windows here are keyed by sentence, which one text bounds, or cut into blocks of sentences.
+Windows here are keyed by sentence, which one text bounds, or cut into blocks of sentences. Tokens are
+shuffled as one row per stretch of a sentence, so that a key is not sent with every token.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from refrain.operators.ordered import with_previous
 from refrain.operators.ranking import topk
 
 SENTENCE = ["doc_id", "paragraph_id", "sentence_id"]
 SENTENCES_PER_BLOCK = 1_000
+# What stands between the words of a stretch, for a number left out, and for a word that is null; and how
+# far numbers may rise inside a stretch.
+BETWEEN, GAP, NOTHING = "\x1f", "\x1e", "\x1d"
+MOST_RISE = 8
 
 
 def prepare_annotated(ann: DataFrame, songs: DataFrame, key: str = "lyrics_id") -> DataFrame:
@@ -46,25 +57,93 @@ def dependency_pairs(
     return word.join(head, [*SENTENCE, "token_id"]).groupBy(phrase).agg(F.count("*").alias("n"))
 
 
+def stretches(tok: DataFrame, keys: list[str], number: str, word: str, step: int) -> DataFrame:
+    """Neighbouring rows with equal keys and numbers that rise by at most ``step`` as one row.
+
+    The row holds the keys, the ``first`` number, the ``size`` in rows and the words joined to one ``text``, with
+    ``NOTHING`` for null and ``GAP`` for a number left out. A word that could not be told from these stands alone, as it is (``plain``).
+    Only rows that lie side by side in a batch are put together, so stretches of one key may touch and overlap.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = pa.array(["", *[BETWEEN + (GAP + BETWEEN) * k for k in range(step)]])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            *held, numbers, words = batch.columns
+            new, unknown = np.zeros(batch.num_rows, bool), numbers.is_null().to_numpy(zero_copy_only=False)
+            for column in held:
+                codes = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= codes[1:] != codes[:-1]
+            odd = pc.or_(pc.match_substring_regex(words, f"[{BETWEEN}{GAP}{NOTHING}]"), pc.equal(words, "")).fill_null(False)
+            words = words.fill_null(NOTHING)
+            alone = odd.to_numpy(zero_copy_only=False) | unknown
+            rise = np.diff(numbers.fill_null(0).to_numpy(zero_copy_only=False), prepend=0)
+            new |= (rise < 1) | (rise > step) | alone
+            new[1:] |= alone[:-1]
+            new[0] = True
+            starts = np.flatnonzero(new)
+            sizes = np.diff(np.append(starts, batch.num_rows))
+            joined = pc.binary_join_element_wise(before.take(pa.array(np.where(new, 0, rise))), words, "")
+            # The same bytes, cut at the stretches instead of at the words.
+            lengths = pc.binary_length(joined).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(lengths)])[np.append(starts, batch.num_rows)].astype(np.int32)
+            text = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(ends), joined.buffers()[2]])
+            at = pa.array(starts)
+            columns = [*[c.take(at) for c in held], numbers.take(at), pa.array(sizes, pa.int32()), text, odd.take(at)]
+            yield pa.record_batch(columns, names=[*keys, "first", "size", "text", "plain"])
+
+    kinds = [T.StructField("first", T.LongType()), T.StructField("size", T.IntegerType()), T.StructField("text", T.StringType())]
+    schema = T.StructType([*tok.select(*keys).schema, *kinds, T.StructField("plain", T.BooleanType())])
+    return tok.select(*keys, F.col(number).cast("long"), F.col(word).cast("string")).mapInArrow(run, schema)
+
+
+def stretch_words() -> Column:
+    """The words of a stretch, in order, with null for none and a gap for each number left out."""
+    return F.when(F.col("plain"), F.array("text")).otherwise(F.split("text", BETWEEN))
+
+
+def unstretched(held: DataFrame, keys: list[str], number: str, word: str) -> DataFrame:
+    """The rows that ``stretches`` put together."""
+    one = held.select(*keys, "first", "plain", F.posexplode(stretch_words()).alias("_place", "_word"))
+    one = one.filter(F.col("plain") | (F.col("_word") != GAP))
+    known = F.when(F.col("plain") | (F.col("_word") != NOTHING), F.col("_word"))
+    return one.select(*keys, (F.col("first") + F.col("_place")).alias(number), known.alias(word))
+
+
 def cooccurrence(ann: DataFrame, relevant: Column, skipgram: int = 0) -> DataFrame:
     """How often two relevant lemmas follow each other in a document: ``(term1, term2, cooc)``.
 
     ``skipgram`` also pairs words with up to that many others between them. Documents are handled in
-    blocks of sentences, so a very long one spreads over tasks.
+    blocks of sentences, so a very long one spreads over tasks. Pairs across blocks come from the tokens
+    at the ends of the blocks, which are told from the stretches before these are taken apart.
     """
-    order = ["paragraph_id", "sentence_id", "token_id"]
-    block = F.struct("paragraph_id", F.floor(F.col("sentence_id") / SENTENCES_PER_BLOCK).alias("part"))
-    tok = ann.select("doc_id", *order, F.when(relevant, F.col("lemma")).alias("_0"))
-    for step in range(skipgram + 1):
-        tok = with_previous(tok, ["doc_id"], order, F.col(f"_{step}"), f"_{step + 1}", block)
-    counts = None
-    for step in range(1, skipgram + 2):
-        pairs = tok.filter(F.col("_0").isNotNull() & F.col(f"_{step}").isNotNull())
-        found = pairs.groupBy(F.col(f"_{step}").alias("term1"), F.col("_0").alias("term2")).agg(
-            F.count("*").alias("cooc")
-        )
-        counts = found if counts is None else counts.unionByName(found)
-    return counts.groupBy("term1", "term2").agg(F.sum("cooc").alias("cooc")) if skipgram else counts
+    span, block = skipgram + 1, ["doc_id", "paragraph_id", "_part"]
+    tok = ann.select(*SENTENCE, "token_id", F.when(relevant, F.col("lemma")).alias("_0"))
+    part = F.floor(F.col("sentence_id") / SENTENCES_PER_BLOCK).alias("_part")
+    held = stretches(tok, SENTENCE, "token_id", "_0", MOST_RISE).drop("size").select("*", part).repartition(*block)
+    rows = Window.partitionBy(*block).orderBy("sentence_id", "token_id")
+    sentences = Window.partitionBy(*block).orderBy("sentence_id")
+    before = F.count("*").over(sentences.rangeBetween(Window.unboundedPreceding, -1)).alias("_before")
+    after = F.count("*").over(sentences.rangeBetween(1, Window.unboundedFollowing)).alias("_after")
+    near = held.select("*", before, after)  # A stretch has one token at least.
+    near = near.filter((F.col("_before") < span) | (F.col("_after") < span))
+    ends = unstretched(near, [*block, "sentence_id"], "token_id", "_0").select(
+        "*", F.row_number().over(rows).alias("_at"), F.lead(F.lit(1), span).over(rows).isNull().alias("_last")
+    )
+    ends = ends.filter((F.col("_at") <= span) | F.col("_last"))
+    blocks = Window.partitionBy("doc_id").orderBy("paragraph_id", "_part", "_at")
+    steps = range(1, span + 1)
+    inside = unstretched(held, [*block, "sentence_id"], "token_id", "_0")
+    inside = inside.select("_0", *[F.lag("_0", s).over(rows).alias(f"_{s}") for s in steps])
+    # Tokens without a document have no block before; a filter on the key alone would go below the shuffle both branches share.
+    place = F.when(F.col("doc_id").isNotNull(), F.col("_at")).alias("_at")
+    across = ends.select("_0", place, *[F.lag("_0", s).over(blocks).alias(f"_{s}") for s in steps])
+    found = []
+    for s in steps:
+        pair = [F.col(f"_{s}").alias("term1"), F.col("_0").alias("term2")]
+        both = F.col("_0").isNotNull() & F.col(f"_{s}").isNotNull()
+        found += [inside.filter(both).select(*pair), across.filter(both & (F.col("_at") <= s)).select(*pair)]
+    return reduce(DataFrame.union, found).groupBy("term1", "term2").agg(F.count("*").alias("cooc"))
 
 
 def word_network(cooc: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
