@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refrain.operators.ranking import topk
+from refrain.session import pin
 
 SENTENCE = ["doc_id", "paragraph_id", "sentence_id"]
 SENTENCES_PER_BLOCK = 1_000
@@ -156,14 +157,25 @@ def word_network(cooc: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
 def keyword_runs(ann: DataFrame, relevant: Column, term: str, ngram_max: int) -> DataFrame:
     """Maximal runs of relevant neighbours in a sentence, at most ``ngram_max`` long.
 
-    One row per run: the words in order as ``words``.
+    One row per run: the words in order as ``words``. Where the stretches of a sentence lie apart they are its runs; the
+    tokens of the other sentences, such as repeated ones, are numbered and put together by their islands.
     """
     kept = ann.filter(relevant).select(*SENTENCE, "token_id", F.col(term).alias("_term"))
-    place = F.row_number().over(Window.partitionBy(*SENTENCE).orderBy("token_id"))
-    islands = kept.withColumn("_island", F.col("token_id") - place)
+    held = stretches(kept, SENTENCE, "token_id", "_term", 1).repartition(*SENTENCE)
+    sentence = Window.partitionBy(*SENTENCE)
+    end = F.lag(F.col("first") + F.col("size")).over(sentence.orderBy("first"))
+    touching = F.col("first").isNull() | F.coalesce(F.col("first") <= end, F.lit(False))
+    held = held.select("*", touching.alias("_touching")).select("*", F.max("_touching").over(sentence).alias("_mixed"))
+    apart = held.filter(~F.col("_mixed") & (F.col("size") <= ngram_max)).select(stretch_words().alias("words"))
+    named = F.transform("words", lambda w: F.when(w != NOTHING, w))
+    apart = apart.select(F.when(F.array_contains("words", NOTHING), named).otherwise(F.col("words")).alias("words"))
+
+    tokens = unstretched(held.filter("_mixed"), SENTENCE, "token_id", "_term")
+    place = F.row_number().over(sentence.orderBy("token_id"))
+    islands = tokens.withColumn("_island", F.col("token_id") - place)
     entry = F.struct("token_id", "_term")
     runs = islands.groupBy(*SENTENCE, "_island").agg(F.array_sort(F.collect_list(entry)).alias("_run"))
-    return runs.filter(F.size("_run") <= ngram_max).select(F.col("_run._term").alias("words"))
+    return apart.union(runs.filter(F.size("_run") <= ngram_max).select(F.col("_run._term").alias("words")))
 
 
 def rake_keywords(
@@ -178,12 +190,13 @@ def rake_keywords(
 
     A word's score is its degree over its frequency, a phrase's score the sum over its words. The
     degree counts the length of every phrase the word is in, or, with ``degree="others"``, only the
-    other words. Phrases are counted first, so the scoring works on distinct phrases.
+    other words. Phrases are counted first, so the scoring works on distinct phrases; they are written once, since the
+    words' scores and the frequent phrases both read them.
     """
     if degree not in ("with_self", "others"):
         raise ValueError(f"degree must be 'with_self' or 'others', not {degree!r}")
     phrases = keyword_runs(ann, relevant, term, ngram_max).groupBy("words").agg(F.count("*").alias("freq"))
-    phrases = phrases.withColumn("ngram", F.size("words"))
+    phrases = pin(phrases.withColumn("ngram", F.size("words")))
     reach = F.col("ngram") - (1 if degree == "others" else 0)
     scores = (
         phrases.select(F.explode("words").alias("_word"), "freq", reach.alias("_reach"))
