@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refrain.operators.sampling import fold_numbers
-from refrain.session import training_set
+from refrain.session import pin, training_set
 
 
 def svm_pipeline(
@@ -47,11 +47,13 @@ def repeated_cv(
 ) -> DataFrame:
     """Mean accuracy of a k-fold cross-validation per repeat: ``(repeat, accuracy)``.
 
-    Folds are columns, one per repeat, balanced within each label, of one pinned table. Every fit reads that table with
+    Folds are columns, one per repeat, balanced within each label, of one pinned table; the rows are pinned before they
+    get them, since every repeat's numbering reads them. Every fit reads that table with
     a filter on its fold column and runs on the executors; the driver starts ``parallelism`` of them at a time. Spark's
     own cross-validator takes a fold column too, but passes it through a Python function and caches each split: it
     took twice as long.
     """
+    df = pin(df)
     for repeat in range(1, repeats + 1):
         numbers = fold_numbers(df, key, label, folds, f"{seed}-fold-{repeat}", f"fold_{repeat}").drop(label)
         df = df.join(numbers, key)

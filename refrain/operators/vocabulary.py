@@ -36,7 +36,7 @@ def sparse_vectors(
     entry = F.when(F.col("place").isNotNull(), F.struct("place", F.col(value).cast("double").alias("value")))
     placed = long.join(index.select(word, "place"), word, "left").groupBy(*key)
     placed = placed.agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    size = index.agg(F.count("*").cast("int")).scalar()
+    size = F.lit(index.count()).cast("int")
     parts = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         size.alias("size"),

@@ -42,8 +42,10 @@ def with_features(
     Words in fewer than ``min_share`` of the documents have no place in the vectors.
     """
     if kind in ("count", "binary", "embedding"):
-        n_docs = labelled.agg(F.count("*")).scalar()
-        return word_vectors(feature_values(labelled, kind, dictionary), [key, "label"], n_docs, min_share)[0]
+        # Counted and written first, so that no later plan carries the joins and subqueries of the features.
+        long = feature_values(labelled, kind, dictionary)
+        n_docs = F.lit(labelled.count())
+        return word_vectors(pin(long) if kind == "embedding" else long, [key, "label"], n_docs, min_share)[0]
     if kind == "sumvec":
         tok = labelled.select(key, "label", explode_words("words", "word"))
         return scalar_vectors(embedding_sum_feature(tok, dictionary, [key, "label"]), ["sum_vec"])

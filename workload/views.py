@@ -103,8 +103,7 @@ def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark word with one of the given vectors, chosen by its hash."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    size = vectors.agg(F.count("*")).scalar()
-    place = F.conv(F.substring(F.md5("word"), 1, 15), 16, 10).cast("bigint") % size
+    place = F.conv(F.substring(F.md5("word"), 1, 15), 16, 10).cast("bigint") % F.lit(vectors.count())
     return embedding_dict(_benchmark_words(spark, sf_dir).withColumn("vec_id", place).join(vectors, "vec_id"))
 
 
