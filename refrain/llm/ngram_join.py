@@ -50,7 +50,7 @@ DEPTH = 5
 POSITIONS = 64
 KEPT_SHARE = 0.6  # of its members that a split leaves together in a bucket of near copies
 LIKELY = 35  # of 64 equal positions: five standard deviations below the mean at a similarity of 0.8
-CACHED = 500_000
+CACHED = 50_000  # words a worker keeps; workers stay from stage to stage, and their memory with them
 SET_BYTES = 6
 RNG = np.random.default_rng(7)
 FACTORS = (RNG.integers(1, 1 << 63, POSITIONS, np.uint64) << np.uint64(1)) | np.uint64(1)

@@ -42,7 +42,7 @@ from refrain.llm.wordcut import slices
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 CACHED = 400_000
 # Bytes of text whose words are looked up together.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 
 class WordTokenizer:

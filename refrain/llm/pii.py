@@ -39,9 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.llm.wordcut import slices
+
 KINDS = ("email", "ip", "card", "phone")
 LONGEST = 96
 SAMPLE = 2_000
+# Bytes of text that are Python strings at once.
+SLICE_BYTES = 1_000_000
 NEAR = 3
 MOST_GROUPS = 7
 MOST_ITEMS = 64
@@ -403,7 +407,7 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = set()
-            for t in b.column(0).to_pylist():
+            for t in (x.as_py() for x in b.column(0)):
                 for start, end, _ in base_spans(t or ""):
                     if end - start <= LONGEST // 2:
                         at = max(0, start - LONGEST // 4)
@@ -439,8 +443,7 @@ def detect(docs: DataFrame, weights: dict[str, float], text: str = "text", keep:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                b = batch.slice(at, 1024)
+            for b in slices(batch, 0, SLICE_BYTES):
                 texts = b.column(0).to_pylist()
                 found = [find(t or "", weights) for t in texts]
                 rows = lambda k: [[dict(zip(("start", "end", "kind"), s, strict=True)) for s in f[k]] for f in found]  # noqa: B023, E731

@@ -24,7 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from refrain.llm.wordcut import slices
+
 SAMPLE = 20_000
+# Bytes of text that are Python strings at once.
+SLICE_BYTES = 1_000_000
 BINS, DEPTH, TREES, RATE, RIDGE, LEAST_ROWS = 64, 4, 60, 0.15, 1.0, 10
 
 STOP_WORDS = frozenset(
@@ -129,7 +133,7 @@ def _with_statistics(texts: DataFrame, text: str) -> DataFrame:
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name != text), "stats array<double>"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole, text, SLICE_BYTES)):
             stats = pa.array([statistics(t) for t in b.column(text).to_pylist()], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in others), stats], names=[*others, "stats"])
 
@@ -166,7 +170,7 @@ def score(docs: DataFrame, trees: Trees, text: str = "text", keep: Sequence[str]
     columns = [*keep, *([text] if text not in keep else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole, text, SLICE_BYTES)):
             x = np.array([statistics(t) for t in b.column(text).to_pylist()]).reshape(-1, len(STATISTICS))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(trees.score(x))], names=[*keep, name])
 

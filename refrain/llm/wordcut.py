@@ -25,7 +25,7 @@ BY_BLANKS = kinds(BLANKS)
 BY_PIECES = kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Consecutive rows whose texts have at most ``most_bytes`` together; a longer text comes alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends, first = np.cumsum(sizes, dtype=np.int64), 0

@@ -533,3 +533,12 @@ def test_near_duplicates_with_null_and_repeated_ids(spark, small):
     count = lambda name: [k for k, t in got if t and t.startswith(name + "0 ")]
     assert (count("a"), count("b"), count("c"), count("d")) == ([None], [9], [5], [5])
     assert sorted(str(k) for k, t in got if not t) == ["3", "4", "None", "None"]
+
+
+def test_word_hashes_of_a_worker_stay_few():
+    """Workers serve all stages of the pipeline, so what one keeps is held beside the next stage's memory."""
+    shingles = ngram_join.Shingles()
+    texts = [" ".join(f"w{k}" for k in range(at, at + 5_000)) for at in range(0, 120_000, 5_000)]
+    first = [shingles(t) for t in texts]
+    assert len(shingles.known) <= 60_000
+    assert all((shingles(t) == f).all() for t, f in zip(texts, first, strict=True))
