@@ -62,38 +62,82 @@ def _drawn(index: DataFrame, k: int, seed: int) -> DataFrame:
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
-    """The digamma function of positive values: the recurrence up to 6, then the asymptotic series."""
-    x, out = np.array(x, dtype=float), np.zeros(np.shape(x))
-    while (small := x < 6).any():
-        out[small] -= 1 / x[small]
-        x[small] += 1
-    f = 1 / (x * x)
-    return out + np.log(x) - 0.5 / x - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132))))
+    """The digamma function of positive values: six steps of the recurrence, two by two, then the asymptotic series."""
+    p, y = x * (x + 5), x + 6
+    f = 1 / (y * y)
+    return np.log(y) - 0.5 / y - f * (1 / 12 - f * (1 / 120 - f * (1 / 252 - f * (1 / 240 - f / 132)))) - (2 * x + 5) * (1 / p + 1 / (p + 4) + 1 / (p + 6))
 
 
-def _infer(rows: np.ndarray, counts: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Variational weights of some documents, and what their entries add to the terms.
+def _theta(gamma: np.ndarray) -> np.ndarray:
+    """Exponentiated expectations of documents' weights, up to a factor per document, which no update depends on."""
+    return np.exp(_digamma(gamma))
 
-    ``rows`` holds the exponentiated expectations of each entry's term, by document and entry; short documents are filled
-    up with entries of count 0. A document whose weights change by less than the tolerance keeps them.
+
+def _update(rows: np.ndarray, counts: np.ndarray, gamma: np.ndarray, alpha: float, enough: int) -> np.ndarray:
+    """Update the weights of some documents in place until at most ``enough`` of them move on; which these are.
+
+    ``rows`` holds the exponentiated expectations of each entry's term, by document, topic and entry. A document whose
+    weights change by less than the tolerance keeps them.
+    """
+    live, here, heavy, old = np.arange(len(rows)), rows, counts, gamma.copy()
+    moving, out = np.ones(len(rows), dtype=bool), np.zeros(len(rows), dtype=bool)
+    while True:
+        now = _theta(old)
+        share = heavy / (np.matmul(now[:, None, :], here)[:, 0, :] + 1e-100)
+        new = now * np.matmul(here, share[:, :, None])[:, :, 0] + alpha
+        still = moving & (np.abs(new - old).sum(axis=1) > TOLERANCE * new.shape[1])
+        ended = moving & ~still
+        gamma[live[ended]] = new[ended]
+        left, moving, old = np.count_nonzero(still), still, new
+        if left <= enough:
+            gamma[live[moving]], out[live[moving]] = new[moving], True
+            return out
+        if left < 0.7 * len(live):
+            live, here, heavy, old, moving = live[moving], here[moving], heavy[moving], old[moving], moving[moving]
+
+
+class _Entries:
+    """Entries of a group's documents, one document after another, from the shortest to the longest."""
+
+    def __init__(self, docs, places: np.ndarray):
+        self.sizes = docs["places"].map(len).to_numpy()
+        self.first = np.cumsum(self.sizes) - self.sizes
+        self.at = np.searchsorted(places, np.concatenate(docs["places"].to_list()))
+        self.counts = np.concatenate(docs["values"].to_list())
+
+    def filled(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Term rows and counts by document and entry, short documents filled up with entries of count 0; which are real."""
+        sizes = self.sizes[some][:, None]
+        place = np.arange(sizes.max())
+        real = place < sizes
+        entry = np.where(real, self.first[some][:, None] + place, 0)
+        return self.at[entry], np.where(real, self.counts[entry], 0.0), real
+
+    def upto(self, first: int, more: int = 0) -> int:
+        """The end of the documents from ``first`` on that are a chunk together with ``more`` shorter ones; one at least."""
+        last = first + 1
+        while last < len(self.sizes) and self.sizes[last] * (last + 1 - first + more) <= CHUNK_ENTRIES:
+            last += 1
+        return last
+
+
+def _infer(entries: _Entries, expected: np.ndarray, alpha: float) -> np.ndarray:
+    """Variational weights of all documents.
+
+    Most documents settle in a fraction of the updates that the slowest of a chunk need; when a quarter is left these
+    join the next chunk, so that no updates are made for a handful of documents.
     """
-    gamma, live = np.ones((len(rows), rows.shape[2])), np.arange(len(rows))
-    theta = lambda g: np.exp(_digamma(g) - _digamma(g.sum(axis=1))[:, None])
-    mixed, moving, here, heavy = theta(gamma), np.ones(len(rows), dtype=bool), rows, counts
-    while moving.any():
-        now = mixed[live]
-        share = heavy / (np.matmul(here, now[:, :, None])[:, :, 0] + 1e-100)
-        new = now * np.matmul(share[:, None, :], here)[:, 0, :] + alpha
-        change = np.abs(new - gamma[live]).mean(axis=1)
-        at = live[moving]
-        gamma[at], mixed[at] = new[moving], theta(new[moving])
-        moving &= change > TOLERANCE
-        if moving.mean() < 0.7:
-            live, here, heavy, moving = live[moving], here[moving], heavy[moving], moving[moving]
-            if not len(live):
-                break
-    share = counts / (np.matmul(rows, mixed[:, :, None])[:, :, 0] + 1e-100)
-    return gamma, rows * mixed[:, None, :] * share[:, :, None]
+    n = len(entries.sizes)
+    gamma, left, first = np.ones((n, expected.shape[1])), np.zeros(0, dtype=int), 0
+    while first < n or len(left):
+        last = entries.upto(first, len(left)) if first < n else n
+        some = np.concatenate([left, np.arange(first, last)])
+        at, counts, _ = entries.filled(some)
+        # Entries lie next to each other in memory: sums over them are most of the work.
+        rows, part = np.ascontiguousarray(expected[at].transpose(0, 2, 1)), gamma[some]
+        moving = _update(rows, counts, part, alpha, len(some) // 4 if last < n else 0)
+        gamma[some], left, first = part, some[moving], last
+    return gamma
 
 
 def _group_steps(docs, terms, totals: list[float], alpha: float):
@@ -102,23 +146,20 @@ def _group_steps(docs, terms, totals: list[float], alpha: float):
 
     ``terms`` comes in the order of the places.
     """
-    places = terms["place"].to_numpy()
+    if not len(docs):
+        return
     weights = terms[_columns(len(totals))].to_numpy(dtype=float)
     expected = np.exp(_digamma(weights) - _digamma(np.array(totals)))
-    sizes = docs["places"].map(len).to_numpy()
-    order = np.argsort(sizes, kind="stable")
-    first = 0
-    while first < len(order):
-        last = first + 1
-        while last < len(order) and sizes[order[last]] * (last + 1 - first) <= CHUNK_ENTRIES:
-            last += 1
-        part = docs.iloc[order[first:last]]
-        filled = np.arange(sizes[order[last - 1]]) < sizes[order[first:last], None]
-        at, counts = np.zeros(filled.shape, dtype=int), np.zeros(filled.shape)
-        at[filled] = np.searchsorted(places, np.concatenate(part["places"].to_list()))
-        counts[filled] = np.concatenate(part["values"].to_list())
-        gamma, added = _infer(expected[at], counts, alpha)
-        yield part, at[filled], added[filled], gamma
+    docs = docs.iloc[np.argsort(docs["places"].map(len).to_numpy(), kind="stable")]
+    entries = _Entries(docs, terms["place"].to_numpy())
+    gamma, first = _infer(entries, expected, alpha), 0
+    while first < len(docs):
+        last = entries.upto(first)
+        at, counts, real = entries.filled(np.arange(first, last))
+        rows, mixed = expected[at], _theta(gamma[first:last])
+        share = counts / (np.matmul(rows, mixed[:, :, None])[:, :, 0] + 1e-100)
+        added = rows * mixed[:, None, :] * share[:, :, None]
+        yield docs.iloc[first:last], at[real], added[real], gamma[first:last]
         first = last
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from refrain import fixed
 from refrain.operators.documents import doc_term, document_terms, normalise_corpus
 from refrain.operators.topics import top_terms, topic_model, topic_terms
+from refrain.session import pin
 
 
 def corpus_topics(songs: DataFrame, stop: list[str], k: int = fixed.TOPICS_ALL, min_share: float = 0.0, **how):
@@ -22,8 +23,10 @@ def corpus_topics(songs: DataFrame, stop: list[str], k: int = fixed.TOPICS_ALL,
 
 def subset_topics(songs: DataFrame, stop: list[str], k: int = fixed.TOPICS_SUBSET, **how):
     """Topics of some songs over terms of three or more characters within the frequency bounds."""
-    terms = normalise_corpus(songs.select("lyrics_id", "lyrics"), "lyrics", stop, min_len=3)
-    return topic_model(doc_term(terms, "terms", "lyrics_id"), "lyrics_id", k, **how)
+    # Texts are stemmed once: the terms are read for the bounds and the counts, the counts for the index and the vectors.
+    terms = pin(normalise_corpus(songs.select("lyrics_id", "lyrics"), "lyrics", stop, min_len=3))
+    counts = pin(doc_term(terms, "terms", "lyrics_id"))
+    return topic_model(counts, "lyrics_id", k, **how)
 
 
 def top_terms_of_subsets(parts: dict[str, DataFrame], stop: list[str], top: int = 10) -> DataFrame:

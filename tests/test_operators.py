@@ -8,6 +8,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from refrain.operators import annotate, distribution, documents, features, joins
 from refrain.operators import sampling, sentiment, sizing, topics, vocabulary, words
 from refrain.operators.ordered import add_index, fill_ties, with_previous
 from refrain.operators.tfidf import tf_idf
-from refrain.plans import classify, fill, sentiment as sentiment_plans, words as word_plans
+from refrain.plans import classify, fill, sentiment as sentiment_plans, topics as topic_plans, words as word_plans
 from refrain.sources.tables import collect_by_key, read_annotated, read_table, write_table
 
 
@@ -562,6 +563,39 @@ def test_topic_model_is_the_variational_one(spark):
         assert np.allclose([got[i, t] for t in (1, 2, 3)], gamma / gamma.sum(), rtol=1e-5)
 
 
+def test_slow_documents_settle_together(monkeypatch):
+    """Documents that settle late are carried along: the same weights as each alone, in far fewer updates."""
+    draw, calls, theta = np.random.default_rng(5), [], topics._theta
+    monkeypatch.setattr(topics, "_theta", lambda gamma: calls.append(len(gamma)) or theta(gamma))
+    monkeypatch.setattr(topics, "CHUNK_ENTRIES", 400)
+    docs = pd.DataFrame({"places": [draw.permutation(50)[: 1 + i % 30] for i in range(300)]})
+    docs["values"] = [draw.integers(1, 5, len(p)).astype(float) for p in docs["places"]]
+    terms = pd.DataFrame(draw.gamma(0.3, 1.0, (50, 4)) + 0.01, columns=topics._columns(4))
+    terms.insert(0, "place", range(50))
+
+    def weights(rows):
+        return {i: g for part, _, _, gamma in topics._group_steps(rows, terms, [15.0] * 4, 0.5) for i, g in zip(part.index, gamma, strict=True)}
+
+    together = weights(docs)
+    updates = len(calls)
+    calls.clear()
+    apart = {i: g for k in range(len(docs)) for i, g in weights(docs.iloc[[k]]).items()}
+    assert sorted(together) == sorted(apart) and all(np.allclose(together[i], apart[i], rtol=1e-9) for i in apart)
+    assert updates < len(calls) / 10
+    assert list(topics._group_steps(docs.iloc[:0], terms, [15.0] * 4, 0.5)) == []
+
+
+def test_subsets_are_stemmed_once(spark, monkeypatch):
+    """The counts that the index and the vectors are made of are read, not made from the texts again."""
+    given = []
+    monkeypatch.setattr(topic_plans, "topic_model", lambda counts, *a, **more: given.append(counts))
+    songs = spark.createDataFrame([(i, "running cats flying") for i in range(10)], "lyrics_id long, lyrics string")
+    songs = songs.withColumn("lyrics", F.when(F.col("lyrics_id") % 2 == 0, F.concat("lyrics", F.lit(" houses"))).otherwise(F.col("lyrics")))
+    topic_plans.subset_topics(songs, [])
+    assert "EvalPython" not in given[0]._jdf.queryExecution().toString()
+    assert {r["term"] for r in given[0].collect()} == {"hous"}
+
+
 def test_topic_weights(spark):
     docs = [(i, (["sun", "sea", "sand"] if i % 2 else ["gun", "cash", "car"]) * 5) for i in range(40)]
     df = spark.createDataFrame(docs, "id int, terms array<string>")
