@@ -14,7 +14,8 @@ A sequence has ``length`` tokens. What is left at the very end is cut into power
 
 Words are tokenized one by one, because the tokenizer treats white space only as a border, and kept in a cache
 per worker; a word the cache's shortcut does not cover goes to the tokenizer itself. The ids of a slice of texts are
-put together from those of its distinct words.
+put together from those of its distinct words, and theirs from those of their distinct runs of letters, digits and
+runs of marks: so capitals and punctuation make no new words to tokenize.
 
 Edge cases: a null or empty text is its end mark alone; a null source is a queue of its own; rows that repeat
 are packed each; an empty table gives no pieces. Columns other than id, source and text are not read.
@@ -23,9 +24,10 @@ are packed each; an empty table gives no pieces. Columns other than id, source a
 from __future__ import annotations
 
 import functools
+import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,13 @@ from refrain.llm.wordcut import slices
 
 # Fixed value: the vocabulary's own split of a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-CACHED = 400_000
+# Words that are not cut at byte level: with other characters than printable ASCII and letters of two bytes, with the
+# beginning of a special token, or with what may be a contraction.
+UNCUT = r"[^!-~À-ÖØ-öø-į]|<\||'[DLMRSTVdlmrstv]"
+MARK, LETTER, DIGIT = 0, 1, 2
+# Kind of every byte of the other words; all bytes beyond ASCII are of letters there.
+BY_KIND = np.array([LETTER if b > 127 or chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK for b in range(256)], np.uint8)
+CACHED = 600_000
 # Bytes of text whose words are looked up together.
 SLICE_BYTES = 1_000_000
 
@@ -55,26 +63,22 @@ class WordTokenizer:
         self.model = self.whole.model
         self.split = regex.compile(PIECES)
         self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
         # Bytes as the vocabulary writes them: printable ones as themselves, the others from 256 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in printable]
         self.bytes = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
-            got = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-            if len(self.pieces) >= CACHED:
-                self.pieces.clear()
-            self.pieces[piece] = got
-        return got
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.bytes)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
         plain = word.isascii() and word.isprintable()
         plain = plain or (unicodedata.is_normalized("NFC", word) and word.isprintable() and max(word) < "İ")
-        if plain and "<|" not in word:
+        if plain and word.isalpha():
+            got = self._piece(word.lower())
+        elif plain and "<|" not in word:
             got = b"".join(map(self._piece, self.split.findall(word.lower())))
         else:
             got = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -85,12 +89,8 @@ class WordTokenizer:
 
     def ids(self, text: str) -> bytes:
         """Token ids as little-endian unsigned 32-bit numbers."""
-        known, out = self.words, []
-        for line in text.split("\n"):
-            for word in line.split(" "):
-                got = known.get(word)
-                out.append(self._word(word) if got is None else got)
-        return b"".join(out)
+        known = self.words
+        return b"".join([known[w] if w in known else self._word(w) for w in text.replace("\n", " ").split(" ")])
 
 
 @functools.lru_cache(maxsize=1)
@@ -99,25 +99,58 @@ def coder_of(vocabulary: str) -> WordTokenizer:
     return WordTokenizer(vocabulary)
 
 
-def token_ids(texts: pa.Array, coder: WordTokenizer) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after another and the number of ids of each; a null text has none."""
-    plain = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
-    split = pc.split_pattern(plain, " ")
-    words = split.flatten().dictionary_encode()
-    known = coder.words
-    spelt = [known.get(w) or coder.ids(w) for w in words.dictionary.to_numpy(zero_copy_only=False)]
-    sizes = np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
-    pool = np.frombuffer(b"".join(spelt), "<u4")
-    number = words.indices.to_numpy()
+def put_together(
+    parts: pa.Array, bounds: np.ndarray, spelt: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of rows one after another and the number of ids of each; row k has the parts from ``bounds[k]`` on.
+
+    ``spelt`` gives the same for the distinct parts.
+    """
+    parts = parts.dictionary_encode()
+    pool, sizes = spelt(parts.dictionary)
+    number = parts.indices.to_numpy()
     width = sizes[number]
     ends = np.cumsum(width)
-    # Position of each id in the pool: its word's start there, and its place in the word.
+    # Position of each id in the pool: its part's start there, and its place in the part.
     shift = (np.cumsum(sizes) - sizes)[number] - (ends - width)
     ids = pool[np.repeat(shift, width) + np.arange(ends[-1] if len(ends) else 0)]
+    return ids, np.diff(np.concatenate([[0], ends])[bounds])
+
+
+def word_parts(words: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray]:
+    """Runs of letters, digits and runs of marks of all words, A-Z lower-cased, and the bounds of the words in them.
+
+    The ids of a word are those of its parts, each tokenized as a word; a word not to be cut is a part as it stands.
+    """
+    uncut = pc.match_substring_regex(words, UNCUT)
+    words = pc.if_else(uncut, words, pc.ascii_lower(words))
+    _, offsets, letters = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    body = np.frombuffer(letters or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    kind = BY_KIND[body]
+    cut = np.ones(len(body) + 1, bool)
+    cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    whole = uncut.to_numpy(zero_copy_only=False)
+    cut[:-1][np.repeat(whole, np.diff(ends))] = False
+    cut[ends] = True
+    starts = np.flatnonzero(cut)
+    parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(body))
+    return parts, np.searchsorted(starts, ends)
+
+
+def token_ids(texts: pa.Array, coder: WordTokenizer) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another and the number of ids of each; a null text has none."""
+    known = coder.words
+
+    def looked_up(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        spelt = [known.get(p) or coder.ids(p) for p in parts.to_numpy(zero_copy_only=False)]
+        return np.frombuffer(b"".join(spelt), "<u4"), np.fromiter(map(len, spelt), np.int64, len(spelt)) // 4
+
+    plain = pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " ")
+    split = pc.split_pattern(plain, " ")
     offsets = split.offsets.to_numpy()
-    last = offsets[1:] - offsets[0]
-    upto = np.concatenate([[0], ends])[last]
-    return ids, np.diff(upto, prepend=0)
+    return put_together(split.flatten(), offsets - offsets[0], lambda words: put_together(*word_parts(words), looked_up))
 
 
 def tokenized(docs: DataFrame, id_col: str, source: str, text: str, vocabulary: str, end: int) -> DataFrame:

@@ -418,6 +418,30 @@ def test_words_of_many_texts_are_looked_up_once():
     assert sorted(w for w in asked if w) == ["for", "tea", "two", "É"]
 
 
+def test_capitals_and_marks_make_no_new_words():
+    coder, whole, asked = packing.WordTokenizer(vocabulary()), Tokenizer.from_file(vocabulary()), []
+    ids = coder.ids
+    coder.ids = lambda word: asked.append(word) or ids(word)
+    texts = ["Tea tea, TEA. (tea)", "tea42!", "  été, (été\n\n", ""]
+    got, sizes = packing.token_ids(pa.array(texts), coder)
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+    assert sorted(asked) == ["!", "(", ")", ",", ".", "2", "4", "tea", "été"]
+
+
+def test_ids_of_all_characters_and_contractions_in_words():
+    coder, whole = packing.WordTokenizer(vocabulary()), Tokenizer.from_file(vocabulary())
+    around = ["{0}", "a{0}", "{0}B", "a{0}{0}b", "1{0}2", "!{0}?", "é{0}É", "'{0}l", "x'{0}'VE", "<|{0}|>"]
+    texts = [" ".join(x.format(chr(c)) for x in around) for c in [*range(1, 0x400), 0x2019, 0x212A, 0x65E5, 0xFF46, 0x1F600]]
+    texts += ["It's WE'RE you'LL he'd 'twas 'the street's o'clock ''s rock'n'roll", "<|endoftext|> <|EndOfText|> a<|b", "", "\n", " "]
+    for some in (texts, texts[1:4], [""], ["", None], []):
+        got, sizes = packing.token_ids(pa.array(some, pa.string()), coder)
+        want = [whole.encode(t or "", add_special_tokens=False).ids for t in some]
+        assert sizes.tolist() == [len(w) for w in want] and got.tolist() == sum(want, [])
+    sliced = pa.array(texts).slice(30, 60)
+    assert packing.token_ids(sliced, coder)[0].tolist() == sum((whole.encode(t, add_special_tokens=False).ids for t in texts[30:90]), [])
+
+
 def test_pipeline(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     names = docs.columns
