@@ -34,8 +34,10 @@ def sparse_vectors(
     written table, so the join is free to split a frequent word.
     """
     entry = F.when(F.col("place").isNotNull(), F.struct("place", F.col(value).cast("double").alias("value")))
-    placed = long.join(index.select(word, "place"), word, "left").groupBy(*key)
-    placed = placed.agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    # The join deals rows by word, so a task holds few rows of each document: to gather them before the shuffle would only
+    # sort them once more.
+    placed = long.join(index.select(word, "place"), word, "left").select(*key, entry.alias("_entry")).repartition(*key)
+    placed = placed.groupBy(*key).agg(F.array_sort(F.collect_list("_entry")).alias("_entries"))
     size = F.lit(index.count()).cast("int")
     parts = F.struct(
         F.lit(0).cast("tinyint").alias("type"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -62,3 +63,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the checkpoint folder, which driver and executors share."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet below the checkpoint folder and read again, and where it lies."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of frames that are gone.
+
+    It does so when the driver collects its garbage, which a driver that only starts passes may not do before the disk is
+    full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

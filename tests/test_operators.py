@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import inspect
 import math
+import os
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -614,6 +616,61 @@ def test_topic_weights(spark):
     assert [r["topic"] for r in top] == sorted(r["topic"] for r in top) and len(top) >= 6
 
 
+def _counted_terms(spark, n=60):
+    """Counts of a small corpus, and how many texts were read for them so far."""
+    texts, draw = spark.sparkContext.accumulator(0), random.Random(3)
+    docs = spark.createDataFrame([(i, [f"w{draw.randrange(90)}" for _ in range(40)]) for i in range(n)], "id long, terms array<string>")
+
+    def read(batches):
+        for batch in batches:
+            texts.add(batch.num_rows)
+            yield batch
+
+    return documents.document_terms(docs.mapInArrow(read, docs.schema), "terms", "id"), texts
+
+
+def test_topic_passes_keep_one_table_of_weights(spark):
+    """What a pass has written is gone after the next one: more passes leave no more folders and shuffle files."""
+    spark.range(1).checkpoint()
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")
+    files = lambda: int(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size())
+    counts, left = _counted_terms(spark)[0], []
+    for passes in (1, 7):
+        topics.sweep(spark)
+        time.sleep(3)
+        before, shuffled = set(os.listdir(folder)), files()
+        model = topics.topic_model(counts, "id", 3, max_iter=passes)[0]
+        time.sleep(3)
+        left.append((len(set(os.listdir(folder)) - before), files() - shuffled))
+    assert model.weights.count() == 90 and left[1][0] == left[0][0]
+    assert left[1][1] < left[0][1] + 40
+
+
+def test_topic_model_reads_each_text_once(spark):
+    """The index and the vectors are made of written counts."""
+    counts, texts = _counted_terms(spark)
+    _, index, vectors = topics.topic_model(counts, "id", 3, max_iter=1)
+    assert texts.value == 60 and index.count() == 90 and vectors.count() == 60
+
+
+def test_topics_of_fitted_documents_use_their_groups(spark, monkeypatch):
+    """Documents are dealt to groups once for the passes and their own topics, and again for others, with equal topics."""
+    calls, grouped = [], topics._grouped
+    monkeypatch.setattr(topics, "_grouped", lambda *a: calls.append(a) or grouped(*a))
+    monkeypatch.setattr(topics, "SLICE_ENTRIES", 30, raising=False)
+    model, _, vectors = topics.topic_model(_counted_terms(spark)[0], "id", 3, max_iter=2)
+    fitted = {(r["id"], r["topic"]): r["gamma"] for r in topics.doc_topics(model, vectors, "id").collect()}
+    assert len(calls) == 1 and len(fitted) == 180
+    other = {(r["id"], r["topic"]): r["gamma"] for r in topics.doc_topics(model, vectors.filter("id < 20"), "id").collect()}
+    assert len(calls) == 2 and len(other) == 60 and all(math.isclose(other[x], fitted[x], rel_tol=1e-9) for x in other)
+
+
+def test_topic_model_of_nothing(spark):
+    counts = spark.createDataFrame([], "id long, term string, n long")
+    model, index, vectors = topics.topic_model(counts, "id", 2, max_iter=2)
+    assert topics.topic_terms(model, index).count() == 0 and topics.doc_topics(model, vectors, "id").count() == 0
+
+
 def test_held_out_rows_have_both_labels_with_equal_seeds(spark):
     rows = [(k, int(k % 3 == 0), "rap words here" if k % 3 == 0 else "other song text") for k in range(120)]
     songs = spark.createDataFrame(rows, "lyrics_id long, rap int, lyrics string")
