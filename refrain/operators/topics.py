@@ -18,11 +18,11 @@ from refrain.session import discard, stored, sweep, training_set
 LEARNING_OFFSET = 1024
 LEARNING_DECAY = 0.51
 TOLERANCE = 1e-3
-GROUP_ENTRIES = 3_000_000
+GROUP_ENTRIES = 2_000_000
 GROUPS_PER_CORE = 2  # at least, so that no core waits long for the last group
 SLICE_ENTRIES = 250_000  # of one packed row
 BLOCK_TERMS = 50_000
-CHUNK_ENTRIES = 20_000
+CHUNK_ENTRIES = 10_000  # so that a chunk of 20 topics stays in the processor cache
 EXPECTED_ROWS = 2_000
 
 
@@ -122,11 +122,12 @@ class _Entries:
 
 
 def _expected(weights: np.ndarray, totals: list[float]) -> np.ndarray:
-    """Exponentiated expectations of the terms' weights, some rows at a time so that they stay in the processor's cache."""
-    out, whole = np.empty_like(weights), _digamma(np.array(totals))
+    """Put the exponentiated expectations of the terms' weights in their place, some rows at a time so that they stay in
+    the processor's cache."""
+    whole = _digamma(np.array(totals))
     for i in range(0, len(weights), EXPECTED_ROWS):
-        out[i : i + EXPECTED_ROWS] = np.exp(_digamma(weights[i : i + EXPECTED_ROWS]) - whole)
-    return out
+        weights[i : i + EXPECTED_ROWS] = np.exp(_digamma(weights[i : i + EXPECTED_ROWS]) - whole)
+    return weights
 
 
 def _infer(entries: _Entries, expected: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
@@ -161,16 +162,16 @@ def _group_steps(docs, terms, totals: list[float], alpha: float):
     docs = docs.iloc[np.argsort(docs["places"].map(len).to_numpy(), kind="stable")]
     at = np.searchsorted(terms["place"].to_numpy(), np.concatenate(docs["places"].to_list()))
     entries = _Entries(docs["places"].map(len).to_numpy(), at, np.concatenate(docs["values"].to_list()))
-    gamma, share = _infer(entries, _expected(terms[_columns(len(totals))].to_numpy(dtype=float), totals), alpha)
+    gamma, share = _infer(entries, _expected(terms[_columns(len(totals))].to_numpy(dtype=float, copy=True), totals), alpha)
     yield docs, entries, share, gamma
 
 
 def _added(entries: _Entries, expected: np.ndarray, gamma: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """What all documents add to the weights of the terms, one topic at a time."""
-    at, mixed, out = entries.at.astype(np.intp), _theta(gamma).T.copy(), np.empty(expected.shape[::-1])
-    for topic, of_docs in zip(out, mixed, strict=True):
-        topic[:] = np.bincount(at, np.repeat(of_docs, entries.sizes) * share, len(expected))
-    return out.T * expected
+    """What all documents add to the weights of the terms, one topic at a time, in the place of ``expected``."""
+    at = entries.at.astype(np.intp)
+    for topic, of_docs in enumerate(_theta(gamma).T.copy()):
+        expected[:, topic] *= np.bincount(at, np.repeat(of_docs, entries.sizes) * share, len(expected))
+    return expected
 
 
 @dataclass
@@ -186,15 +187,18 @@ class _Groups:
     blocks: int
 
 
-def _cells(cells: list[bytes]):
+def _cells(values: np.ndarray, lengths: list[int]):
+    """Consecutive rows of numbers as packed cells, without a copy."""
     import pyarrow as pa
 
-    return pa.array(cells, pa.binary())
+    offsets = np.concatenate([[0], np.cumsum(lengths)]) * (values.nbytes // max(1, len(values)))
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def _numbers(column, kind) -> np.ndarray:
-    """The numbers of a column of packed cells, one cell after another."""
-    return np.concatenate([np.frombuffer(cell.as_buffer(), kind) for cell in column] or [np.zeros(0, kind)])
+def _ordered(table, by: str, name: str, kind) -> list[np.ndarray]:
+    """The numbers of each packed cell, in the order of another column."""
+    cells = [np.frombuffer(cell.as_buffer(), kind) for cell in table[name]]
+    return [cells[i] for i in np.argsort(table[by].to_numpy())]
 
 
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
@@ -306,22 +310,21 @@ def _sent(blocks: DataFrame, k: int) -> DataFrame:
                 b, groups, held = (batch[name][row] for name in ("b", "groups", "held"))
                 weights = np.frombuffer(batch["weights"][row].as_buffer()).reshape(-1, k)
                 for g, at in zip(groups.as_py(), held.values, strict=True):
-                    cell = weights[np.frombuffer(at.as_buffer(), np.int32)].tobytes()
-                    yield pa.record_batch([pa.array([g], pa.int32()), pa.array([b.as_py()], pa.int32()), _cells([cell])], names=["g", "b", "weights"])
+                    part = weights[np.frombuffer(at.as_buffer(), np.int32)]
+                    yield pa.record_batch([pa.array([g], pa.int32()), pa.array([b.as_py()], pa.int32()), _cells(part, [len(part)])], names=["g", "b", "weights"])
 
     return blocks.select("b", "weights", "groups", "held").mapInArrow(messages, "g int, b int, weights binary")
 
 
 def _table(messages, k: int) -> tuple[np.ndarray, np.ndarray]:
     """A group's weights, in the order in which it numbers its terms, and how many come from each block."""
-    messages = messages.sort_by("b")
-    cells = [np.frombuffer(cell.as_buffer()).reshape(-1, k) for cell in messages["weights"]]
-    return np.concatenate(cells), np.array([len(cell) for cell in cells])
+    cells = _ordered(messages, "b", "weights", np.float64)
+    return np.concatenate(cells).reshape(-1, k), np.array([len(cell) // k for cell in cells])
 
 
 def _entries(docs) -> _Entries:
-    docs = docs.sort_by("slice")
-    return _Entries(_numbers(docs["sizes"], np.int32).astype(np.int64), _numbers(docs["at"], np.int32), _numbers(docs["counts"], np.float64))
+    sizes, at, counts = (np.concatenate(_ordered(docs, "slice", name, kind)) for name, kind in (("sizes", np.int32), ("at", np.int32), ("counts", np.float64)))
+    return _Entries(sizes.astype(np.int64), at, counts)
 
 
 def _pass_over(totals: list[float], alpha: float):
@@ -333,9 +336,8 @@ def _pass_over(totals: list[float], alpha: float):
         weights, sizes = _table(messages, len(totals))
         expected, entries = _expected(weights, totals), _entries(docs)
         gamma, share = _infer(entries, expected, alpha)
-        added, ends = _added(entries, expected, gamma, share), np.cumsum(sizes)
-        cells = _cells([added[end - n : end].tobytes() for end, n in zip(ends, sizes, strict=True)])
-        return pa.table({"b": messages["b"].combine_chunks().sort(), "g": pa.array([docs["g"][0].as_py()] * len(sizes), pa.int32()), "added": cells})
+        blocks, group = np.sort(messages["b"].to_numpy()), np.full(len(sizes), docs["g"][0].as_py(), np.int32)
+        return pa.table({"b": blocks, "g": group, "added": _cells(_added(entries, expected, gamma, share), sizes)})
 
     return step
 
@@ -347,9 +349,9 @@ def _renewed(k: int, beta: float, rate: float):
         groups, held = block["groups"][0].as_py(), block["held"][0].as_py()
         weights = np.frombuffer(block["weights"][0].as_buffer()).reshape(-1, k)
         at = dict(zip(groups, held, strict=True))
-        added, parts = np.zeros(weights.shape), parts.sort_by("g")
-        for g, cell in zip(parts["g"].to_pylist(), parts["added"], strict=True):
-            added[np.frombuffer(at[g], np.int32)] += np.frombuffer(cell.as_buffer()).reshape(-1, k)
+        added = np.zeros(weights.shape)
+        for g, part in zip(sorted(parts["g"].to_pylist()), _ordered(parts, "g", "added", np.float64), strict=True):
+            added[np.frombuffer(at[g], np.int32)] += part.reshape(-1, k)
         return _block(block["b"][0].as_py(), (1 - rate) * weights + rate * (added + beta), groups, held)
 
     return step
@@ -431,7 +433,8 @@ def doc_topics(model: TopicModel, vectors: DataFrame, key: str) -> DataFrame:
         cuts = np.cumsum(entries.sizes)[:-1]
         frame = pd.DataFrame({"places": pd.Series(np.split(entries.at, cuts), dtype=object), "values": pd.Series(np.split(entries.counts, cuts), dtype=object)})
         terms = pd.DataFrame(weights, columns=_columns(k)).assign(place=np.arange(len(weights)))
-        keys = pa.chunked_array([cell.values for cell in docs.sort_by("slice")["keys"]])
+        lists = docs["keys"]
+        keys = pa.chunked_array([lists[int(i)].values for i in np.argsort(docs["slice"].to_numpy())])
         (part, _, _, gamma), = _group_steps(frame, terms, totals, alpha)
         shares = pa.array((gamma / gamma.sum(axis=1)[:, None]).ravel())
         return pa.table({key: keys.take(pa.array(part.index.to_numpy())), "_g": pa.ListArray.from_arrays(np.arange(0, len(shares) + 1, k, dtype=np.int32), shares)})
