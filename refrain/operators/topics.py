@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from refrain import fixed
 from refrain.operators.ranking import topk
 from refrain.operators.vocabulary import sparse_vectors, vector_entries, word_index
-from refrain.session import discard, stored, sweep, training_set
+from refrain.session import discard, stored, sweep
 
 # How fast the online updates of Hoffman et al. (2010) fade, the change of a document's weights that ends
 # its updates, and the document-term counts that one group of documents is made for.
@@ -383,7 +383,8 @@ def topic_model(
     # The counts are read for the index and for the vectors; their texts are cut into terms once.
     long, counted = stored(long, "topic-counts")
     index = word_index(long, n_docs, min_share, word="term")
-    vectors = training_set(sparse_vectors(long, index, [key], "n", word="term"))
+    # Passes read the groups, so the vectors are kept as compressed files.
+    vectors, _ = stored(sparse_vectors(long, index, [key], "n", word="term").hint("rebalance"), "topic-vectors")
     discard(spark, counted)
     groups = _grouped(vectors, key)
     blocks, at = stored(_blocks(_drawn(index, k, seed), groups, k), "topic-weights")
